@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.functions.text import guarded_int, strip_ws, truncate
+from strata.functions.text import guarded_int, truncate
 from strata.schemas import AUDIO, KEY
 
 
@@ -41,6 +41,6 @@ def parse_typed(df: DataFrame, schema: StructType = AUDIO) -> DataFrame:
     for f in schema.fields:
         c = F.col(f.name)
         if f.dataType.simpleString() != "string":
-            c = strip_ws(c).try_cast(f.dataType)
+            c = c.try_cast(f.dataType)
         out.append(c.alias(f.name))
     return df.select(*out)

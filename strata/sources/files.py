@@ -54,6 +54,21 @@ def read_raw_parquet(spark: SparkSession, path: str, *, as_of: Optional[_dt.date
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan whose input splits cannot occupy the cluster.
+
+    A source stored as a few large files (or one Parquet row group) is read by a
+    few tasks, and every narrow step before the first shuffle inherits that
+    parallelism. When the scan has fewer partitions than the default parallelism
+    this adds one cheap shuffle of the scanned columns; a scan of many files is
+    returned unchanged (no shuffle at scale).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -104,4 +119,4 @@ def ingest(spark: SparkSession, source: str, cfg: Mapping) -> DataFrame:
 
 
 __all__ = ["RAW_PARTITION_COLS", "SOURCES", "ingest", "read_csv_typed", "read_csv_wide",
-           "read_jdbc", "read_raw_parquet", "read_table"]
+           "read_jdbc", "read_raw_parquet", "read_table", "spread"]

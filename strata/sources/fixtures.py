@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import AUDIO_COLS, CATALOGUE_COLS
+from strata.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +31,9 @@ def _lit_dec(v: str) -> Column:
 
 def typed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed source rows (before the string round trip)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_shipdate")
+        "l_discount", "l_tax", "l_shipdate"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     # Dimension joins: Catalyst broadcasts a side only when its scanned size is under

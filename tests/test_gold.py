@@ -1,0 +1,70 @@
+from pyspark.sql import functions as F
+
+from strata.plans import gold, silver
+from tests.conftest import rows
+
+COLS = ("track_id string, track_name string, artist_name string, genre string, year int, "
+        "popularity int, danceability double, energy double, valence double, tempo double, "
+        "acousticness double")
+
+
+def _silver(spark, data):
+    df = spark.createDataFrame(data, COLS)
+    return df.withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int"))
+
+
+def test_top_track_ties_and_null_groups(spark):
+    df = _silver(spark, [
+        ("b", "B", "x", "pop", 1995, 80, 0.1, 0.1, 0.1, 100.0, 0.1),
+        ("a", "A", "x", "pop", 1991, 80, 0.3, 0.3, 0.3, 100.0, 0.1),
+        ("c", "C", "y", "pop", 1999, 10, 0.5, 0.5, 0.5, 100.0, 0.1),
+        ("d", "D", "y", None, 1999, 90, 0.5, 0.5, 0.5, 100.0, 0.1),
+        ("e", "E", "y", "rock", None, 90, 0.5, 0.5, 0.5, 100.0, 0.1),
+    ])
+    out = {(r["genre"], r["decade"]): r for r in gold.dm_genre_trends(df, "2024-01-01").collect()}
+    assert out[("pop", 1990)]["top_track_name"] == "A"      # tie on 80 -> smallest track_id
+    assert out[("pop", 1990)]["nb_tracks"] == 3
+    assert out[("pop", 1990)]["avg_popularity"] == 56.67
+    assert out[(None, 1990)]["top_track_name"] is None      # null key: no top track
+    assert out[("rock", None)]["top_track_name"] is None
+    assert str(out[("pop", 1990)]["ingestion_date"]) == "2024-01-01"
+
+
+def test_hits_ties_exceed_ten(spark):
+    data = [(f"t{i:02d}", f"T{i}", "x", "pop", 2000, 70, 0.5, 0.5, 0.5, 120.0, 0.1) for i in range(12)]
+    out = gold.dm_hits(_silver(spark, data), "2024-01-01")
+    assert out.count() == 12
+
+
+def test_top_artists_score_rank_and_main_genre(spark):
+    data = [("b", "B", "x", "rock", 1991, 50, .5, .5, .5, 1.0, .1),
+            ("a", "A", "x", "pop", 1992, 70, .5, .5, .5, 1.0, .1),
+            ("c", "C", "y", "jazz", 1993, 90, .5, .5, .5, 1.0, .1)]
+    out = {r["artist_name"]: r for r in gold.dm_top_artists(_silver(spark, data), "2024-01-01").collect()}
+    assert out["x"]["main_genre"] == "pop"                 # genre of smallest track_id
+    assert out["x"]["influence_score"] == round(60.0 * 1.0986122886681098, 2)
+    assert out["y"]["influence_score"] == round(90 * 0.6931471805599453, 2)
+    assert out["x"]["rank_in_decade"] == 1 and out["y"]["rank_in_decade"] == 2
+    assert out["x"]["max_popularity"] == 70
+
+
+def test_silver_enrich_columns(spark):
+    df = spark.createDataFrame(
+        [("k1", "t", "a", "g", 1999, 31000, 0.5, 0.5, 1, -5.0, 1, 0.1, 0.4999, 0.0, 0.1, 0.2, 120.0, 4, 39),
+         ("k2", "t", "a", "g", 2000, 45678, 0.5, 0.5, 1, -5.0, 1, 0.1, 0.5, 0.0, 0.1, 0.2, 120.0, 4, 40),
+         ("k3", "t", "a", "g", None, 45678, 0.5, 0.5, 1, -5.0, 1, 0.1, None, 0.0, 0.1, 0.2, 120.0, 4, 70),
+         ("k4", "t", "b", "g", 2001, 45678, 0.5, 0.5, 1, -5.0, 1, 0.1, 0.9, 0.0, 0.1, 0.2, 120.0, 4, 69)],
+        "track_id string, track_name string, artist_name string, genre string, year int, duration_ms int, "
+        "danceability double, energy double, key int, loudness double, mode int, speechiness double, "
+        "acousticness double, instrumentalness double, liveness double, valence double, tempo double, "
+        "time_signature int, popularity int")
+    out = {r["track_id"]: r for r in silver.enrich(df).collect()}
+    assert [out[k]["decade"] for k in ("k1", "k2", "k3")] == [1990, 2000, None]
+    assert [out[k]["popularity_category"] for k in ("k1", "k2", "k3", "k4")] == ["Low", "Medium", "High", "Medium"]
+    assert [out[k]["is_acoustic"] for k in ("k1", "k2", "k3")] == [False, True, False]
+    assert out["k2"]["duration_sec"] == 45.7
+    # lag by artist ordered by (year, track_id), null year first
+    assert out["k3"]["pop_prev_year"] is None
+    assert out["k1"]["pop_prev_year"] == 70 and out["k2"]["pop_prev_year"] == 39
+    assert out["k4"]["pop_prev_year"] is None
+    assert [out[k]["rank_in_genre"] for k in ("k3", "k4", "k2", "k1")] == [1, 2, 3, 4]

@@ -1,0 +1,62 @@
+from pyspark.sql import functions as F
+
+from strata.operators.load import load_catalogue, parse_typed
+from strata.operators.split import normalize_wide, split_counts, split_wide
+from strata.schemas import AUDIO, AUDIO_COLS
+
+WIDE_COLS = ["track_name", "artists", "artist_name", "genre", "year", "duration_ms"] + AUDIO_COLS
+
+
+def _wide(spark, rows):
+    full = [r + (None,) * (len(WIDE_COLS) - len(r)) for r in rows]
+    return spark.createDataFrame(full, ", ".join(f"`{c}` string" for c in WIDE_COLS))
+
+
+def test_names_padding_fallback_and_blank_rows(spark):
+    df = _wide(spark, [
+        ("\tSong ", " Band ", "", "pop", "2001", "200000"),
+        ("Song2", "", "Solo", "rock", "1999", "100000"),
+        ("Song3", "  ", " ", "jazz"),
+        ("", "X", "", "jazz"),
+        ("Short",),
+    ])
+    out = normalize_wide(df).orderBy("track_name").collect()
+    kept = {r["track_name"]: r["artist_name"] for r in out if r["_keep"]}
+    assert kept == {"Song": "Band", "Song2": "Solo"}
+    cnt = split_counts(df).collect()[0]
+    assert (cnt["rows_read"], cnt["rows_skipped"], cnt["rows_written"]) == (5, 3, 2)
+    cat, aud = split_wide(df)
+    assert cat.count() == aud.count() == 2
+    assert set(aud.columns) == {"track_id", *AUDIO_COLS}
+    # short row: missing fields read as '' (not null) after the split
+    assert cat.filter(F.col("track_name") == "Song2").collect()[0]["genre"] == "rock"
+
+
+def test_missing_artist_column_reads_as_blank(spark):
+    df = spark.createDataFrame([("A", "B")], "track_name string, artist_name string")
+    cat, _ = split_wide(df)
+    assert cat.collect()[0]["artist_name"] == "B"
+
+
+def test_load_catalogue_coercions(spark):
+    long_name = "n" * 600
+    df = spark.createDataFrame(
+        [("k1", long_name, "a", "", "999", "210000\r"), ("k2", "t", "a", "pop", "2001", "-5"),
+         ("k3", "t", "a", "pop", "19x9", "")],
+        "track_id string, track_name string, artist_name string, genre string, year string, duration_ms string")
+    out = {r["track_id"]: r for r in load_catalogue(df).collect()}
+    assert len(out["k1"]["track_name"]) == 500
+    assert out["k1"]["genre"] is None and out["k1"]["year"] is None
+    assert out["k1"]["duration_ms"] == 210000
+    assert out["k2"]["year"] == 2001 and out["k2"]["duration_ms"] is None
+    assert out["k3"]["year"] is None and out["k3"]["duration_ms"] is None
+    with_ts = load_catalogue(df, created_at=F.current_timestamp())
+    assert "created_at" in with_ts.columns
+
+
+def test_parse_typed_is_permissive(spark):
+    row = ("k", "0.5", "x", "3", "-1.5", "1", "0", "0", "0", "0", "0", "120", "4", "abc")
+    df = spark.createDataFrame([row], ", ".join(f"`{f.name}` string" for f in AUDIO.fields))
+    r = parse_typed(df, AUDIO).collect()[0]
+    assert r["danceability"] == 0.5 and r["energy"] is None and r["popularity"] is None
+    assert r["key"] == 3 and r["loudness"] == -1.5
