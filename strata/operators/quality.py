@@ -72,53 +72,86 @@ def first_failure(df: DataFrame, rules: Sequence[Rule], name: str = "failed_rule
 
 @dataclass(frozen=True)
 class Validated:
+    """Outcome of ``validate``: kept rows, the per-key frame and the rule list."""
+    source: str
+    key: str
+    rules: tuple
+    per_key: DataFrame          # one row per key (null and '' included) with ``_n``
     kept: DataFrame
-    report: DataFrame
+    r1_name: str = "R1_key_not_blank"
+    r2_name: str = "R2_unique_key"
+
+    def flags(self, prefix: str) -> list[Column]:
+        """Per-key columns the report is counted from: row count, key valid, and
+        'passed every rule up to i' for each rule in order."""
+        valid = key_present(self.key)
+        out = [F.col("_n").alias(f"{prefix}_n"), valid.alias(f"{prefix}_valid")]
+        passed = valid
+        for i, r in enumerate(self.rules):
+            passed = passed & r.passes()
+            out.append(passed.alias(f"{prefix}_p{i}"))
+        return out
+
+    def count_aggs(self, prefix: str) -> list[Column]:
+        """Aggregates over a frame holding ``flags(prefix)`` (null = key absent)."""
+        n, valid = F.col(f"{prefix}_n"), F.col(f"{prefix}_valid")
+        aggs = [F.coalesce(F.sum(n), F.lit(0)).alias(f"{prefix}_rows"),
+                F.coalesce(F.sum(F.when(~valid, n)), F.lit(0)).alias(f"{prefix}_r1"),
+                F.count_if(valid).alias(f"{prefix}_d")]
+        aggs += [F.count_if(F.col(f"{prefix}_p{i}")).alias(f"{prefix}_k{i}")
+                 for i in range(len(self.rules))]
+        return aggs
+
+    def report_rows(self, prefix: str) -> list[tuple]:
+        """(order, rule, rows_in, rejected) expressions over the ``count_aggs`` row."""
+        n, r1, d = (F.col(f"{prefix}_{x}") for x in ("rows", "r1", "d"))
+        out = [(F.lit(1), F.lit(self.r1_name), n, r1),
+               (F.lit(2), F.lit(self.r2_name), n - r1, n - r1 - d)]
+        rows_in = d
+        for i, r in enumerate(self.rules):
+            kept = F.col(f"{prefix}_k{i}")
+            out.append((F.lit(r.order), F.lit(r.name), rows_in, rows_in - kept))
+            rows_in = kept
+        return out
+
+    @property
+    def report(self) -> DataFrame:
+        """This source's report rows from one aggregate over the per-key frame."""
+        s = self.per_key.select(self.key, *self.flags("s")).agg(*self.count_aggs("s"))
+        return report_rows(s, self.source, self.report_rows("s"))
 
 
 def validate(df: DataFrame, source: str, key: str, rules: Sequence[Rule],
              order: Optional[Sequence[str]] = None, *,
-             r1_name: str = "R1_key_not_blank", r2_name: str = "R2_unique_key") -> Validated:
+             prepare: Optional[Callable[[DataFrame], DataFrame]] = None) -> Validated:
     """R1 (key present) -> R2 (one row per key) -> ``rules`` in order.
 
-    ``kept`` is lazy; ``report`` is one aggregate over the de-duplicated frame with
-    one row per rule: (source, rule_order, rule, rows_in, rejected, rows_out).
+    Everything is lazy. ``prepare`` (e.g. persist) is applied to the per-key frame,
+    which both the kept rows and the report are derived from.
     """
-    rules = sorted(rules, key=lambda r: r.order)
+    rules = tuple(sorted(rules, key=lambda r: r.order))
     order = list(order or [c for c in df.columns if c != key])
     per_key = dedup_by_key(df, key, order, with_count=True)
-    valid = key_present(key)
-    kept = apply_rules(per_key.filter(valid).drop("_n"), rules)
-
-    aggs = [
-        F.sum("_n").alias("n"),
-        F.coalesce(F.sum(F.when(~valid, F.col("_n"))), F.lit(0)).alias("r1"),
-        F.count_if(valid).alias("d"),
-    ]
-    passed = valid
-    for i, r in enumerate(rules):
-        aggs.append(F.count_if(passed & ~r.passes()).alias(f"x{i}"))
-        passed = passed & r.passes()
-    s = per_key.agg(*aggs)
-
-    n, r1, d = F.col("n"), F.col("r1"), F.col("d")
-    rows = [(F.lit(1), F.lit(r1_name), n, r1), (F.lit(2), F.lit(r2_name), n - r1, n - r1 - d)]
-    rows_in = d
-    for i, r in enumerate(rules):
-        rows.append((F.lit(r.order), F.lit(r.name), rows_in, F.col(f"x{i}")))
-        rows_in = rows_in - F.col(f"x{i}")
-    report = _report_rows(s, source, rows)
-    return Validated(kept, report)
-
-
-def _report_rows(agg_row: DataFrame, source: str, rows) -> DataFrame:
-    """Unpivot one aggregate row into report rows with ``stack``."""
+    if prepare is not None:
+        per_key = prepare(per_key)
+    kept = apply_rules(per_key.filter(key_present(key)).drop("_n"), rules)
+    return Validated(source, key, rules, per_key, kept)
+
+
+def report_rows(agg_row: DataFrame, source, rows) -> DataFrame:
+    """Unpivot one aggregate row into report rows with ``stack``.
+
+    ``rows`` are (order, rule, rows_in, rejected) Column tuples, optionally with a
+    leading source name each (then ``source`` is ignored).
+    """
     fields = []
-    for o, name, rin, rej in rows:
-        fields += [o.cast("int"), name, rin.cast("bigint"), rej.cast("bigint")]
-    st = F.stack(F.lit(len(rows)), *fields).alias("rule_order", "rule", "rows_in", "rejected")
+    for r in rows:
+        src, (o, name, rin, rej) = (r[0], r[1:]) if len(r) == 5 else (source, r)
+        fields += [F.lit(src), o.cast("int"), name, rin.cast("bigint"), rej.cast("bigint")]
+    st = F.stack(F.lit(len(rows)), *fields).alias("source", "rule_order", "rule", "rows_in",
+                                                  "rejected")
     return (agg_row.select(st)
-            .select(F.lit(source).alias("source"), "rule_order", "rule", "rows_in", "rejected",
+            .select("source", "rule_order", "rule", "rows_in", "rejected",
                     (F.col("rows_in") - F.col("rejected")).alias("rows_out")))
 
 
@@ -129,4 +162,27 @@ def referential_report(child: DataFrame, parent_keys: DataFrame, key: str, sourc
     marks = parent_keys.select(key).withColumn("_hit", F.lit(True))
     j = child.select(key).join(marks, key, "left")
     s = j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_hit").isNull()).alias("x"))
-    return _report_rows(s, source, [(F.lit(order), F.lit(name), F.col("n"), F.col("x"))])
+    return report_rows(s, source, [(F.lit(order), F.lit(name), F.col("n"), F.col("x"))])
+
+
+def joint_report(parent: Validated, child: Validated, order: int, name: str) -> DataFrame:
+    """Both sources' rule reports plus the child-in-parent rule, in one pass.
+
+    The two per-key frames are full-outer-joined on the key (both are already
+    hash-partitioned on it by their de-duplication, so the join adds no shuffle)
+    and a single aggregate yields every count.
+    """
+    key = parent.key
+    p = parent.per_key.select(key, *parent.flags("p"))
+    c = child.per_key.select(key, *child.flags("c"))
+    j = p.join(c, key, "full_outer")
+    last_p = F.coalesce(F.col(f"p_p{len(parent.rules) - 1}") if parent.rules else F.col("p_valid"),
+                        F.lit(False))
+    last_c = F.coalesce(F.col(f"c_p{len(child.rules) - 1}") if child.rules else F.col("c_valid"),
+                        F.lit(False))
+    s = j.agg(*parent.count_aggs("p"), *child.count_aggs("c"),
+              F.count_if(last_c).alias("x_in"), F.count_if(last_c & ~last_p).alias("x_orphans"))
+    ref = [(F.lit(order), F.lit(name), F.col("x_in"), F.col("x_orphans"))]
+    rows = ([(parent.source, *r) for r in parent.report_rows("p")]
+            + [(child.source, *r) for r in child.report_rows("c") + ref])
+    return report_rows(s, None, rows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.exact import exact_avg
 from strata.operators import enrich as E
-from strata.operators.quality import Rule, Validated, referential_report, validate
+from strata.operators.quality import Rule, Validated, joint_report, validate
 from strata.operators.ranking import first_by, lag_within, rank_by_histogram, rank_within
 from strata.schemas import AUDIO_COLS, CATALOGUE_COLS, KEY
 from strata.session import materialize
@@ -37,12 +37,13 @@ class Checked:
     audio: Validated
 
 
-def check_sources(catalogue: DataFrame, audio: DataFrame) -> Checked:
+def check_sources(catalogue: DataFrame, audio: DataFrame, prepare=None) -> Checked:
     """R1..R5 on each source independently. Duplicates are resolved before the
-    range rules, with the smallest row (by all non-key columns) kept per key."""
+    range rules, with the smallest row (by all non-key columns) kept per key.
+    ``prepare`` (e.g. persist) is applied to each per-key frame."""
     return Checked(
-        validate(catalogue, "catalogue", KEY, CATALOGUE_RULES, CATALOGUE_COLS),
-        validate(audio, "audio_features", KEY, AUDIO_RULES, AUDIO_COLS),
+        validate(catalogue, "catalogue", KEY, CATALOGUE_RULES, CATALOGUE_COLS, prepare=prepare),
+        validate(audio, "audio_features", KEY, AUDIO_RULES, AUDIO_COLS, prepare=prepare),
     )
 
 
@@ -54,11 +55,9 @@ def unify(checked: Checked) -> DataFrame:
 
 
 def dq_report(checked: Checked) -> DataFrame:
-    """Rejected rows per rule and source (R1..R6) from one aggregate per source plus
-    one key-only join for the orphan count."""
-    r6 = referential_report(checked.audio.kept, checked.catalogue.kept, KEY,
-                            "audio_features", *R6)
-    return checked.catalogue.report.unionByName(checked.audio.report).unionByName(r6)
+    """Rejected rows per rule and source (R1..R6): one join of the two per-key
+    frames and one aggregate, instead of a count before and after every rule."""
+    return joint_report(checked.catalogue, checked.audio, *R6)
 
 
 def with_scalars(df: DataFrame) -> DataFrame:
