@@ -266,6 +266,9 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT *, {d2[0]}, {d2[1]}, {d2[2]} FROM cat_raw WHERE {R5}", "cat_raw"),
         "sink_table": sql("SELECT * FROM genre_stats", "genre_stats"),
         "load_catalogue": sql("SELECT * FROM cat_raw", "cat_raw"),
+        "src_table": sql("SELECT * FROM silver", "silver"),
+        "stream_land_audio": sql(f"SELECT track_id, {AUD}, {a[0]} AS ingestion_year, {a[1]} AS ingestion_month, "
+                                 f"{a[2]} AS ingestion_day FROM aud_raw", "aud_raw"),
         # quality
         "dq_r1": sql(f"SELECT 'catalogue' AS source, track_id FROM cat_raw WHERE NOT ({VALID_KEY}) "
                      f"UNION ALL SELECT 'audio_features', track_id FROM aud_raw WHERE NOT ({VALID_KEY})",
@@ -323,6 +326,8 @@ def oracle_sql() -> dict[str, str]:
         # serving
         "tracks_artist": sql(_page("dm_tracks", "contains(artist_name, '#00000002')", _TRACK_ORDER, 1, 50),
                              "dm_tracks"),
+        "tracks_artist_ci": sql(_page("dm_tracks", "contains(lower(strip_accents(artist_name)), 'supplier#00000002')",
+                                      _TRACK_ORDER, 1, 50), "dm_tracks"),
         "tracks_filtered": sql(_page("dm_tracks", "genre = 'SMALL' AND year = 1998 AND popularity >= 50",
                                      _TRACK_ORDER, 2, 20), "dm_tracks"),
         "tracks_minpop": sql(_page("dm_tracks", "popularity >= 95 AND rank_in_genre <= 400",

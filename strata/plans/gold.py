@@ -83,6 +83,24 @@ def dm_hits(silver: DataFrame, as_of: AsOf = None, n: int = 10) -> DataFrame:
     return _stamp(hits.select(*HIT_COLUMNS), as_of)
 
 
+# The order each table is presented in (sinks do not keep row order, so it is
+# applied when reading): column, descending?
+BUILD_ORDER = {
+    "genre_stats": [("genre", False), ("year", False)],
+    "artist_stats": [("decade", False), ("avg_popularity", True)],
+    "dm_genre_trends": [("genre", False), ("decade", False)],
+    "dm_top_artists": [("decade", False), ("rank_in_decade", False)],
+    "dm_hits_emergents": [("genre", False), ("year", False), ("rank_in_year", False)],
+}
+
+
+def in_build_order(df: DataFrame, name: str) -> DataFrame:
+    """Sort a table as its builder presents it (nulls first ascending, last
+    descending), for display or export; not needed before a sink."""
+    cols = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in BUILD_ORDER[name]]
+    return df.orderBy(*cols)
+
+
 def typed(mart: DataFrame, name: str) -> DataFrame:
     """Cast a mart to the serving database's declared column types."""
     return conform(mart, GOLD_SCHEMAS[name])

@@ -145,6 +145,23 @@ def q_sink_table(spark, sf):
     return read_table(spark, _saved_genre_stats(spark, sf))
 
 
+def q_src_table(spark, sf):
+    """Silver track table written to the warehouse, then scanned by name."""
+    db = "strata_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
+    ensure_database(spark, db, scratch_path(spark, db))
+    write_table(silver_full(spark, sf), f"{db}.tracks_unified", "overwrite")
+    return read_table(spark, f"{db}.tracks_unified")
+
+
+def q_stream_land_audio(spark, sf):
+    """Audio CSV files landed by the availableNow stream, read back from raw."""
+    from strata.streaming import land_new_files
+    landing, raw = scratch_path(spark, "landing"), scratch_path(spark, "raw_stream")
+    write_csv(split_wide(wide_source(spark, sf))[1], landing)
+    land_new_files(spark, landing, raw, scratch_path(spark, "stream_ckpt"), as_of=AS_OF)
+    return read_raw_parquet(spark, raw, drop_partitions=False)
+
+
 def q_load_catalogue(spark, sf):
     """Catalogue CSV -> per-column coercion -> table overwrite -> read back."""
     path = scratch_path(spark, "catalogue_csv")
@@ -312,6 +329,11 @@ def q_tracks_artist(spark, sf):
     return marts.tracks(mart_tracks(spark, sf), artist="#00000002", page_no=1, page_size=50)
 
 
+def q_tracks_artist_ci(spark, sf):
+    return marts.tracks(mart_tracks(spark, sf), artist="supplier#00000002", page_no=1,
+                        page_size=50, collation="UNICODE_CI_AI")
+
+
 def q_tracks_filtered(spark, sf):
     return marts.tracks(mart_tracks(spark, sf), genre="SMALL", year=1998, min_popularity=50,
                         page_no=2, page_size=20)

@@ -68,3 +68,10 @@ def test_silver_enrich_columns(spark):
     assert out["k1"]["pop_prev_year"] == 70 and out["k2"]["pop_prev_year"] == 39
     assert out["k4"]["pop_prev_year"] is None
     assert [out[k]["rank_in_genre"] for k in ("k3", "k4", "k2", "k1")] == [1, 2, 3, 4]
+
+
+def test_build_order_on_read(spark):
+    df = spark.createDataFrame([("b", 1990, 2), ("a", 2000, 1), ("a", 1990, 3), (None, 1980, 1)],
+                               "genre string, decade int, rank_in_decade int")
+    got = [(r["genre"], r["decade"]) for r in gold.in_build_order(df, "dm_genre_trends").collect()]
+    assert got == [(None, 1980), ("a", 1990), ("a", 2000), ("b", 1990)]
