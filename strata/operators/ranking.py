@@ -19,6 +19,8 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -44,8 +46,9 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
     its row count is checked against ``broadcast_rows``; above that it is a
     shuffle join (AQE splits skewed keys).
 
-    The size check is an action over ``df``: pass a persisted or checkpointed
-    frame so the input is not computed twice.
+    The histogram is checkpointed once (it is small), so the size check and the
+    join read it back instead of re-aggregating ``df``; pass a persisted or
+    checkpointed ``df`` so the input itself is not recomputed for it.
     """
     keys = list(by) + [order]
     hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -53,6 +56,7 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
                        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int").alias(name))
+    hist = materialize(hist)
     if hist.count() <= broadcast_rows:
         hist = F.broadcast(hist)
     cond = [df[k].eqNullSafe(hist[f"_h_{k}"]) for k in keys]

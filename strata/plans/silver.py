@@ -80,15 +80,15 @@ def enrich(unified: DataFrame, *, rank_form: str = "histogram", lag_prefix: int
     (year, track_id), computed in (artist, year, key-prefix) blocks.
     """
     df = materialize(unified) if checkpoint else unified
+    blocks = [F.col("year"), F.substring(KEY, 1, lag_prefix)] if lag_prefix else None
+    df = lag_within(df, ["artist_name"], ["year", KEY], "popularity", "pop_prev_year",
+                    blocks=blocks)
     if rank_form == "histogram":
         df = rank_by_histogram(df, ["genre"], "popularity", name="rank_in_genre")
     elif rank_form == "window":
         df = rank_within(df, ["genre"], "popularity", name="rank_in_genre")
     else:
         raise ValueError(f"rank_form must be 'histogram' or 'window', got {rank_form!r}")
-    blocks = [F.col("year"), F.substring(KEY, 1, lag_prefix)] if lag_prefix else None
-    df = lag_within(df, ["artist_name"], ["year", KEY], "popularity", "pop_prev_year",
-                    blocks=blocks)
     return with_scalars(df).select(*ENRICHED_COLUMNS)
 
 
