@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.session import materialize
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def _sort(c: str, descending: bool) -> Column:

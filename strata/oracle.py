@@ -261,6 +261,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_partition": sql(f"SELECT track_id, {AUD}, {a[0]} AS ingestion_year, {a[1]} AS ingestion_month, "
                                 f"{a[2]} AS ingestion_day FROM aud_raw", "aud_raw"),
         "src_raw_parquet": sql(f"SELECT * FROM aud_raw", "aud_raw"),
+        "src_raw_one_day": sql(f"SELECT * FROM aud_raw", "aud_raw"),
         "sink_dynamic_overwrite": sql(
             f"SELECT *, {d1[0]} AS ingestion_year, {d1[1]} AS ingestion_month, {d1[2]} AS ingestion_day FROM cat_raw "
             f"UNION ALL SELECT *, {d2[0]}, {d2[1]}, {d2[2]} FROM cat_raw WHERE {R5}", "cat_raw"),

@@ -123,6 +123,16 @@ def q_src_raw_parquet(spark, sf):
     return read_raw_parquet(spark, path)
 
 
+def q_src_raw_one_day(spark, sf):
+    """Two landed days; reading one is pruned at the directory level."""
+    import datetime as dt
+    path = scratch_path(spark, "raw_audio_days")
+    aud = sources(spark, sf)[1]
+    write_raw_parquet(add_ingestion_partition(aud.filter(F.col("popularity") >= 50), DAY_1), path, "append")
+    write_raw_parquet(add_ingestion_partition(aud, DAY_2), path, "append")
+    return read_raw_parquet(spark, path, as_of=dt.date.fromisoformat(DAY_2))
+
+
 def q_sink_dynamic_overwrite(spark, sf):
     """Two days landed, then day 2 overwritten alone: day 1 must survive."""
     path = scratch_path(spark, "raw_catalogue")

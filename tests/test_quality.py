@@ -56,3 +56,13 @@ def test_dq_report_balances_on_driver_data(spark):
     assert by[("audio_features", "R6_key_in_catalogue")]["rejected"] == 147
     assert by[("catalogue", "R5_min_duration")]["rows_out"] == 1747
     assert by[("audio_features", "R6_key_in_catalogue")]["rows_out"] == 1665
+
+
+def test_dedup_hot_key_third_of_rows(spark):
+    n = 3000
+    data = [("hot" if i % 3 == 0 else f"k{i}", (i * 7919) % 1000, float(i % 13)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, x int, y double").repartition(16)
+    out = {r["k"]: (r["x"], r["y"]) for r in dedup_by_key(df, "k", ["x", "y"]).collect()}
+    hot = sorted((x, y) for k, x, y in data if k == "hot")[0]
+    assert out["hot"] == hot
+    assert len(out) == 1 + sum(1 for i in range(n) if i % 3)

@@ -10,7 +10,8 @@ def _data(spark, n=3000, seed=7):
     rnd = random.Random(seed)
     data = []
     for i in range(n):
-        g = rnd.choice(["a", "b", "c", None]) if rnd.random() > 0.05 else "hot"
+        # one group holds about a third of all rows
+        g = rnd.choice(["a", "b", "c", None]) if rnd.random() > 0.34 else "hot"
         v = rnd.choice([None] + list(range(20))) if rnd.random() > 0.02 else None
         year = rnd.choice([None, 1999, 2000, 2001, 2002])
         data.append((f"{i:05x}{rnd.randrange(16**6):06x}", g, v, year))
