@@ -54,6 +54,22 @@ def dedup_by_key(df: DataFrame, key: str, order: Optional[Sequence[str]] = None,
     return out.select(*cols)
 
 
+def dedup_groups_by_key(df: DataFrame, key: str, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """One row per key with, for each column group independently, the values of
+    the group's smallest row (ascending, nulls first), plus ``_n`` rows per key.
+
+    One map-side-combined aggregate de-duplicates several projections of the same
+    rows at once (e.g. both halves of a vertical split), with no join after it.
+    """
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.min(F.struct(*g)).alias(f"_g{i}") for i, g in enumerate(groups)]
+    out = df.groupBy(key).agg(*aggs)
+    cols = [F.col(key), F.col("_n")]
+    for i, g in enumerate(groups):
+        cols += [F.col(f"_g{i}.{c}").alias(c) for c in g]
+    return out.select(*cols)
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows passing every rule (filters are pushed down by Catalyst)."""
     out = df
@@ -121,6 +137,15 @@ class Validated:
         return report_rows(s, self.source, self.report_rows("s"))
 
 
+def validated_from(per_key: DataFrame, source: str, key: str, rules: Sequence[Rule],
+                   columns: Sequence[str]) -> Validated:
+    """``Validated`` over an existing per-key frame (with ``_n``), e.g. one half of
+    ``dedup_groups_by_key``."""
+    rules = tuple(sorted(rules, key=lambda r: r.order))
+    kept = apply_rules(per_key.filter(key_present(key)).select(key, *columns), rules)
+    return Validated(source, key, rules, per_key, kept)
+
+
 def validate(df: DataFrame, source: str, key: str, rules: Sequence[Rule],
              order: Optional[Sequence[str]] = None, *,
              prepare: Optional[Callable[[DataFrame], DataFrame]] = None) -> Validated:
@@ -173,9 +198,13 @@ def joint_report(parent: Validated, child: Validated, order: int, name: str) ->
     and a single aggregate yields every count.
     """
     key = parent.key
-    p = parent.per_key.select(key, *parent.flags("p"))
-    c = child.per_key.select(key, *child.flags("c"))
-    j = p.join(c, key, "full_outer")
+    if parent.per_key is child.per_key:
+        # both sides are columns of one per-key frame: nothing to join
+        j = parent.per_key.select(key, *parent.flags("p"), *child.flags("c"))
+    else:
+        p = parent.per_key.select(key, *parent.flags("p"))
+        c = child.per_key.select(key, *child.flags("c"))
+        j = p.join(c, key, "full_outer")
     last_p = F.coalesce(F.col(f"p_p{len(parent.rules) - 1}") if parent.rules else F.col("p_valid"),
                         F.lit(False))
     last_c = F.coalesce(F.col(f"c_p{len(child.rules) - 1}") if child.rules else F.col("c_valid"),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.exact import exact_avg
 from strata.operators import enrich as E
-from strata.operators.quality import Rule, Validated, joint_report, validate
+from strata.operators.quality import (
+    Rule, Validated, dedup_groups_by_key, joint_report, key_present, validate, validated_from,
+)
 from strata.operators.ranking import first_by, lag_within, rank_by_histogram, rank_within
 from strata.schemas import AUDIO_COLS, CATALOGUE_COLS, KEY
 from strata.session import materialize
@@ -47,11 +49,32 @@ def check_sources(catalogue: DataFrame, audio: DataFrame, prepare=None) -> Check
     )
 
 
+def check_split(df: DataFrame) -> Checked:
+    """R1..R5 for both halves of one split frame (key + catalogue + audio columns).
+
+    When the catalogue and audio tables are two projections of the same rows, one
+    aggregate de-duplicates both halves (each half still keeps its own smallest
+    row) and the halves stay side by side, so the later join disappears.
+    """
+    per_key = dedup_groups_by_key(df, KEY, [CATALOGUE_COLS, AUDIO_COLS])
+    return Checked(
+        validated_from(per_key, "catalogue", KEY, CATALOGUE_RULES, CATALOGUE_COLS),
+        validated_from(per_key, "audio_features", KEY, AUDIO_RULES, AUDIO_COLS),
+    )
+
+
 def unify(checked: Checked) -> DataFrame:
     """Catalogue ⋈ audio on the key. This inner join is also rule R6 (audio rows
     without a catalogue row are dropped); keys are unique on both sides, and both
-    sides arrive hash-partitioned on the key by their de-duplication."""
-    return checked.catalogue.kept.join(checked.audio.kept, KEY, "inner").select(*UNIFIED_COLUMNS)
+    sides arrive hash-partitioned on the key by their de-duplication. Halves that
+    share one per-key frame (``check_split``) need only a filter."""
+    c, a = checked.catalogue, checked.audio
+    if c.per_key is a.per_key:
+        keep = key_present(KEY)
+        for r in c.rules + a.rules:
+            keep = keep & r.passes()
+        return c.per_key.filter(keep).select(*UNIFIED_COLUMNS)
+    return c.kept.join(a.kept, KEY, "inner").select(*UNIFIED_COLUMNS)
 
 
 def dq_report(checked: Checked) -> DataFrame:

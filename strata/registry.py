@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.exact import exact_avg
 from strata.functions.text import strip_ws
 from strata.operators.ingest import add_ingestion_partition
-from strata.operators.load import load_catalogue, parse_typed
+from strata.operators.load import catalogue_columns, load_catalogue, parse_typed, typed_columns
 from strata.operators.paging import page, page_meta
 from strata.operators.quality import first_failure, key_present
 from strata.operators.ranking import lag_within, rank_within
@@ -46,8 +46,15 @@ def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return load_catalogue(cat_s), parse_typed(aud_s, AUDIO)
 
 
+def split_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Both typed halves side by side (one row per source row)."""
+    n = normalize_wide(wide_source(spark, sf)).filter(F.col("_keep"))
+    return n.select(KEY, *catalogue_columns(), *typed_columns(AUDIO)[1:])
+
+
 def checked(spark: SparkSession, sf: str) -> silver.Checked:
-    return silver.check_sources(*sources(spark, sf))
+    """Both halves come from one split, so they are checked in one aggregate."""
+    return silver.check_split(split_typed(spark, sf))
 
 
 def unified(spark: SparkSession, sf: str) -> DataFrame:
