@@ -372,6 +372,10 @@ def oracle_sql() -> dict[str, str]:
         "lag_events": ("SELECT event_id, user_id, ts, value, lag(value) OVER (PARTITION BY user_id "
                        "ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST) AS prev_value FROM events"),
         "distinct_priority": "SELECT DISTINCT o_orderpriority FROM orders",
+        "orders_stats": (f"SELECT o_orderstatus, o_orderpriority, {eavg('o_totalprice', 2)} AS avg_o_totalprice, "
+                         "count(o_orderkey) AS n_orders, "
+                         "first(o_orderkey ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS top_order "
+                         "FROM orders GROUP BY o_orderstatus, o_orderpriority"),
         "page_customers": _page("customer", "", "c_acctbal DESC NULLS LAST, c_custkey ASC NULLS FIRST", 2, 100,
                                 "c_custkey, c_name, c_acctbal, c_mktsegment"),
         "page_customers_meta": _meta("customer", "c_mktsegment = 'BUILDING'", 1, 75),

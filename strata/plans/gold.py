@@ -8,7 +8,8 @@ from typing import Union
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import exact_avg, round_half_up
+from strata.functions.exact import round_half_up
+from strata.operators.aggregate import best_by, group_stats
 from strata.operators.conform import conform
 from strata.operators.ingest import parse_as_of
 from strata.operators.ranking import rank_by_histogram, top_n
@@ -45,17 +46,15 @@ def dm_genre_trends(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     whose genre or decade is null gets no top track (the null keys never matched
     in the two-pass form this replaces).
     """
-    top = F.min_by(F.col("track_name"),
-                   F.struct(F.col("popularity").isNull(), -F.col("popularity"), F.col(KEY)))
-    agg = silver.groupBy("genre", "decade").agg(
-        exact_avg("popularity", 2).alias("avg_popularity"),
-        F.count(KEY).alias("nb_tracks"),
-        exact_avg("danceability", 4).alias("avg_danceability"),
-        exact_avg("energy", 4).alias("avg_energy"),
-        top.alias("_top"),
-    )
+    agg = group_stats(silver, ["genre", "decade"],
+                      averages={"popularity": 2, "danceability": 4, "energy": 4},
+                      count_of=KEY, count_name="nb_tracks",
+                      extra=[best_by("track_name", "popularity", tie_break=[KEY]).alias("_top")])
     named = F.when(F.col("genre").isNotNull() & F.col("decade").isNotNull(), F.col("_top"))
-    return _stamp(agg.withColumn("top_track_name", named).drop("_top"), as_of)
+    out = agg.withColumn("top_track_name", named).select(
+        "genre", "decade", "avg_popularity", "nb_tracks", "avg_danceability", "avg_energy",
+        "top_track_name")
+    return _stamp(out, as_of)
 
 
 def dm_top_artists(silver: DataFrame, as_of: AsOf = None, *, checkpoint: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import exact_avg
+from strata.operators.aggregate import group_stats
 from strata.operators import enrich as E
 from strata.operators.quality import (
     Rule, Validated, dedup_groups_by_key, joint_report, key_present, validate, validated_from,
@@ -116,26 +116,24 @@ def enrich(unified: DataFrame, *, rank_form: str = "histogram", lag_prefix: int
 
 
 def genre_stats(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("genre", "year", "decade").agg(
-        exact_avg("popularity", 2).alias("avg_popularity"),
-        F.count(KEY).alias("nb_tracks"),
-        exact_avg("tempo", 2).alias("avg_tempo"),
-        exact_avg("energy", 4).alias("avg_energy"),
-        exact_avg("danceability", 4).alias("avg_danceability"),
-        exact_avg("valence", 4).alias("avg_valence"),
-    )
+    stats = group_stats(silver, ["genre", "year", "decade"],
+                        averages={"popularity": 2, "tempo": 2, "energy": 4, "danceability": 4,
+                                  "valence": 4},
+                        count_of=KEY, count_name="nb_tracks")
+    return stats.select("genre", "year", "decade", "avg_popularity", "nb_tracks", "avg_tempo",
+                        "avg_energy", "avg_danceability", "avg_valence")
 
 
 def artist_decade(silver: DataFrame) -> DataFrame:
     """Shared (artist, decade) aggregate behind ``artist_stats`` and the top-artists
     mart: one shuffle serves both. ``main_genre`` is the genre of the artist's
     smallest ``track_id`` in the decade (deterministic ``first``)."""
-    return silver.groupBy("artist_name", "decade").agg(
-        F.count(KEY).alias("total_tracks"),
-        exact_avg("popularity", 2).alias("avg_popularity"),
-        F.max("popularity").alias("max_popularity"),
-        first_by("genre", F.col(KEY)).alias("main_genre"),
-    )
+    stats = group_stats(silver, ["artist_name", "decade"], averages={"popularity": 2},
+                        count_of=KEY, count_name="total_tracks",
+                        extra=[F.max("popularity").alias("max_popularity"),
+                               first_by("genre", F.col(KEY)).alias("main_genre")])
+    return stats.select("artist_name", "decade", "total_tracks", "avg_popularity",
+                        "max_popularity", "main_genre")
 
 
 def artist_stats(silver: DataFrame) -> DataFrame:

@@ -428,6 +428,17 @@ def q_lag_events(spark, sf):
                       blocks=[F.to_date("ts")])
 
 
+def q_orders_stats(spark, sf):
+    """The grouped-statistics operator on another table: orders by status and
+    priority with exact average price and the largest order per group."""
+    from strata.operators.aggregate import best_by, group_stats
+    orders = table(spark, sf, "orders")
+    return group_stats(orders, ["o_orderstatus", "o_orderpriority"], averages={"o_totalprice": 2},
+                       count_of="o_orderkey", count_name="n_orders",
+                       extra=[best_by("o_orderkey", "o_totalprice", tie_break=["o_orderkey"])
+                              .alias("top_order")])
+
+
 def q_distinct_priority(spark, sf):
     return table(spark, sf, "orders").select("o_orderpriority").distinct()
 
