@@ -18,7 +18,7 @@ from strata.operators.ingest import add_ingestion_partition
 from strata.operators.load import catalogue_columns, load_catalogue, parse_typed, typed_columns
 from strata.operators.paging import page, page_meta
 from strata.operators.quality import first_failure, key_present
-from strata.operators.ranking import lag_within, rank_within
+from strata.operators.ranking import lag_within, rank_by_histogram, rank_within
 from strata.operators.split import normalize_wide, split_counts, split_wide
 from strata.plans import checks, gold, marts, silver
 from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
@@ -419,13 +419,14 @@ def q_page_meta(spark, sf):
 # ---------------------------------------------------------------- generic shapes
 def q_rank_part_price(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
-    return rank_within(part, ["p_type"], "p_retailprice", name="price_rank")
+    # prices are 2-decimal values in a bounded range: the histogram stays small
+    return rank_by_histogram(part, ["p_type"], "p_retailprice", name="price_rank")
 
 
 def q_lag_events(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     return lag_within(ev, ["user_id"], ["ts", "event_id"], "value", "prev_value",
-                      blocks=[F.to_date("ts")])
+                      blocks=[F.date_trunc("hour", "ts")])
 
 
 def q_orders_stats(spark, sf):

@@ -16,8 +16,17 @@ from strata.schemas import AUDIO_COLS, CATALOGUE_COLS
 from strata.sources.files import spread
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The driver tables are read-only, so the (lazy) reader is
+    reused per session instead of listing files and reading footers per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _READS.get(path)
+    if hit is None or hit[0] is not spark:
+        hit = _READS[path] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def _dec(c: str | Column) -> Column:
