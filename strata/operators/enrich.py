@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.constants import CATEGORY_LABELS, HIGH_POPULARITY, MEDIUM_POPULARITY
+
 
 def decade(year: str = "year") -> Column:
     """``floor(year / 10) * 10`` as int; null stays null."""
@@ -16,10 +18,12 @@ def duration_sec(ms: str = "duration_ms") -> Column:
     return F.round(F.col(ms) / F.lit(1000.0), 1)
 
 
-def popularity_category(pop: str = "popularity", high: int = 70, medium: int = 40) -> Column:
-    """``>= high`` High, ``>= medium`` Medium, else (null included) Low."""
+def popularity_category(pop: str = "popularity", high: int = HIGH_POPULARITY,
+                        medium: int = MEDIUM_POPULARITY, labels=CATEGORY_LABELS) -> Column:
+    """``>= high`` first label, ``>= medium`` second, else (null included) third."""
     p = F.col(pop)
-    return F.when(p >= high, F.lit("High")).when(p >= medium, F.lit("Medium")).otherwise(F.lit("Low"))
+    return (F.when(p >= high, F.lit(labels[0])).when(p >= medium, F.lit(labels[1]))
+             .otherwise(F.lit(labels[2])))
 
 
 def at_least(c: str, threshold: float) -> Column:

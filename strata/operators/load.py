@@ -8,22 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.constants import MAX_TEXT_LEN, YEAR_RANGE
 from strata.functions.text import guarded_int, truncate
 from strata.schemas import AUDIO, KEY
 
 
-def catalogue_columns(max_len: int = 500) -> list[Column]:
+def catalogue_columns(max_len: int = MAX_TEXT_LEN) -> list[Column]:
     """The catalogue coercions as Columns (non-key fields), see ``load_catalogue``."""
     return [
         truncate("track_name", max_len).alias("track_name"),
         truncate("artist_name", max_len).alias("artist_name"),
         F.nullif(F.col("genre"), F.lit("")).alias("genre"),
-        guarded_int("year", 1000, 9999).alias("year"),
+        guarded_int("year", *YEAR_RANGE).alias("year"),
         guarded_int("duration_ms").alias("duration_ms"),
     ]
 
 
-def load_catalogue(df: DataFrame, *, max_len: int = 500,
+def load_catalogue(df: DataFrame, *, max_len: int = MAX_TEXT_LEN,
                    created_at: Optional[Column] = None) -> DataFrame:
     """Per-column coercion of a catalogue string table, as a bulk loader would do it.
 

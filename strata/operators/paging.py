@@ -7,8 +7,7 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_PAGE_SIZE = 50
-MAX_PAGE_SIZE = 200
+from strata.constants import DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE
 
 
 def clamp(page: Optional[int], page_size: Optional[int]) -> tuple[int, int]:

@@ -8,6 +8,7 @@ from typing import Union
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.constants import HITS_PER_GROUP
 from strata.functions.exact import round_half_up
 from strata.operators.aggregate import best_by, group_stats
 from strata.operators.conform import conform
@@ -76,7 +77,7 @@ def dm_top_artists(silver: DataFrame, as_of: AsOf = None, *, checkpoint: bool =
                                 "rank_in_decade"), as_of)
 
 
-def dm_hits(silver: DataFrame, as_of: AsOf = None, n: int = 10) -> DataFrame:
+def dm_hits(silver: DataFrame, as_of: AsOf = None, n: int = HITS_PER_GROUP) -> DataFrame:
     """DM4: tracks with ``rank() <= n`` by popularity per (genre, year); ties kept."""
     hits = top_n(silver, ["genre", "year"], "popularity", n, name="rank_in_year")
     return _stamp(hits.select(*HIT_COLUMNS), as_of)

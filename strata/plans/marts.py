@@ -10,12 +10,13 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.constants import (
+    DEFAULT_YEAR_RANGE, EVOLUTION_MAX_GENRES, RAW_TRACKS_SHOWN, TOP_HITS_SHOWN,
+)
 from strata.functions.exact import exact_avg
 from strata.functions.predicates import all_of, contains_text, in_list
 from strata.operators.paging import page, page_meta
 
-DEFAULT_YEAR_RANGE = (2000, 2023)
-EVOLUTION_MAX_GENRES = 5
 
 
 def _where(df: DataFrame, *conds) -> DataFrame:
@@ -127,7 +128,7 @@ def top_artists_of(dm_artists: DataFrame, decade: int, n: int) -> DataFrame:
             .orderBy("rank_in_decade", "artist_name").limit(n))
 
 
-def hits_of(dm_hits: DataFrame, genre: str, year: int, n: int = 10) -> DataFrame:
+def hits_of(dm_hits: DataFrame, genre: str, year: int, n: int = TOP_HITS_SHOWN) -> DataFrame:
     return (dm_hits.filter((F.col("genre") == genre) & (F.col("year") == year))
             .select("track_name", "artist_name", "popularity", "danceability", "energy",
                     "valence", "tempo", "rank_in_year", "track_id")
@@ -135,7 +136,7 @@ def hits_of(dm_hits: DataFrame, genre: str, year: int, n: int = 10) -> DataFrame
 
 
 def top_tracks(dm_tracks: DataFrame, genre_list: Sequence[str], years: tuple[int, int],
-               n: int = 100) -> DataFrame:
+               n: int = RAW_TRACKS_SHOWN) -> DataFrame:
     return (_selection(dm_tracks, genre_list, years)
             .select("track_id", "track_name", "artist_name", "genre", "year", "popularity",
                     "danceability", "energy", "valence", "tempo", "popularity_category",

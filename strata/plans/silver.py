@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import group_stats
+from strata.constants import (
+    ACOUSTIC_THRESHOLD, MIN_DURATION_MS, POPULARITY_RANGE, UNIT_RANGE,
+)
 from strata.operators import enrich as E
 from strata.operators.quality import (
     Rule, Validated, dedup_groups_by_key, joint_report, key_present, validate, validated_from,
@@ -17,12 +20,12 @@ from strata.schemas import AUDIO_COLS, CATALOGUE_COLS, KEY
 from strata.session import materialize
 
 CATALOGUE_RULES = [
-    Rule(5, "R5_min_duration", lambda: F.col("duration_ms") > 30000),
+    Rule(5, "R5_min_duration", lambda: F.col("duration_ms") > MIN_DURATION_MS),
 ]
 AUDIO_RULES = [
-    Rule(3, "R3_popularity_range", lambda: F.col("popularity").between(0, 100)),
-    Rule(4, "R4_unit_range", lambda: F.col("danceability").between(0.0, 1.0)
-         & F.col("energy").between(0.0, 1.0)),
+    Rule(3, "R3_popularity_range", lambda: F.col("popularity").between(*POPULARITY_RANGE)),
+    Rule(4, "R4_unit_range", lambda: F.col("danceability").between(*UNIT_RANGE)
+         & F.col("energy").between(*UNIT_RANGE)),
 ]
 R6 = (6, "R6_key_in_catalogue")
 
@@ -89,7 +92,7 @@ def with_scalars(df: DataFrame) -> DataFrame:
         "decade": E.decade("year"),
         "duration_sec": E.duration_sec("duration_ms"),
         "popularity_category": E.popularity_category("popularity"),
-        "is_acoustic": E.at_least("acousticness", 0.5),
+        "is_acoustic": E.at_least("acousticness", ACOUSTIC_THRESHOLD),
     })
 
 
