@@ -37,13 +37,21 @@ def read_csv_wide(spark: SparkSession, path: str, *, multi_line: bool = True,
 
 
 def read_raw_parquet(spark: SparkSession, path: str, *, as_of: Optional[_dt.date] = None,
-                     drop_partitions: bool = True) -> DataFrame:
+                     drop_partitions: bool = True,
+                     schema: Optional[StructType] = None) -> DataFrame:
     """Scan a date-partitioned raw dataset.
 
     ``as_of`` keeps one ingestion day and is pruned at the directory level;
     the default reads every day. Partition columns are dropped unless asked.
+    ``schema`` projects to the declared columns (extra landed columns, such as a
+    load timestamp, are left out and never read).
     """
     df = spark.read.parquet(path)
+    if schema is not None:
+        keep = [f.name for f in schema.fields]
+        if not drop_partitions:
+            keep += [c for c in RAW_PARTITION_COLS if c in df.columns]
+        df = df.select(*keep)
     if as_of is not None:
         df = df.filter((F.col("ingestion_year") == as_of.year)
                        & (F.col("ingestion_month") == as_of.month)

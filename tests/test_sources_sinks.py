@@ -99,3 +99,15 @@ def test_persisted_releases(spark):
         assert d.is_cached
         assert d.count() == 10
     assert not df.is_cached
+
+
+def test_raw_read_projects_to_declared_schema(spark):
+    from pyspark.sql import functions as F
+    from strata.schemas import CATALOGUE
+    path = scratch_path(spark, "test-raw-extra")
+    df = spark.createDataFrame([("k", "t", "a", "g", 2000, 40000)], CATALOGUE)
+    write_raw_parquet(add_ingestion_partition(df.withColumn("created_at", F.current_timestamp()), "2024-01-01"),
+                      path, "append")
+    back = read_raw_parquet(spark, path, schema=CATALOGUE)
+    assert back.columns == CATALOGUE.names
+    assert "created_at" not in back._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
