@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "dq_report", "silver_enriched", "genre_stats", "dm_genre_trends", "dm_top_artists",
-    "dm_hits", "rank_in_genre", "rank_in_genre_window", "lag_prev", "page",
+    "dm_hits", "rank_in_genre", "rank_in_genre_window", "lag_prev", "lag_prev_blocked", "page",
 ]
 
 

@@ -63,8 +63,15 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
     return df.join(hist, cond, "inner").drop(*[f"_h_{k}" for k in keys])
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Row count of the largest ``by`` group (one map-side-combined aggregate)."""
+    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
 def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, *,
-               blocks: Optional[Sequence[Column]] = None) -> DataFrame:
+               blocks: Optional[Sequence[Column]] = None,
+               max_group_rows: Optional[int] = None) -> DataFrame:
     """``lag(value, 1)`` over ``partitionBy(by).orderBy(order)`` (ascending, nulls first).
 
     ``order`` must be a total order within a group for a deterministic result.
@@ -73,8 +80,14 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     sorted on its own, and the last value of each block is carried into the next
     block of the same group through a small per-block summary, so no task ever
     holds a whole group.
+
+    With ``max_group_rows`` the largest group is measured first and the plain
+    window is used when it is no larger (then every group fits one task anyway);
+    pass a persisted or checkpointed ``df`` since the check is an action.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order]
+    if blocks and max_group_rows is not None and largest_group(df, by) <= max_group_rows:
+        blocks = None
     if not blocks:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_cols)))
 

@@ -298,6 +298,8 @@ def oracle_sql() -> dict[str, str]:
         "rank_in_genre": sql("SELECT track_id, genre, popularity, rank_in_genre FROM silver", "silver"),
         "rank_in_genre_window": sql("SELECT track_id, genre, popularity, rank_in_genre FROM silver", "silver"),
         "lag_prev": sql("SELECT track_id, artist_name, year, popularity, pop_prev_year FROM silver", "silver"),
+        "lag_prev_blocked": sql("SELECT track_id, artist_name, year, popularity, pop_prev_year FROM silver",
+                                "silver"),
         "exact_avg": sql(f"SELECT genre, {eavg('valence', 4)} AS avg_valence, {eavg('liveness', 4)} AS avg_liveness, "
                          f"{eavg('loudness', 2)} AS avg_loudness, {eavg('speechiness', 4)} AS avg_speechiness "
                          "FROM unified GROUP BY genre", "unified"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Optional
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,19 +97,24 @@ def with_scalars(df: DataFrame) -> DataFrame:
     })
 
 
+LAG_WINDOW_MAX_ROWS = 1_000_000
+
+
 def enrich(unified: DataFrame, *, rank_form: str = "histogram", lag_prefix: int = 3,
+           lag_window_max_rows: Optional[int] = LAG_WINDOW_MAX_ROWS,
            checkpoint: bool = True) -> DataFrame:
     """Add ``rank_in_genre``, ``pop_prev_year`` and the per-row columns.
 
     ``rank_form='histogram'`` ranks popularity (an int in 0..100 after R3) through
     a (genre, popularity) histogram instead of sorting each genre in one task.
     ``pop_prev_year`` is the previous track of the artist ordered by
-    (year, track_id), computed in (artist, year, key-prefix) blocks.
+    (year, track_id), computed in (artist, year, key-prefix) blocks unless the
+    largest artist has at most ``lag_window_max_rows`` rows (then one window).
     """
     df = materialize(unified) if checkpoint else unified
     blocks = [F.col("year"), F.substring(KEY, 1, lag_prefix)] if lag_prefix else None
     df = lag_within(df, ["artist_name"], ["year", KEY], "popularity", "pop_prev_year",
-                    blocks=blocks)
+                    blocks=blocks, max_group_rows=lag_window_max_rows)
     if rank_form == "histogram":
         df = rank_by_histogram(df, ["genre"], "popularity", name="rank_in_genre")
     elif rank_form == "window":

@@ -284,6 +284,13 @@ def q_lag_prev(spark, sf):
     return silver_full(spark, sf).select(KEY, "artist_name", "year", "popularity", "pop_prev_year")
 
 
+def q_lag_prev_blocked(spark, sf):
+    """The lag with the (artist, year, key-prefix) block form forced, as used when
+    an artist is too large for one task."""
+    s = silver.enrich(unified(spark, sf), lag_window_max_rows=None)
+    return s.select(KEY, "artist_name", "year", "popularity", "pop_prev_year")
+
+
 def q_exact_avg(spark, sf):
     return unified(spark, sf).groupBy("genre").agg(
         exact_avg("valence", 4).alias("avg_valence"),

@@ -43,3 +43,21 @@ def test_top_n_keeps_ties(spark):
     out = top_n(df, ["g", "y"], "p", 10, name="rank_in_year")
     assert out.count() == 12
     assert {r["rank_in_year"] for r in out.collect()} == {1}
+
+
+def test_lag_size_check_picks_a_form_with_equal_results(spark):
+    df = _data(spark)
+    plain = lag_within(df, ["g"], ["year", "id"], "v", "prev")
+    for limit in (0, 10**9):   # 0 forces blocks, a large bound allows the window
+        out = lag_within(df, ["g"], ["year", "id"], "v", "prev", blocks=[F.col("year")],
+                         max_group_rows=limit)
+        assert rows(plain, "id", "prev") == rows(out, "id", "prev")
+
+
+def test_enrich_blocked_lag_matches(spark):
+    from strata import registry as R
+    from strata.plans import silver
+    u = R.unified(spark, "/root/testdata/sf0.001")
+    a = silver.enrich(u, lag_window_max_rows=None)
+    b = silver.enrich(u)
+    assert rows(a) == rows(b)
