@@ -63,10 +63,14 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
     return df.join(hist, cond, "inner").drop(*[f"_h_{k}" for k in keys])
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Row count of the largest ``by`` group (one map-side-combined aggregate)."""
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
+def large_groups(df: DataFrame, by: Sequence[str], max_rows: int) -> DataFrame:
+    """The ``by`` keys of groups with more than ``max_rows`` rows, checkpointed.
+
+    There are at most ``rows(df) / max_rows`` of them, so the result is small by
+    construction (one map-side-combined aggregate computes it).
+    """
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(sizes.filter(F.col("_n") > max_rows).select(*by))
 
 
 def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, *,
@@ -81,18 +85,34 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     block of the same group through a small per-block summary, so no task ever
     holds a whole group.
 
-    With ``max_group_rows`` the largest group is measured first and the plain
-    window is used when it is no larger (then every group fits one task anyway);
-    pass a persisted or checkpointed ``df`` since the check is an action.
+    With ``max_group_rows`` only groups larger than that are split into blocks;
+    the others stay one block each (so blocks are not created where no task is at
+    risk), and when no group is that large the plain window is used. The large
+    groups' keys (at most rows / ``max_group_rows`` of them) are broadcast after
+    their count is checked. The check is an action: pass a persisted or
+    checkpointed ``df``.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order]
-    if blocks and max_group_rows is not None and largest_group(df, by) <= max_group_rows:
-        blocks = None
+    big = None
+    if blocks and max_group_rows is not None:
+        big = large_groups(df, by, max_group_rows)
+        n_big = big.count()
+        if n_big == 0:
+            blocks = None
+        elif n_big <= DEFAULT_BROADCAST_ROWS:
+            big = F.broadcast(big)
     if not blocks:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_cols)))
 
     bnames = [f"_blk{i}" for i in range(len(blocks))]
-    x = df.withColumns(dict(zip(bnames, blocks)))
+    if big is None:
+        x = df.withColumns(dict(zip(bnames, blocks)))
+    else:
+        marks = big.select(*[F.col(c).alias(f"_big_{c}") for c in by], F.lit(True).alias("_big"))
+        cond = [df[c].eqNullSafe(marks[f"_big_{c}"]) for c in by]
+        x = (df.join(marks, cond, "left").drop(*[f"_big_{c}" for c in by])
+               .withColumns({b: F.when(F.col("_big"), e) for b, e in zip(bnames, blocks)})
+               .drop("_big"))
     last = x.groupBy(*by, *bnames).agg(F.max_by(F.col(value), F.struct(*order)).alias("_last"))
     prev_block = Window.partitionBy(*by).orderBy(*[F.col(b).asc_nulls_first() for b in bnames])
     carry = last.select(*by, *bnames, F.lag("_last").over(prev_block).alias("_v"),
