@@ -56,7 +56,7 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
                        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int").alias(name))
-    hist = materialize(hist)
+    hist = materialize(hist, small=True)
     if hist.count() <= broadcast_rows:
         hist = F.broadcast(hist)
     cond = [df[k].eqNullSafe(hist[f"_h_{k}"]) for k in keys]
@@ -70,7 +70,7 @@ def large_groups(df: DataFrame, by: Sequence[str], max_rows: int) -> DataFrame:
     construction (one map-side-combined aggregate computes it).
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    return materialize(sizes.filter(F.col("_n") > max_rows).select(*by))
+    return materialize(sizes.filter(F.col("_n") > max_rows).select(*by), small=True)
 
 
 def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, *,
