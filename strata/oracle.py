@@ -315,6 +315,14 @@ def oracle_sql() -> dict[str, str]:
                                  "dm_tracks"),
         "gold_typed_artists": sql("SELECT " + ", ".join(_typed(c, t) for c, t in ARTIST_TYPES)
                                   + " FROM dm_artists", "dm_artists"),
+        "gold_counts": sql("SELECT 'dm_track_popularity' AS mart, count(*) AS n_rows FROM dm_tracks "
+                           "UNION ALL SELECT 'dm_genre_trends', count(*) FROM dm_trends "
+                           "UNION ALL SELECT 'dm_top_artists', count(*) FROM dm_artists "
+                           "UNION ALL SELECT 'dm_hits_emergents', count(*) FROM dm_hits",
+                           "dm_tracks", "dm_trends", "dm_artists", "dm_hits"),
+        "top_influence": sql("SELECT artist_name, decade, influence_score, rank_in_decade FROM dm_artists "
+                             "ORDER BY influence_score DESC NULLS LAST, artist_name, decade LIMIT 10",
+                             "dm_artists"),
         "check_silver": sql(
             "SELECT count(*) AS total_rows, count(DISTINCT track_id) AS distinct_tracks, "
             "count(*) FILTER (WHERE track_id IS NULL OR track_id = '') AS null_track_id, "

@@ -128,6 +128,13 @@ def top_artists_of(dm_artists: DataFrame, decade: int, n: int) -> DataFrame:
             .orderBy("rank_in_decade", "artist_name").limit(n))
 
 
+def most_influential(dm_artists: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` (artist, decade) rows by influence score over all decades."""
+    return (dm_artists.select("artist_name", "decade", "influence_score", "rank_in_decade")
+            .orderBy(F.col("influence_score").desc_nulls_last(), "artist_name", "decade")
+            .limit(n))
+
+
 def hits_of(dm_hits: DataFrame, genre: str, year: int, n: int = TOP_HITS_SHOWN) -> DataFrame:
     return (dm_hits.filter((F.col("genre") == genre) & (F.col("year") == year))
             .select("track_name", "artist_name", "popularity", "danceability", "energy",

@@ -339,6 +339,24 @@ def q_gold_typed_artists(spark, sf):
     return gold.typed(mart_artists(spark, sf), "dm_top_artists")
 
 
+def q_gold_counts(spark, sf):
+    """Row count of each gold mart (one row per mart), all built from one silver table."""
+    from functools import reduce
+    s = silver_full(spark, sf)
+    built = {"dm_track_popularity": gold.dm_tracks(s, AS_OF),
+             "dm_genre_trends": gold.dm_genre_trends(s, AS_OF),
+             "dm_top_artists": gold.dm_top_artists(s, AS_OF),
+             "dm_hits_emergents": gold.dm_hits(s, AS_OF)}
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows")
+             for name, df in built.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_top_influence(spark, sf):
+    """The ten most influential (artist, decade) rows overall."""
+    return marts.most_influential(mart_artists(spark, sf), 10)
+
+
 def q_check_silver(spark, sf):
     return checks.silver_probe(silver_full(spark, sf))
 
