@@ -180,16 +180,6 @@ def report_rows(agg_row: DataFrame, source, rows) -> DataFrame:
                     (F.col("rows_in") - F.col("rejected")).alias("rows_out")))
 
 
-def referential_report(child: DataFrame, parent_keys: DataFrame, key: str, source: str,
-                       order: int, name: str) -> DataFrame:
-    """Report row for "child key must exist in parent": counts orphans with one
-    left join of key columns only (keys unique on both sides)."""
-    marks = parent_keys.select(key).withColumn("_hit", F.lit(True))
-    j = child.select(key).join(marks, key, "left")
-    s = j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_hit").isNull()).alias("x"))
-    return report_rows(s, source, [(F.lit(order), F.lit(name), F.col("n"), F.col("x"))])
-
-
 def joint_report(parent: Validated, child: Validated, order: int, name: str) -> DataFrame:
     """Both sources' rule reports plus the child-in-parent rule, in one pass.
 

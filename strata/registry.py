@@ -25,7 +25,7 @@ from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
 from strata.session import scratch_path
 from strata.sinks.writers import ensure_database, write_csv, write_raw_parquet, write_table
 from strata.sources.files import read_csv_typed, read_csv_wide, read_raw_parquet, read_table
-from strata.sources.fixtures import table, typed_source, wide_source
+from strata.sources.fixtures import table, wide_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
