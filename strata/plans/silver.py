@@ -82,8 +82,10 @@ def unify(checked: Checked) -> DataFrame:
 
 
 def dq_report(checked: Checked) -> DataFrame:
-    """Rejected rows per rule and source (R1..R6): one join of the two per-key
-    frames and one aggregate, instead of a count before and after every rule."""
+    """Rejected rows per rule and source (R1..R6) from one aggregate, instead of a
+    count before and after every rule. Two separately landed sources are first
+    full-outer-joined on the key (co-partitioned, no extra shuffle); the halves of
+    one split share a per-key frame and need no join."""
     return joint_report(checked.catalogue, checked.audio, *R6)
 
 
