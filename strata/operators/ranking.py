@@ -37,7 +37,8 @@ def rank_within(df: DataFrame, by: Sequence[str], order: str, *, descending: boo
 
 
 def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descending: bool = True,
-                      name: str = "rank", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      name: str = "rank", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_rank: Optional[int] = None) -> DataFrame:
     """Exact ``rank()`` over ``partitionBy(by).orderBy(order)`` without sorting groups.
 
     rank = 1 + number of rows of the group that sort strictly before the row. The
@@ -49,6 +50,10 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
     The histogram is checkpointed once (it is small), so the size check and the
     join read it back instead of re-aggregating ``df``; pass a persisted or
     checkpointed ``df`` so the input itself is not recomputed for it.
+
+    ``max_rank`` keeps only rows ranked at most that (top-N with ties): the
+    histogram is cut first, so the join is a map-side filter and any number of
+    tied rows in one group never meet in one task.
     """
     keys = list(by) + [order]
     hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -56,6 +61,8 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
                        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int").alias(name))
+    if max_rank is not None:
+        hist = hist.filter(F.col(name) <= max_rank)
     hist = materialize(hist, small=True)
     if hist.count() <= broadcast_rows:
         hist = F.broadcast(hist)
@@ -126,8 +133,19 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
 
 
 def top_n(df: DataFrame, by: Sequence[str], order: str, n: int, *, descending: bool = True,
-          name: str = "rank") -> DataFrame:
-    """Rows with ``rank() <= n`` per group (ties kept, so a group may return more)."""
+          name: str = "rank", method: str = "window") -> DataFrame:
+    """Rows with ``rank() <= n`` per group (ties kept, so a group may return more).
+
+    ``method='window'`` plans a partial ``WindowGroupLimit`` before the shuffle;
+    the surviving ties of a group still meet in one task. ``'histogram'`` ranks
+    the (group, value) histogram and filters rows map-side with no sort at all:
+    use it when ``order`` has few distinct values (ties are then massive in big
+    groups).
+    """
+    if method == "histogram":
+        return rank_by_histogram(df, by, order, descending=descending, name=name, max_rank=n)
+    if method != "window":
+        raise ValueError(f"method must be 'window' or 'histogram', got {method!r}")
     return rank_within(df, by, order, descending=descending, name=name).filter(F.col(name) <= n)
 
 

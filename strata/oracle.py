@@ -351,7 +351,7 @@ def oracle_sql() -> dict[str, str]:
                                      "artist_name ASC NULLS FIRST", 1, 200), "dm_artists"),
         "hits_filtered": sql(_page("dm_hits", "genre = 'ECONOMY'",
                                    "year DESC NULLS LAST, rank_in_year ASC NULLS FIRST, genre ASC NULLS FIRST, "
-                                   "track_id ASC NULLS FIRST", 2, 100), "dm_hits"),
+                                   "track_id ASC NULLS FIRST", 2, 40), "dm_hits"),
         "genres": sql("SELECT DISTINCT genre FROM dm_tracks WHERE genre IS NOT NULL", "dm_tracks"),
         "year_range": sql("SELECT CAST(CASE WHEN min(year) IS NULL THEN 2000 ELSE min(year) END AS INTEGER) AS y_min, "
                           "CAST(CASE WHEN min(year) IS NULL THEN 2023 ELSE max(year) END AS INTEGER) AS y_max "

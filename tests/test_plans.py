@@ -16,15 +16,22 @@ def _final_plan(df) -> str:
     return _plan(df)
 
 
-def test_top_n_limits_before_the_shuffle(spark):
-    p = _plan(R.q_dm_hits(spark, SF_SMALL))
-    partial = p.index("WindowGroupLimit") if "Partial" in p else -1
-    assert "Partial" in p and "Final" in p and partial >= 0
+def test_window_top_n_limits_before_the_shuffle(spark):
+    from strata.operators.ranking import top_n
+    p = _plan(top_n(R.silver_rows(spark, SF_SMALL), ["genre", "year"], "popularity", 10,
+                    name="rank_in_year"))
+    assert "Partial" in p and "Final" in p
     # the partial limit sits below (after, in the text) the hash exchange on the window keys
     ex = re.search(r"Exchange hashpartitioning\(genre#\d+, year#\d+", p)
     assert ex and p.rfind("WindowGroupLimit") > ex.start()
 
 
+def test_hits_mart_is_a_broadcast_filter_without_window(spark):
+    p = _plan(R.q_dm_hits(spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p
+    assert "Window" not in p and "Exchange hashpartitioning" not in p
+
+
 def test_fused_split_dedup_is_one_shuffle_and_no_join(spark):
     p = _plan(R.q_silver_unified(spark, SF_SMALL))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1

@@ -61,3 +61,11 @@ def test_enrich_blocked_lag_matches(spark):
     a = silver.enrich(u, lag_window_max_rows=None)
     b = silver.enrich(u)
     assert rows(a) == rows(b)
+
+
+def test_top_n_histogram_equals_window(spark):
+    df = _data(spark)
+    for n in (1, 3, 10):
+        a = top_n(df, ["g", "year"], "v", n, name="r")
+        b = top_n(df, ["g", "year"], "v", n, name="r", method="histogram")
+        assert rows(a, "id", "r") == rows(b, "id", "r")
