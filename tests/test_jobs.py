@@ -46,3 +46,15 @@ def test_results_do_not_depend_on_partitioning(spark):
     base = marts(1)
     for n in (7, 64):
         assert marts(n) == base
+
+
+def test_landing_rerun_replaces_only_its_day(spark):
+    from strata.plans.jobs import land_raw
+    from strata.sources.files import read_raw_parquet
+    root = scratch_path(spark, "job-rerun")
+    wide = wide_source(spark, SF_SMALL)
+    for day in ("2024-06-29", "2024-06-30", "2024-06-30"):   # the last run is a restart
+        land_raw(spark, wide, JobConfig(raw_root=root, as_of=day))
+    back = read_raw_parquet(spark, f"{root}/audio_features", drop_partitions=False)
+    days = {r["ingestion_day"]: r["count"] for r in back.groupBy("ingestion_day").count().collect()}
+    assert days == {29: 6000, 30: 6000}
