@@ -22,6 +22,7 @@ ACOUSTIC_THRESHOLD = 0.5           # acousticness >= 0.5 -> is_acoustic
 HITS_PER_GROUP = 10                # rank <= 10 per (genre, year), ties kept
 
 # Serving
+TEXT_COLLATION = "UNICODE_CI_AI"   # text filters compare case- and accent-insensitively
 DEFAULT_PAGE_SIZE = 50
 MAX_PAGE_SIZE = 200
 DEFAULT_YEAR_RANGE = (2000, 2023)  # year filter domain of an empty mart

@@ -32,6 +32,14 @@ def contains_text(c: str | Column, text: str, collation: str = "UTF8_BINARY") ->
     return F.contains(col, F.lit(text))
 
 
+def equals_text(c: str | Column, value: str, collation: str = "UTF8_BINARY") -> Column:
+    """String equality under ``collation`` (binary by default)."""
+    col = F.col(c) if isinstance(c, str) else c
+    if collation != "UTF8_BINARY":
+        col = F.collate(col, collation)
+    return col == F.lit(value)
+
+
 def in_list(c: str | Column, values: Iterable) -> Column:
     """``c IN (values)``; an empty list matches nothing."""
     vals = list(values)

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.constants import (
-    DEFAULT_YEAR_RANGE, EVOLUTION_MAX_GENRES, RAW_TRACKS_SHOWN, TOP_HITS_SHOWN,
+    DEFAULT_YEAR_RANGE, EVOLUTION_MAX_GENRES, RAW_TRACKS_SHOWN, TEXT_COLLATION, TOP_HITS_SHOWN,
 )
 from strata.functions.exact import exact_avg
-from strata.functions.predicates import all_of, contains_text, in_list
+from strata.functions.predicates import all_of, contains_text, equals_text, in_list
 from strata.operators.paging import page, page_meta
 
 
@@ -28,13 +28,19 @@ def _eq(c: str, v):
     return None if v is None else (F.col(c) == F.lit(v))
 
 
+def _eq_text(c: str, v: Optional[str], collation: str):
+    return None if v is None else equals_text(c, v, collation)
+
+
 def tracks_filter(dm: DataFrame, *, artist: Optional[str] = None, genre: Optional[str] = None,
                   year: Optional[int] = None, min_popularity: Optional[int] = None,
-                  max_rank: Optional[int] = None, collation: str = "UTF8_BINARY") -> DataFrame:
+                  max_rank: Optional[int] = None, collation: str = TEXT_COLLATION) -> DataFrame:
+    """Optional filters of the track list; text filters use ``collation``
+    (case- and accent-insensitive by default), the artist text is taken literally."""
     return _where(
         dm,
         None if artist is None else contains_text("artist_name", artist, collation),
-        _eq("genre", genre), _eq("year", year),
+        _eq_text("genre", genre, collation), _eq("year", year),
         None if min_popularity is None else F.col("popularity") >= min_popularity,
         None if max_rank is None else F.col("rank_in_genre") <= max_rank,
     )
@@ -51,23 +57,25 @@ def tracks_meta(dm: DataFrame, *, page_no: int = 1, page_size: int = 50, **filte
 
 
 def genre_trends(dm: DataFrame, *, genre: Optional[str] = None, decade: Optional[int] = None,
-                 page_no: int = 1, page_size: int = 50) -> DataFrame:
-    df = _where(dm, _eq("genre", genre), _eq("decade", decade))
+                 page_no: int = 1, page_size: int = 50,
+                 collation: str = TEXT_COLLATION) -> DataFrame:
+    df = _where(dm, _eq_text("genre", genre, collation), _eq("decade", decade))
     return page(df, [F.col("decade").asc_nulls_first(), F.col("avg_popularity").desc_nulls_last()],
                 ["genre"], page_no, page_size)
 
 
 def top_artists(dm: DataFrame, *, decade: Optional[int] = None, genre: Optional[str] = None,
-                max_rank: Optional[int] = None, page_no: int = 1, page_size: int = 50) -> DataFrame:
-    df = _where(dm, _eq("decade", decade), _eq("main_genre", genre),
+                max_rank: Optional[int] = None, page_no: int = 1, page_size: int = 50,
+                collation: str = TEXT_COLLATION) -> DataFrame:
+    df = _where(dm, _eq("decade", decade), _eq_text("main_genre", genre, collation),
                 None if max_rank is None else F.col("rank_in_decade") <= max_rank)
     return page(df, [F.col("decade").asc_nulls_first(), F.col("rank_in_decade").asc_nulls_first()],
                 ["artist_name"], page_no, page_size)
 
 
 def hits(dm: DataFrame, *, genre: Optional[str] = None, year: Optional[int] = None,
-         page_no: int = 1, page_size: int = 50) -> DataFrame:
-    df = _where(dm, _eq("genre", genre), _eq("year", year))
+         page_no: int = 1, page_size: int = 50, collation: str = TEXT_COLLATION) -> DataFrame:
+    df = _where(dm, _eq_text("genre", genre, collation), _eq("year", year))
     return page(df, [F.col("year").desc_nulls_last(), F.col("rank_in_year").asc_nulls_first()],
                 ["genre", "track_id"], page_no, page_size)
 

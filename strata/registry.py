@@ -373,7 +373,8 @@ def q_check_genres_gold(spark, sf):
 
 # ---------------------------------------------------------------- serving
 def q_tracks_artist(spark, sf):
-    return marts.tracks(mart_tracks(spark, sf), artist="#00000002", page_no=1, page_size=50)
+    return marts.tracks(mart_tracks(spark, sf), artist="#00000002", page_no=1, page_size=50,
+                        collation="UTF8_BINARY")
 
 
 def q_tracks_artist_ci(spark, sf):

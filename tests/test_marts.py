@@ -47,5 +47,8 @@ def test_track_filters_zero_is_a_value(spark):
     assert marts.tracks_filter(dm).count() == 2
     assert marts.tracks_filter(dm, min_popularity=0).count() == 2
     assert marts.tracks_filter(dm, min_popularity=1).count() == 1
-    assert marts.tracks_filter(dm, artist="x", collation="UNICODE_CI_AI").count() == 1
+    assert marts.tracks_filter(dm, artist="x").count() == 1          # default: case-insensitive
+    assert marts.tracks_filter(dm, artist="x", collation="UTF8_BINARY").count() == 0
+    assert marts.tracks_filter(dm, genre="POP").count() == 1
+    assert marts.tracks_filter(dm, genre="POP", collation="UTF8_BINARY").count() == 0
     assert marts.tracks_filter(dm, genre="pop", year=2001).count() == 0
