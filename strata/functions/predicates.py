@@ -40,10 +40,12 @@ def equals_text(c: str | Column, value: str, collation: str = "UTF8_BINARY") ->
     return col == F.lit(value)
 
 
-def in_list(c: str | Column, values: Iterable) -> Column:
-    """``c IN (values)``; an empty list matches nothing."""
+def in_list(c: str | Column, values: Iterable, collation: str = "UTF8_BINARY") -> Column:
+    """``c IN (values)`` under ``collation``; an empty list matches nothing."""
     vals = list(values)
     col = F.col(c) if isinstance(c, str) else c
     if not vals:
         return F.lit(False)
+    if collation != "UTF8_BINARY":
+        col = F.collate(col, collation)
     return col.isin(vals)

@@ -96,8 +96,10 @@ def year_range(dm_tracks: DataFrame, default: tuple[int, int] = DEFAULT_YEAR_RAN
         F.when(mn.isNull(), F.lit(default[1])).otherwise(mx).cast("int").alias("y_max"))
 
 
-def _selection(dm: DataFrame, genre_list: Sequence[str], years: tuple[int, int]) -> DataFrame:
-    return dm.filter(in_list("genre", genre_list) & F.col("year").between(years[0], years[1]))
+def _selection(dm: DataFrame, genre_list: Sequence[str], years: tuple[int, int],
+               collation: str = TEXT_COLLATION) -> DataFrame:
+    return dm.filter(in_list("genre", genre_list, collation)
+                     & F.col("year").between(years[0], years[1]))
 
 
 def summary(dm_tracks: DataFrame, genre_list: Sequence[str], years: tuple[int, int]) -> DataFrame:
@@ -123,7 +125,7 @@ def popularity_by_genre(dm_tracks: DataFrame, genre_list: Sequence[str],
 def evolution(dm_trends: DataFrame, genre_list: Sequence[str]) -> DataFrame:
     """Genre x decade series for at most the first five selected genres."""
     chosen = list(genre_list)[:EVOLUTION_MAX_GENRES]
-    return (dm_trends.filter(in_list("genre", chosen))
+    return (dm_trends.filter(in_list("genre", chosen, TEXT_COLLATION))
             .select("genre", "decade", "avg_popularity", "avg_danceability", "avg_energy",
                     "nb_tracks")
             .orderBy("genre", "decade"))
@@ -144,7 +146,7 @@ def most_influential(dm_artists: DataFrame, n: int = 10) -> DataFrame:
 
 
 def hits_of(dm_hits: DataFrame, genre: str, year: int, n: int = TOP_HITS_SHOWN) -> DataFrame:
-    return (dm_hits.filter((F.col("genre") == genre) & (F.col("year") == year))
+    return (dm_hits.filter(equals_text("genre", genre, TEXT_COLLATION) & (F.col("year") == year))
             .select("track_name", "artist_name", "popularity", "danceability", "energy",
                     "valence", "tempo", "rank_in_year", "track_id")
             .orderBy("rank_in_year", "track_id").limit(n))
