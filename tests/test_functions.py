@@ -69,3 +69,14 @@ def test_optional_conjunction_and_in_list(spark):
     # case/accent-insensitive collation
     assert df.filter(contains_text("name", "CAFE", "UNICODE_CI_AI")).count() == 2
     assert df.filter(contains_text("name", "CAFE")).count() == 0
+
+
+def test_collated_equality_and_in_list(spark):
+    from strata.functions.predicates import equals_text
+    df = spark.createDataFrame([("Pop",), ("pöp",), ("rock",), ("ROCK",)], "g string")
+    ci = "UNICODE_CI_AI"
+    assert df.filter(equals_text("g", "POP", ci)).count() == 2
+    assert df.filter(equals_text("g", "Pop")).count() == 1
+    assert df.filter(in_list("g", ["pop", "rock"], ci)).count() == 4
+    assert df.filter(in_list("g", ["pop", "rock"])).count() == 1
+    assert df.filter(in_list("g", [], ci)).count() == 0
