@@ -16,9 +16,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     setting gets a folder of its own, so tests can run anywhere.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        sc.setCheckpointDir(root)  # so checkpoint() uses the folder the cluster names
+        return (sc.getCheckpointDir() or root).rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a shared folder "
