@@ -116,16 +116,26 @@ def enrich(unified: DataFrame, *, rank_form: str = "histogram", lag_prefix: int
     largest artist has at most ``lag_window_max_rows`` rows (then one window).
     """
     df = materialize(unified) if checkpoint else unified
+    df = add_lag(df, lag_prefix=lag_prefix, lag_window_max_rows=lag_window_max_rows)
+    df = add_rank(df, rank_form=rank_form)
+    return with_scalars(df).select(*ENRICHED_COLUMNS)
+
+
+def add_lag(df: DataFrame, *, lag_prefix: int = 3,
+            lag_window_max_rows: Optional[int] = LAG_WINDOW_MAX_ROWS) -> DataFrame:
+    """``pop_prev_year``: popularity of the artist's previous track by (year, track_id)."""
     blocks = [F.col("year"), F.substring(KEY, 1, lag_prefix)] if lag_prefix else None
-    df = lag_within(df, ["artist_name"], ["year", KEY], "popularity", "pop_prev_year",
-                    blocks=blocks, max_group_rows=lag_window_max_rows)
+    return lag_within(df, ["artist_name"], ["year", KEY], "popularity", "pop_prev_year",
+                      blocks=blocks, max_group_rows=lag_window_max_rows)
+
+
+def add_rank(df: DataFrame, *, rank_form: str = "histogram") -> DataFrame:
+    """``rank_in_genre``: rank by popularity (descending) within the genre."""
     if rank_form == "histogram":
-        df = rank_by_histogram(df, ["genre"], "popularity", name="rank_in_genre")
-    elif rank_form == "window":
-        df = rank_within(df, ["genre"], "popularity", name="rank_in_genre")
-    else:
-        raise ValueError(f"rank_form must be 'histogram' or 'window', got {rank_form!r}")
-    return with_scalars(df).select(*ENRICHED_COLUMNS)
+        return rank_by_histogram(df, ["genre"], "popularity", name="rank_in_genre")
+    if rank_form == "window":
+        return rank_within(df, ["genre"], "popularity", name="rank_in_genre")
+    raise ValueError(f"rank_form must be 'histogram' or 'window', got {rank_form!r}")
 
 
 def genre_stats(silver: DataFrame) -> DataFrame:

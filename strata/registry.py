@@ -274,7 +274,8 @@ def q_enrich_flag(spark, sf):
 
 
 def q_rank_in_genre(spark, sf):
-    return silver_full(spark, sf).select(KEY, "genre", "popularity", "rank_in_genre")
+    return silver.add_rank(materialize(unified(spark, sf))).select(
+        KEY, "genre", "popularity", "rank_in_genre")
 
 
 def q_rank_in_genre_window(spark, sf):
@@ -283,7 +284,8 @@ def q_rank_in_genre_window(spark, sf):
 
 
 def q_lag_prev(spark, sf):
-    return silver_full(spark, sf).select(KEY, "artist_name", "year", "popularity", "pop_prev_year")
+    return silver.add_lag(materialize(unified(spark, sf))).select(
+        KEY, "artist_name", "year", "popularity", "pop_prev_year")
 
 
 LAG_BLOCK_TEST_ROWS = 400  # small bound so the block path runs on the test tables
@@ -292,7 +294,7 @@ LAG_BLOCK_TEST_ROWS = 400  # small bound so the block path runs on the test tabl
 def q_lag_prev_blocked(spark, sf):
     """The lag with artists above a small bound split into (year, key-prefix)
     blocks, as happens to any artist too large for one task."""
-    s = silver.enrich(unified(spark, sf), lag_window_max_rows=LAG_BLOCK_TEST_ROWS)
+    s = silver.add_lag(materialize(unified(spark, sf)), lag_window_max_rows=LAG_BLOCK_TEST_ROWS)
     return s.select(KEY, "artist_name", "year", "popularity", "pop_prev_year")
 
 
