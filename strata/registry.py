@@ -71,7 +71,9 @@ def silver_full(spark: SparkSession, sf: str, rank_form: str = "histogram") -> D
 
 
 def mart_tracks(spark, sf):
-    return gold.dm_tracks(silver_full(spark, sf), AS_OF)
+    # DM1 needs the rank but not the lag column, so only the rank step runs
+    ranked = silver.add_rank(materialize(unified(spark, sf)))
+    return gold.dm_tracks(silver.with_scalars(ranked), AS_OF)
 
 
 def mart_trends(spark, sf):
