@@ -62,7 +62,7 @@ def unified(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver columns without the two windows (enough for every aggregate mart)."""
+    """Silver columns without rank_in_genre and pop_prev_year (enough for every aggregate mart)."""
     return silver.with_scalars(unified(spark, sf))
 
 
