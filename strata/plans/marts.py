@@ -108,7 +108,7 @@ def summary(dm_tracks: DataFrame, genre_list: Sequence[str], years: tuple[int, i
     return s.agg(
         F.count(F.lit(1)).alias("total_tracks"),
         F.countDistinct("genre").alias("nb_genres"),
-        exact_avg("popularity", 1).alias("avg_pop"),
+        exact_avg("popularity", 1, precision=8).alias("avg_pop"),   # bounded by R3
         exact_avg("tempo", 1).alias("avg_tempo"),
     )
 
@@ -117,7 +117,7 @@ def popularity_by_genre(dm_tracks: DataFrame, genre_list: Sequence[str],
                         years: tuple[int, int]) -> DataFrame:
     s = _selection(dm_tracks, genre_list, years)
     return (s.groupBy("genre")
-             .agg(exact_avg("popularity", 2).alias("avg_popularity"),
+             .agg(exact_avg("popularity", 2, precision=8).alias("avg_popularity"),
                   F.count(F.lit(1)).alias("total_tracks"))
              .orderBy(F.col("avg_popularity").desc_nulls_last(), "genre"))
 
