@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from strata.oracle import oracle_sql
+from strata.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tools.compare import compare_one, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
