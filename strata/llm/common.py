@@ -24,6 +24,11 @@ def words(text: str | Column) -> Column:
     return F.array_remove(F.split(text_or_empty(text), SPACE_CLASS + "+"), "")
 
 
+def n_words(text: str | Column) -> Column:
+    """Number of words, without building them."""
+    return F.regexp_count(text_or_empty(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+
+
 def ascii_lower(text: str | Column) -> Column:
     """Lower-case A-Z only. Pure ASCII text takes the fast built-in."""
     c = text_or_empty(text)
