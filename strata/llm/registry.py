@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import hilbert
+from strata.llm import cascade, curriculum, decontaminate, hilbert
 
-MODULES = [hilbert]
+MODULES = [hilbert, cascade, decontaminate, curriculum]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
