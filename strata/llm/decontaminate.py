@@ -88,7 +88,9 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
     windowed = [windows_of("_words", "_hashes", k) for k in lengths]
     if not windowed:                                             # nothing to look for
         windowed = [F.filter(windows_of("_words", "_hashes", 1), lambda x: F.lit(False))]
-    hits = (d.select(*ROW_KEY, F.explode(F.concat(*windowed)).alias("_at"))
+    # explode_outer: the optimiser would push explode's own not-empty filter below the
+    # projections and compute the hashes again for every window.
+    hits = (d.select(*ROW_KEY, F.explode_outer(F.concat(*windowed)).alias("_at"))
             .select(*ROW_KEY, "_at.hash", "_at.words", "_at.at", "_at.n")
             .join(found, F.col("hash") == F.col("_hash"))
             .filter(F.col("words") == F.col("window"))
