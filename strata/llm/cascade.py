@@ -85,18 +85,15 @@ def window_hash(hashes: Column, at: Column, n: int) -> Column:
     return F.xxhash64(*[F.get(hashes, at + j) for j in range(n)])
 
 
-def _repeat_words(win: Column, n: int) -> Column:
-    """Words inside windows that occur at least twice, from the windows' hashes."""
-    pairs = F.sort_array(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
-    def twins(p: Column) -> Column:
-        return F.filter(p, lambda x, k: (F.get(p, k - 1)["h"] == x["h"])
-                        | (F.get(p, k + 1)["h"] == x["h"]))
-
-    at = F.sort_array(F.transform(twins(pairs), lambda x: x["i"]))
-    last = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+def _covered(pairs: str, n: int) -> Column:
+    """Words inside windows that occur at least twice, from the column of sorted
+    (window hash, start) pairs. A column, not an expression: the lambda looks at both
+    neighbours, and an expression would be computed again for every element."""
+    p = F.col(pairs)
+    twins = F.filter(p, lambda x, k: (F.get(p, k - 1)["h"] == x["h"]) | (F.get(p, k + 1)["h"] == x["h"]))
+    starts = F.sort_array(F.transform(twins, lambda x: x["i"]))
     return F.aggregate(
-        at, last,
+        starts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda acc, i: F.struct((i + n).alias("end"),
                                 (acc["n"] + i + n - F.greatest(i, acc["end"])).alias("n")),
         lambda acc: acc["n"])
@@ -125,9 +122,11 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         F.col("n_words") >= WINDOW,
         F.transform(F.sequence(F.lit(0), F.size("_hashes") - WINDOW),
                     lambda i: window_hash(F.col("_hashes"), i, WINDOW)))).drop("_hashes")
-    out = out.withColumn("n_repeat_words", F.when(
+    out = out.withColumn("_pairs", F.when(
         F.size(F.array_distinct("_win")) < F.size("_win"),
-        _repeat_words(F.col("_win"), WINDOW)).otherwise(0).cast("long")).drop("_win")
+        F.sort_array(F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))).drop("_win")
+    out = out.withColumn("n_repeat_words", F.when(
+        F.col("_pairs").isNotNull(), _covered("_pairs", WINDOW)).otherwise(0).cast("long")).drop("_pairs")
     return out.withColumn("base_failed", (F.col("n_words") < 20)
                           | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
