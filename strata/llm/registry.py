@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import cascade, curriculum, decontaminate, hilbert
+from strata.llm import cascade, curriculum, decontaminate, hilbert, ppm
 
-MODULES = [hilbert, cascade, decontaminate, curriculum]
+MODULES = [hilbert, cascade, decontaminate, ppm, curriculum]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
