@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import cascade, curriculum, decontaminate, hilbert, ppm
+from strata.llm import cascade, chat, curriculum, decontaminate, hilbert, ppm, secrets
 
-MODULES = [hilbert, cascade, decontaminate, ppm, curriculum]
+MODULES = [hilbert, cascade, chat, secrets, decontaminate, ppm, curriculum]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
