@@ -100,6 +100,12 @@ class Trie:
                 long["seen"] = np.add.reduceat(n[at], long["begin"])
             self.orders.append(order)
 
+    @classmethod
+    def of(cls, orders: list[dict]) -> "Trie":
+        trie = cls.__new__(cls)
+        trie.orders = orders
+        return trie
+
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of the byte after its context, for distinct codes."""
         out = np.zeros(len(codes))
@@ -181,10 +187,11 @@ def score(docs: DataFrame, trie: Trie, words: tuple[np.ndarray, np.ndarray], key
     its own), ``n_words``, and of the words sent along (hashes, log10 of count + 0.1)
     how many it has and their sum, with the hashes of all other words."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((trie, *words))
+    model = spark.sparkContext.broadcast((trie.orders, *words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known, log_count = model.value
+        orders, known, log_count = model.value
+        trie = Trie.of(orders)
         values, powers = byte_values(), Powers()
         for b in batches:
             raw, off = as_bytes(b.column("text"))
