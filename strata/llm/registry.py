@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strata.llm import cascade, chat, curriculum, decontaminate, hilbert, ppm, secrets, toxicity
+from strata.llm import cascade, chat, curriculum, decontaminate, hilbert, minhash, ppm, secrets, toxicity
 
-MODULES = [hilbert, cascade, chat, secrets, decontaminate, toxicity, ppm, curriculum]
+MODULES = [hilbert, cascade, chat, secrets, decontaminate, minhash, toxicity, ppm, curriculum]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
