@@ -117,20 +117,21 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, mode: s
                   key: str = "doc_id", text: str = "text") -> DataFrame:
     """Remove every document with a hit (``mode="documents"``), or only the words inside
     hits with the separators after them (``mode="spans"``). Columns stay as they are."""
-    marked = docs.withColumns(_row_key(docs, key, text))
+    marked = docs.select(*[c.alias(k) for k, c in _row_key(docs, key, text).items()],
+                         F.struct(*docs.columns).alias("_row"))
     hits = contamination(docs, bench, n, key=key, text=text)
     if mode == "documents":
-        return marked.join(hits, ROW_KEY, "left_anti").select(*docs.columns)
+        return marked.join(hits, ROW_KEY, "left_anti").select("_row.*")
     if mode != "spans":
         raise ValueError(f"mode must be 'documents' or 'spans', got {mode!r}")
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}+{BREAK}*"), F.lit(0))
-    head = F.regexp_extract(F.col(text), f"^{BREAK}*", 0)
+    whole = F.col("_row")[text]
+    pieces = F.regexp_extract_all(whole, F.lit(f"{WORD}+{BREAK}*"), F.lit(0))
+    head = F.regexp_extract(whole, f"^{BREAK}*", 0)
     kept = F.filter(pieces, lambda p, i: ~F.exists(
         "_spans", lambda s: (i >= s["start"]) & (i < s["end"])))
-    cleaned = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(
-        F.concat(head, F.array_join(kept, "")))
+    cleaned = F.when(F.col("_spans").isNull(), whole).otherwise(F.concat(head, F.array_join(kept, "")))
     joined = marked.join(hits.select(*ROW_KEY, F.col("spans").alias("_spans")), ROW_KEY, "left")
-    return joined.withColumn(text, cleaned).select(*docs.columns)
+    return joined.select(F.col("_row").withField(text, cleaned).alias("_row")).select("_row.*")
 
 
 # --- registered query -------------------------------------------------------------------

@@ -202,12 +202,12 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of every group, the one of the smallest key; rows
-    without a key stay. A kept key keeps one of its rows."""
+    """``docs`` with one document of every group, the one of the smallest key. A document
+    repeated with the same key and text stays once; rows without a key all stay."""
     groups = near_duplicates(docs, key=key, text=text, **options)
     gone = groups.filter(F.col("key") != F.col("root")).select(F.col("key").alias(key)).distinct()
-    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
-    return kept
+    keyed = docs.filter(F.col(key).isNotNull()).join(gone, key, "left_anti").dropDuplicates([key, text])
+    return keyed.select(*docs.columns).unionByName(docs.filter(F.col(key).isNull()))
 
 
 # --- registered query -------------------------------------------------------------------
