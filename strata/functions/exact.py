@@ -1,10 +1,9 @@
 """Partition-independent rounding and averages.
 
 ``round(avg(x), n)`` over doubles depends on summation order (so on the number and
-layout of partitions), and engines disagree on how to round a double that prints
-as an exact half. Both helpers here give the same bits whatever the partitioning:
-the sum is taken in fixed-point decimal (exact, associative), divided once, and
-rounded half away from zero with one multiply, one floor and one divide.
+layout of partitions). ``exact_avg`` gives the same bits whatever the partitioning:
+the sum is taken in fixed-point decimal (exact, associative), divided in decimal and
+rounded half away from zero in decimal; only the result becomes a double again.
 """
 
 from __future__ import annotations
@@ -12,25 +11,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SCALE = 12
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """Round half away from zero: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``."""
-    x = _col(c)
-    p = F.lit(float(10 ** digits))
-    return F.signum(x) * F.floor(F.abs(x) * p + F.lit(0.5)) / p
+    """Round half away from zero, judged on the shortest decimal form of a double
+    (1.005 rounds to 1.01)."""
+    return F.round(_col(c), digits)
 
 
-def exact_avg(c: str | Column, digits: int, *, scale: int = 4, precision: int = 18) -> Column:
+def exact_avg(c: str | Column, digits: int, *, scale: int = SCALE, integral: bool = False) -> Column:
     """Average of ``c`` rounded to ``digits``; null when every input is null.
 
-    Inputs are summed as ``decimal(precision, scale)``: values with more than
-    ``scale`` fractional digits are rounded to ``scale`` first, so pick ``scale``
-    to cover the data.
+    Inputs are summed with ``scale`` fractional digits, so choose ``scale`` to cover the
+    data (and ``digits``). ``integral`` says that all values are whole numbers: they are
+    summed as longs, which is faster. NaN and infinities give what a plain average of
+    doubles gives.
     """
     x = _col(c)
-    total = F.sum(x.cast(f"decimal({precision},{scale})")).cast("double")
-    return round_half_up(total / F.count(x), digits)
+    if integral:
+        total, special = F.sum(x.cast("bigint")).cast("decimal(38,0)"), None
+    else:
+        odd = F.isnan(x) | F.abs(x.cast("double")).eqNullSafe(F.lit(float("inf")))
+        special = F.sum(F.when(odd, x.cast("double")))
+        total = F.sum(F.when(~odd, x).cast(f"decimal(38,{scale})"))
+    mean = total / F.count(x).cast("decimal(20,0)")
+    exact = F.round(mean, digits).cast("double")
+    return exact if special is None else F.coalesce(special, exact)

@@ -7,7 +7,7 @@ from typing import Mapping, Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import exact_avg
+from strata.functions.exact import SCALE, exact_avg
 
 
 def best_by(value: str, order: str, *, descending: bool = True,
@@ -25,18 +25,16 @@ def best_by(value: str, order: str, *, descending: bool = True,
 
 def group_stats(df: DataFrame, keys: Sequence[str], *, averages: Mapping[str, int] = None,
                 count_of: Optional[str] = None, count_name: str = "n",
-                extra: Sequence[Column] = (), small_values: Sequence[str] = ()) -> DataFrame:
+                extra: Sequence[Column] = (), integers: Sequence[str] = (),
+                scale: int = SCALE) -> DataFrame:
     """``groupBy(keys)`` with ``avg_<col>`` rounded to the given digits (exact,
     partition-independent), a ``count(count_of)`` and any extra aggregates.
 
-    ``small_values`` names columns known (e.g. by a validation rule) to satisfy
-    |x| < 10^4: they are summed as ``decimal(8,4)``, whose sums stay long-backed
-    (about twice as fast); others use ``decimal(18,4)``. Results are identical.
+    ``integers`` names columns of whole numbers, which are summed as longs; the others
+    are summed with ``scale`` fractional digits.
     """
-    aggs = []
-    for c, digits in (averages or {}).items():
-        prec = 8 if c in small_values else 18
-        aggs.append(exact_avg(c, digits, precision=prec).alias(f"avg_{c}"))
+    aggs = [exact_avg(c, digits, scale=scale, integral=c in integers).alias(f"avg_{c}")
+            for c, digits in (averages or {}).items()]
     if count_of is not None:
         aggs.append(F.count(count_of).alias(count_name))
     aggs.extend(extra)

@@ -20,7 +20,7 @@ def catalogue_columns(max_len: int = MAX_TEXT_LEN) -> list[Column]:
         truncate("artist_name", max_len).alias("artist_name"),
         F.nullif(F.col("genre"), F.lit("")).alias("genre"),
         guarded_int("year", *YEAR_RANGE).alias("year"),
-        guarded_int("duration_ms").alias("duration_ms"),
+        guarded_int("duration_ms", dtype="bigint").alias("duration_ms"),
     ]
 
 

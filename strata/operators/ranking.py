@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from strata.session import materialize
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def _sort(c: str, descending: bool) -> Column:
     return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
@@ -33,23 +31,22 @@ def rank_within(df: DataFrame, by: Sequence[str], order: str, *, descending: boo
     """Plain window ``rank()``; fine when groups are small or numerous."""
     w = Window.partitionBy(*by).orderBy(_sort(order, descending),
                                         *[F.col(c).asc_nulls_first() for c in tie_break])
-    return df.withColumn(name, F.rank().over(w))
+    return df.withColumn(name, F.rank().over(w).cast("bigint"))
 
 
 def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descending: bool = True,
-                      name: str = "rank", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_rank: Optional[int] = None) -> DataFrame:
+                      name: str = "rank", max_rank: Optional[int] = None) -> DataFrame:
     """Exact ``rank()`` over ``partitionBy(by).orderBy(order)`` without sorting groups.
 
     rank = 1 + number of rows of the group that sort strictly before the row. The
     (by, order) histogram is aggregated map-side, ranked with a small window, and
-    joined back on (by, order) null-safely. The histogram is broadcast only after
-    its row count is checked against ``broadcast_rows``; above that it is a
-    shuffle join (AQE splits skewed keys).
+    joined back on (by, order) null-safely. Ranks are longs: a group may have more
+    than 2^31 rows.
 
-    The histogram is checkpointed once (it is small), so the size check and the
-    join read it back instead of re-aggregating ``df``; pass a persisted or
-    checkpointed ``df`` so the input itself is not recomputed for it.
+    The histogram is written as Parquet once, so its bytes are known when the join is
+    planned: Catalyst broadcasts it below ``autoBroadcastJoinThreshold`` and shuffles
+    above (AQE splits skewed keys). Pass a written ``df``, so that the input itself is
+    not recomputed for it. Building the result therefore runs a job.
 
     ``max_rank`` keeps only rows ranked at most that (top-N with ties): the
     histogram is cut first, so the join is a map-side filter and any number of
@@ -60,12 +57,10 @@ def rank_by_histogram(df: DataFrame, by: Sequence[str], order: str, *, descendin
     before = (Window.partitionBy(*by).orderBy(_sort(order, descending))
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
-                       (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int").alias(name))
+                       (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias(name))
     if max_rank is not None:
         hist = hist.filter(F.col(name) <= max_rank)
-    hist = materialize(hist, small=True)
-    if hist.count() <= broadcast_rows:
-        hist = F.broadcast(hist)
+    hist = materialize(hist)
     cond = [df[k].eqNullSafe(hist[f"_h_{k}"]) for k in keys]
     return df.join(hist, cond, "inner").drop(*[f"_h_{k}" for k in keys])
 
@@ -77,7 +72,7 @@ def large_groups(df: DataFrame, by: Sequence[str], max_rows: int) -> DataFrame:
     construction (one map-side-combined aggregate computes it).
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    return materialize(sizes.filter(F.col("_n") > max_rows).select(*by), small=True)
+    return materialize(sizes.filter(F.col("_n") > max_rows).select(*by))
 
 
 def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, *,
@@ -95,19 +90,16 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     With ``max_group_rows`` only groups larger than that are split into blocks;
     the others stay one block each (so blocks are not created where no task is at
     risk), and when no group is that large the plain window is used. The large
-    groups' keys (at most rows / ``max_group_rows`` of them) are broadcast after
-    their count is checked. The check is an action: pass a persisted or
-    checkpointed ``df``.
+    groups' keys (at most rows / ``max_group_rows`` of them) are written as Parquet, and
+    the join with them is left to Catalyst, which knows their bytes. Finding them is a
+    job: pass a written ``df``.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order]
     big = None
     if blocks and max_group_rows is not None:
         big = large_groups(df, by, max_group_rows)
-        n_big = big.count()
-        if n_big == 0:
+        if big.isEmpty():
             blocks = None
-        elif n_big <= DEFAULT_BROADCAST_ROWS:
-            big = F.broadcast(big)
     if not blocks:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_cols)))
 

@@ -2,8 +2,8 @@
 
 Written from the semantics, not generated from the Spark plans: window functions
 where the library uses histograms or blocks, ``row_number`` where it uses
-``min(struct)`` / ``min_by``, plain joins where it fuses aggregates. Rounding and
-averages use the same formula text as ``strata.functions.exact`` (see D-02).
+``min(struct)`` / ``min_by``, plain joins where it fuses aggregates, and whole-number
+arithmetic where it averages in decimals.
 """
 
 from __future__ import annotations
@@ -20,12 +20,16 @@ def _q(c: str) -> str:
 
 
 def rhu(expr: str, digits: int) -> str:
-    p = f"1e{digits}"
-    return f"(sign({expr}) * floor(abs({expr}) * {p} + 0.5) / {p})"
+    """Half away from zero on the shortest decimal form of a double."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
-def eavg(col: str, digits: int) -> str:
-    return rhu(f"(CAST(sum(CAST({col} AS DECIMAL(18,4))) AS DOUBLE) / count({col}))", digits)
+def eavg(col: str, digits: int, scale: int = 12) -> str:
+    """The average rounded half away from zero, in whole numbers: with S the sum of the
+    values times 10^scale and n their count, the nearest integer to S * 10^digits / (n * 10^scale)."""
+    total = f"sum(CAST(CAST({col} AS DECIMAL(38,{scale})) * {10 ** scale} AS HUGEINT))"
+    unit = f"(count({col})::HUGEINT * {10 ** scale})"
+    return (f"(sign({total}) * ((2 * abs({total}) * {10 ** digits} + {unit}) // (2 * {unit})))::DOUBLE / 1e{digits}")
 
 
 def _lst(vals) -> str:
@@ -74,7 +78,7 @@ JOIN supplier s ON l.l_suppkey = s.s_suppkey"""),
 SELECT track_id, substr(track_name, 1, 500) AS track_name, substr(artist_name, 1, 500) AS artist_name,
        nullif(genre, '') AS genre,
        CASE WHEN year BETWEEN 1000 AND 9999 THEN year END AS year,
-       CASE WHEN duration_ms >= 0 THEN duration_ms END AS duration_ms
+       CAST(CASE WHEN duration_ms >= 0 THEN duration_ms END AS BIGINT) AS duration_ms
 FROM src_k"""),
     "aud_raw": (("src_k",), f"SELECT track_id, {AUD} FROM src_k"),
     "cat_dd": (("cat_raw",), f"""
@@ -100,8 +104,7 @@ SELECT u.*,
 FROM unified u"""),
     "silver": (("silver_rows",), """
 SELECT s.*,
-       CAST(rank() OVER (PARTITION BY genre ORDER BY popularity DESC NULLS LAST) AS INTEGER)
-         AS rank_in_genre,
+       rank() OVER (PARTITION BY genre ORDER BY popularity DESC NULLS LAST) AS rank_in_genre,
        lag(popularity) OVER (PARTITION BY artist_name
                              ORDER BY year ASC NULLS FIRST, track_id ASC NULLS FIRST)
          AS pop_prev_year
@@ -133,15 +136,13 @@ FROM silver_rows GROUP BY artist_name, decade"""),
 SELECT *, {rhu("avg_popularity * ln(1 + total_tracks)", 2)} AS influence_score FROM art"""),
     "dm_artists": (("art_s",), f"""
 SELECT artist_name, decade, total_tracks, avg_popularity, max_popularity, main_genre, influence_score,
-       CAST(rank() OVER (PARTITION BY decade ORDER BY influence_score DESC NULLS LAST) AS INTEGER)
-         AS rank_in_decade,
+       rank() OVER (PARTITION BY decade ORDER BY influence_score DESC NULLS LAST) AS rank_in_decade,
        {_date(AS_OF)} AS ingestion_date
 FROM art_s"""),
     "dm_hits": (("silver_rows",), f"""
 SELECT genre, year, track_id, track_name, artist_name, popularity, danceability, energy, valence,
        tempo, rank_in_year, {_date(AS_OF)} AS ingestion_date
-FROM (SELECT *, CAST(rank() OVER (PARTITION BY genre, year ORDER BY popularity DESC NULLS LAST)
-                     AS INTEGER) AS rank_in_year
+FROM (SELECT *, rank() OVER (PARTITION BY genre, year ORDER BY popularity DESC NULLS LAST) AS rank_in_year
       FROM silver_rows) t
 WHERE rank_in_year <= 10"""),
     "genre_stats": (("silver_rows",), f"""
@@ -233,6 +234,17 @@ TRACK_TYPES = [
     ("duration_ms", "BIGINT"), ("rank_in_genre", "INTEGER"), ("popularity_category", "VARCHAR"),
     ("ingestion_date", "DATE"),
 ]
+TREND_TYPES = [
+    ("genre", "VARCHAR"), ("decade", "SMALLINT"), ("avg_popularity", "DECIMAL(6,2)"), ("nb_tracks", "INTEGER"),
+    ("avg_danceability", "DECIMAL(6,4)"), ("avg_energy", "DECIMAL(6,4)"), ("top_track_name", "VARCHAR"),
+    ("ingestion_date", "DATE"),
+]
+HIT_TYPES = [
+    ("genre", "VARCHAR"), ("year", "SMALLINT"), ("track_id", "VARCHAR"), ("track_name", "VARCHAR"),
+    ("artist_name", "VARCHAR"), ("popularity", "SMALLINT"), ("danceability", "DECIMAL(6,4)"),
+    ("energy", "DECIMAL(6,4)"), ("valence", "DECIMAL(6,4)"), ("tempo", "DECIMAL(8,2)"),
+    ("rank_in_year", "INTEGER"), ("ingestion_date", "DATE"),
+]
 ARTIST_TYPES = [
     ("artist_name", "VARCHAR"), ("decade", "SMALLINT"), ("total_tracks", "INTEGER"),
     ("avg_popularity", "DECIMAL(6,2)"), ("max_popularity", "DECIMAL(6,2)"), ("main_genre", "VARCHAR"),
@@ -252,11 +264,12 @@ def oracle_sql() -> dict[str, str]:
         "split_catalogue": sql("SELECT track_id, track_name, artist_name, genre, CAST(year AS VARCHAR) AS year, "
                                "CAST(duration_ms AS VARCHAR) AS duration_ms FROM src_k", "src_k"),
         "split_audio": sql(f"SELECT track_id, {AUD} FROM src_k", "src_k"),
-        "split_counts": sql("SELECT count(*) AS rows_read, CAST(0 AS BIGINT) AS rows_skipped, "
-                            "count(*) AS rows_written FROM src", "src"),
+        "split_counts": ("SELECT count(*) AS rows_read, count(*) FILTER (WHERE l_linenumber >= 6) AS rows_skipped, "
+                         "count(*) FILTER (WHERE l_linenumber < 6) AS rows_written FROM lineitem"),
         "key_md5": sql("SELECT track_id, track_name, artist_name FROM src_k", "src_k"),
         "strip_ws": f"SELECT doc_id, trim(text, {_ws_chars()}) AS text FROM documents",
-        "src_csv_wide": sql(f"SELECT {CAT}, {AUD} FROM src", "src"),
+        "src_csv_wide": sql("SELECT track_name || ', \"live\"' || chr(10) || 'final' AS track_name, "
+                            + ", ".join(_q(c) for c in CATALOGUE_COLS[1:]) + f", {AUD} FROM src", "src"),
         "src_csv_typed": sql(f"SELECT track_id, {AUD} FROM src_k", "src_k"),
         "ingest_partition": sql(f"SELECT track_id, {AUD}, {a[0]} AS ingestion_year, {a[1]} AS ingestion_month, "
                                 f"{a[2]} AS ingestion_day FROM aud_raw", "aud_raw"),
@@ -266,14 +279,16 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT *, {d1[0]} AS ingestion_year, {d1[1]} AS ingestion_month, {d1[2]} AS ingestion_day FROM cat_raw "
             f"UNION ALL SELECT *, {d2[0]}, {d2[1]}, {d2[2]} FROM cat_raw WHERE {R5}", "cat_raw"),
         "sink_table": sql("SELECT * FROM genre_stats", "genre_stats"),
-        "load_catalogue": sql("SELECT * FROM cat_raw", "cat_raw"),
+        "silver_append": sql("SELECT * FROM genre_stats UNION ALL SELECT * FROM genre_stats", "genre_stats"),
+        "load_catalogue": sql("SELECT track_id, track_name || chr(10) || 'side \"B\"' AS track_name, artist_name, genre, year, "
+                              "CASE WHEN year = 1998 THEN 3000000000 + duration_ms ELSE duration_ms END AS duration_ms "
+                              "FROM cat_raw", "cat_raw"),
         "src_table": sql("SELECT * FROM silver", "silver"),
         "stream_land_audio": sql(f"SELECT track_id, {AUD}, {a[0]} AS ingestion_year, {a[1]} AS ingestion_month, "
                                  f"{a[2]} AS ingestion_day FROM aud_raw", "aud_raw"),
         # quality
-        "dq_r1": sql(f"SELECT 'catalogue' AS source, track_id FROM cat_raw WHERE NOT ({VALID_KEY}) "
-                     f"UNION ALL SELECT 'audio_features', track_id FROM aud_raw WHERE NOT ({VALID_KEY})",
-                     "cat_raw", "aud_raw"),
+        "dq_r1": sql("SELECT s.source, CASE WHEN track_id < '1' THEN '' END AS track_id FROM src_k, "
+                     "(VALUES ('catalogue'), ('audio_features')) s(source) WHERE track_id < '2'", "src_k"),
         "dq_dedup_catalogue": sql("SELECT * FROM cat_dd", "cat_dd"),
         "dq_dedup_audio": sql("SELECT * FROM aud_dd", "aud_dd"),
         "dq_r3": sql(f"SELECT *, 'R3_popularity_range' AS failed_rule FROM aud_dd "
@@ -296,13 +311,14 @@ def oracle_sql() -> dict[str, str]:
                                "silver_rows"),
         "enrich_flag": sql("SELECT track_id, acousticness, is_acoustic FROM silver_rows", "silver_rows"),
         "rank_in_genre": sql("SELECT track_id, genre, popularity, rank_in_genre FROM silver", "silver"),
-        "rank_in_genre_window": sql("SELECT track_id, genre, popularity, rank_in_genre FROM silver", "silver"),
         "lag_prev": sql("SELECT track_id, artist_name, year, popularity, pop_prev_year FROM silver", "silver"),
         "lag_prev_blocked": sql("SELECT track_id, artist_name, year, popularity, pop_prev_year FROM silver",
                                 "silver"),
         "exact_avg": sql(f"SELECT genre, {eavg('valence', 4)} AS avg_valence, {eavg('liveness', 4)} AS avg_liveness, "
                          f"{eavg('loudness', 2)} AS avg_loudness, {eavg('speechiness', 4)} AS avg_speechiness "
                          "FROM unified GROUP BY genre", "unified"),
+        "avg_fine": (f"SELECT l_orderkey, {eavg('(l_partkey / 1e7)', 6)} AS avg_fine, {eavg('l_discount', 2)} AS avg_discount, "
+                     f"{eavg('l_tax', 2)} AS avg_tax, {eavg('l_linenumber', 0)} AS avg_line FROM lineitem GROUP BY l_orderkey"),
         "genre_stats": sql("SELECT * FROM genre_stats", "genre_stats"),
         "artist_stats": sql("SELECT artist_name, decade, total_tracks, avg_popularity, main_genre FROM art", "art"),
         # gold
@@ -315,6 +331,9 @@ def oracle_sql() -> dict[str, str]:
                                  "dm_tracks"),
         "gold_typed_artists": sql("SELECT " + ", ".join(_typed(c, t) for c, t in ARTIST_TYPES)
                                   + " FROM dm_artists", "dm_artists"),
+        "gold_typed_trends": sql("SELECT " + ", ".join(_typed(c, t) for c, t in TREND_TYPES) + " FROM dm_trends",
+                                 "dm_trends"),
+        "gold_typed_hits": sql("SELECT " + ", ".join(_typed(c, t) for c, t in HIT_TYPES) + " FROM dm_hits", "dm_hits"),
         "gold_counts": sql("SELECT 'dm_track_popularity' AS mart, count(*) AS n_rows FROM dm_tracks "
                            "UNION ALL SELECT 'dm_genre_trends', count(*) FROM dm_trends "
                            "UNION ALL SELECT 'dm_top_artists', count(*) FROM dm_artists "
@@ -377,8 +396,8 @@ def oracle_sql() -> dict[str, str]:
         "page": sql(_page("dm_tracks", "", _TRACK_ORDER, 3, 50), "dm_tracks"),
         "page_meta": sql(_meta("dm_tracks", "genre = 'MEDIUM'", 1, 30), "dm_tracks"),
         # generic shapes on other driver tables
-        "rank_part_price": ("SELECT p_partkey, p_type, p_retailprice, CAST(rank() OVER (PARTITION BY p_type "
-                            "ORDER BY p_retailprice DESC NULLS LAST) AS INTEGER) AS price_rank FROM part"),
+        "rank_part_price": ("SELECT p_partkey, p_type, p_retailprice, rank() OVER (PARTITION BY p_type "
+                            "ORDER BY p_retailprice DESC NULLS LAST) AS price_rank FROM part"),
         "lag_events": ("SELECT event_id, user_id, ts, value, lag(value) OVER (PARTITION BY user_id "
                        "ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST) AS prev_value FROM events"),
         "distinct_priority": "SELECT DISTINCT o_orderpriority FROM orders",

@@ -14,7 +14,7 @@ from strata.operators.aggregate import best_by, group_stats
 from strata.operators.conform import conform
 from strata.operators.ingest import parse_as_of
 from strata.operators.ranking import rank_by_histogram, top_n
-from strata.plans.silver import RULE_BOUNDED, artist_decade
+from strata.plans.silver import WHOLE_NUMBERS, artist_decade
 from strata.schemas import GOLD_SCHEMAS, KEY
 from strata.session import materialize
 
@@ -49,7 +49,7 @@ def dm_genre_trends(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     """
     agg = group_stats(silver, ["genre", "decade"],
                       averages={"popularity": 2, "danceability": 4, "energy": 4},
-                      count_of=KEY, count_name="nb_tracks", small_values=RULE_BOUNDED,
+                      count_of=KEY, count_name="nb_tracks", integers=WHOLE_NUMBERS,
                       extra=[best_by("track_name", "popularity", tie_break=[KEY]).alias("_top")])
     named = F.when(F.col("genre").isNotNull() & F.col("decade").isNotNull(), F.col("_top"))
     out = agg.withColumn("top_track_name", named).select(

@@ -81,11 +81,13 @@ def hits(dm: DataFrame, *, genre: Optional[str] = None, year: Optional[int] = No
 
 
 def genres(dm_tracks: DataFrame) -> DataFrame:
-    return dm_tracks.filter(F.col("genre").isNotNull()).select("genre").distinct()
+    """Genres in the data, in order."""
+    return dm_tracks.filter(F.col("genre").isNotNull()).select("genre").distinct().orderBy("genre")
 
 
 def decades(dm_trends: DataFrame) -> DataFrame:
-    return dm_trends.filter(F.col("decade").isNotNull()).select("decade").distinct()
+    """Decades in the data, in order."""
+    return dm_trends.filter(F.col("decade").isNotNull()).select("decade").distinct().orderBy("decade")
 
 
 def year_range(dm_tracks: DataFrame, default: tuple[int, int] = DEFAULT_YEAR_RANGE) -> DataFrame:
@@ -108,7 +110,7 @@ def summary(dm_tracks: DataFrame, genre_list: Sequence[str], years: tuple[int, i
     return s.agg(
         F.count(F.lit(1)).alias("total_tracks"),
         F.countDistinct("genre").alias("nb_genres"),
-        exact_avg("popularity", 1, precision=8).alias("avg_pop"),   # bounded by R3
+        exact_avg("popularity", 1, integral=True).alias("avg_pop"),
         exact_avg("tempo", 1).alias("avg_tempo"),
     )
 
@@ -117,7 +119,7 @@ def popularity_by_genre(dm_tracks: DataFrame, genre_list: Sequence[str],
                         years: tuple[int, int]) -> DataFrame:
     s = _selection(dm_tracks, genre_list, years)
     return (s.groupBy("genre")
-             .agg(exact_avg("popularity", 2, precision=8).alias("avg_popularity"),
+             .agg(exact_avg("popularity", 2, integral=True).alias("avg_popularity"),
                   F.count(F.lit(1)).alias("total_tracks"))
              .orderBy(F.col("avg_popularity").desc_nulls_last(), "genre"))
 

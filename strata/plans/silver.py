@@ -29,8 +29,7 @@ AUDIO_RULES = [
          & F.col("energy").between(*UNIT_RANGE)),
 ]
 R6 = (6, "R6_key_in_catalogue")
-# Columns the rules bound to |x| <= 100 (R3, R4): safe for the fast decimal sum.
-RULE_BOUNDED = ("popularity", "danceability", "energy")
+WHOLE_NUMBERS = ("popularity",)
 
 UNIFIED_COLUMNS = [KEY] + CATALOGUE_COLS + AUDIO_COLS
 ENRICHED_COLUMNS = UNIFIED_COLUMNS + [
@@ -142,7 +141,7 @@ def genre_stats(silver: DataFrame) -> DataFrame:
     stats = group_stats(silver, ["genre", "year", "decade"],
                         averages={"popularity": 2, "tempo": 2, "energy": 4, "danceability": 4,
                                   "valence": 4},
-                        count_of=KEY, count_name="nb_tracks", small_values=RULE_BOUNDED)
+                        count_of=KEY, count_name="nb_tracks", integers=WHOLE_NUMBERS)
     return stats.select("genre", "year", "decade", "avg_popularity", "nb_tracks", "avg_tempo",
                         "avg_energy", "avg_danceability", "avg_valence")
 
@@ -152,7 +151,7 @@ def artist_decade(silver: DataFrame) -> DataFrame:
     mart: one shuffle serves both. ``main_genre`` is the genre of the artist's
     smallest ``track_id`` in the decade (deterministic ``first``)."""
     stats = group_stats(silver, ["artist_name", "decade"], averages={"popularity": 2},
-                        count_of=KEY, count_name="total_tracks", small_values=RULE_BOUNDED,
+                        count_of=KEY, count_name="total_tracks", integers=WHOLE_NUMBERS,
                         extra=[F.max("popularity").alias("max_popularity"),
                                first_by("genre", F.col(KEY)).alias("main_genre")])
     return stats.select("artist_name", "decade", "total_tracks", "avg_popularity",

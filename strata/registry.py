@@ -18,14 +18,14 @@ from strata.operators.ingest import add_ingestion_partition
 from strata.operators.load import catalogue_columns, load_catalogue, parse_typed, typed_columns
 from strata.operators.paging import page, page_meta
 from strata.operators.quality import first_failure, key_present
-from strata.operators.ranking import lag_within, rank_by_histogram, rank_within
+from strata.operators.ranking import lag_within, rank_by_histogram
 from strata.operators.split import normalize_wide, split_counts, split_wide
 from strata.plans import checks, gold, marts, silver
 from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
-from strata.session import materialize, scratch_path
-from strata.sinks.writers import ensure_database, write_csv, write_raw_parquet, write_table
+from strata.session import materialize, scratch_database, scratch_path
+from strata.sinks.writers import write_csv, write_raw_parquet, write_table
 from strata.sources.files import read_csv_typed, read_csv_wide, read_raw_parquet, read_table
-from strata.sources.fixtures import table, wide_source
+from strata.sources.fixtures import damaged_keys, damaged_source, table, wide_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,12 @@ def mart_tracks(spark, sf):
     return gold.dm_tracks(silver.with_scalars(ranked), AS_OF)
 
 
+def mart_tracks_unranked(spark, sf):
+    """DM1 for queries that do not read the rank: no histogram, no join."""
+    plain = silver_rows(spark, sf).withColumn("rank_in_genre", F.lit(None).cast("bigint"))
+    return gold.dm_tracks(plain, AS_OF).drop("rank_in_genre")
+
+
 def mart_trends(spark, sf):
     return gold.dm_genre_trends(silver_rows(spark, sf), AS_OF)
 
@@ -100,7 +106,7 @@ def q_split_audio(spark, sf):
 
 
 def q_split_counts(spark, sf):
-    return split_counts(wide_source(spark, sf))
+    return split_counts(damaged_source(spark, sf))
 
 
 def q_key_md5(spark, sf):
@@ -108,13 +114,16 @@ def q_key_md5(spark, sf):
 
 
 def q_strip_ws(spark, sf):
+    """Texts wrapped in white space, which only the outside may lose."""
     docs = table(spark, sf, "documents")
-    return docs.select("doc_id", strip_ws("text").alias("text"))
+    outer = F.concat(F.lit("\u3000\t"), F.col("text"), F.lit("\u00a0\x1c "))
+    return docs.select("doc_id", strip_ws(F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(outer)).alias("text"))
 
 
 def q_src_csv_wide(spark, sf):
     path = scratch_path(spark, "wide_csv")
-    write_csv(wide_source(spark, sf), path)
+    broken = F.concat(F.col("track_name"), F.lit(', "live"\nfinal'))
+    write_csv(wide_source(spark, sf).withColumn("track_name", broken), path)
     return parse_typed(read_csv_wide(spark, path), WIDE_TYPED)
 
 
@@ -156,8 +165,7 @@ def q_sink_dynamic_overwrite(spark, sf):
 
 
 def _saved_genre_stats(spark, sf) -> str:
-    db = "strata_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
-    ensure_database(spark, db, scratch_path(spark, db))
+    db = scratch_database(spark)
     write_table(silver.genre_stats(silver_rows(spark, sf)), f"{db}.genre_stats", "overwrite")
     return f"{db}.genre_stats"
 
@@ -168,8 +176,7 @@ def q_sink_table(spark, sf):
 
 def q_src_table(spark, sf):
     """Silver track table written to the warehouse, then scanned by name."""
-    db = "strata_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
-    ensure_database(spark, db, scratch_path(spark, db))
+    db = scratch_database(spark)
     write_table(silver_full(spark, sf), f"{db}.tracks_unified", "overwrite")
     return read_table(spark, f"{db}.tracks_unified")
 
@@ -183,20 +190,39 @@ def q_stream_land_audio(spark, sf):
     return read_raw_parquet(spark, raw, drop_partitions=False)
 
 
+def q_silver_append(spark, sf):
+    """Two appended runs of the silver job over one raw layer: genre statistics are those
+    of the first run and those of the second."""
+    from strata.plans.jobs import JobConfig, build_silver
+    raw, db = scratch_path(spark, "raw_append"), scratch_database(spark)
+    cfg = JobConfig(raw_root=raw, silver_db=db, table_mode="append")
+    cat, aud = sources(spark, sf)
+    write_raw_parquet(add_ingestion_partition(cat, AS_OF), cfg.raw("catalogue"), "append")
+    write_raw_parquet(add_ingestion_partition(aud, AS_OF), cfg.raw("audio_features"), "append")
+    for _ in range(2):
+        build_silver(spark, cfg)
+    return read_table(spark, f"{db}.genre_stats")
+
+
 def q_load_catalogue(spark, sf):
     """Catalogue CSV -> per-column coercion -> table overwrite -> read back."""
     path = scratch_path(spark, "catalogue_csv")
-    write_csv(split_wide(wide_source(spark, sf))[0], path)
-    loaded = load_catalogue(read_csv_wide(spark, path, multi_line=False))
-    db = "strata_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
-    ensure_database(spark, db, scratch_path(spark, db))
+    # Quoted newlines in names, and durations beyond 2^31 - 1 for some rows.
+    cat = split_wide(wide_source(spark, sf))[0]
+    cat = cat.withColumns({
+        "track_name": F.concat(F.col("track_name"), F.lit('\nside "B"')),
+        "duration_ms": F.when(F.col("year") == "1998", F.concat(F.lit("3"), F.lpad("duration_ms", 9, "0")))
+                        .otherwise(F.col("duration_ms"))})
+    write_csv(cat, path)
+    loaded = load_catalogue(read_csv_wide(spark, path))
+    db = scratch_database(spark)
     write_table(loaded, f"{db}.catalogue", "overwrite")
     return read_table(spark, f"{db}.catalogue")
 
 
 # ---------------------------------------------------------------- quality
 def q_dq_r1(spark, sf):
-    cat, aud = sources(spark, sf)
+    cat, aud = (damaged_keys(df) for df in sources(spark, sf))
     bad = key_present(KEY)
     return (cat.filter(~bad).select(F.lit("catalogue").alias("source"), KEY)
             .unionByName(aud.filter(~bad).select(F.lit("audio_features").alias("source"), KEY)))
@@ -280,11 +306,6 @@ def q_rank_in_genre(spark, sf):
         KEY, "genre", "popularity", "rank_in_genre")
 
 
-def q_rank_in_genre_window(spark, sf):
-    return rank_within(unified(spark, sf), ["genre"], "popularity",
-                       name="rank_in_genre").select(KEY, "genre", "popularity", "rank_in_genre")
-
-
 def q_lag_prev(spark, sf):
     return silver.add_lag(materialize(unified(spark, sf))).select(
         KEY, "artist_name", "year", "popularity", "pop_prev_year")
@@ -308,6 +329,16 @@ def q_exact_avg(spark, sf):
         exact_avg("speechiness", 4).alias("avg_speechiness"))
 
 
+def q_avg_fine(spark, sf):
+    """Averages of values with seven decimals, and of few two-decimal values, whose
+    averages are often exact halves of the last digit."""
+    li = table(spark, sf, "lineitem")
+    return li.groupBy("l_orderkey").agg(
+        exact_avg(F.col("l_partkey") / F.lit(1e7), 6).alias("avg_fine"),
+        exact_avg("l_discount", 2).alias("avg_discount"), exact_avg("l_tax", 2).alias("avg_tax"),
+        exact_avg("l_linenumber", 0, integral=True).alias("avg_line"))
+
+
 def q_genre_stats(spark, sf):
     return silver.genre_stats(silver_rows(spark, sf))
 
@@ -345,6 +376,14 @@ def q_gold_typed_artists(spark, sf):
     return gold.typed(mart_artists(spark, sf), "dm_top_artists")
 
 
+def q_gold_typed_trends(spark, sf):
+    return gold.typed(mart_trends(spark, sf), "dm_genre_trends")
+
+
+def q_gold_typed_hits(spark, sf):
+    return gold.typed(mart_hits(spark, sf), "dm_hits_emergents")
+
+
 def q_gold_counts(spark, sf):
     """Row count of each gold mart (one row per mart), all built from one silver table."""
     from functools import reduce
@@ -373,7 +412,7 @@ def q_check_genres(spark, sf):
 
 
 def q_check_genres_gold(spark, sf):
-    return checks.genre_counts(mart_tracks(spark, sf))
+    return checks.genre_counts(mart_tracks_unranked(spark, sf))
 
 
 # ---------------------------------------------------------------- serving
@@ -409,11 +448,11 @@ def q_hits_filtered(spark, sf):
 
 
 def q_genres(spark, sf):
-    return marts.genres(mart_tracks(spark, sf))
+    return marts.genres(mart_tracks_unranked(spark, sf))
 
 
 def q_year_range(spark, sf):
-    return marts.year_range(mart_tracks(spark, sf))
+    return marts.year_range(mart_tracks_unranked(spark, sf))
 
 
 def q_decades(spark, sf):
@@ -421,11 +460,11 @@ def q_decades(spark, sf):
 
 
 def q_summary(spark, sf):
-    return marts.summary(mart_tracks(spark, sf), SEL_GENRES, SEL_YEARS)
+    return marts.summary(mart_tracks_unranked(spark, sf), SEL_GENRES, SEL_YEARS)
 
 
 def q_pop_by_genre(spark, sf):
-    return marts.popularity_by_genre(mart_tracks(spark, sf), SEL_GENRES, SEL_YEARS)
+    return marts.popularity_by_genre(mart_tracks_unranked(spark, sf), SEL_GENRES, SEL_YEARS)
 
 
 def q_evolution(spark, sf):
@@ -449,7 +488,7 @@ def q_page(spark, sf):
 
 
 def q_page_meta(spark, sf):
-    return marts.tracks_meta(mart_tracks(spark, sf), genre="MEDIUM", page_size=30)
+    return marts.tracks_meta(mart_tracks_unranked(spark, sf), genre="MEDIUM", page_size=30)
 
 
 # ---------------------------------------------------------------- generic shapes

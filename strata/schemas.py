@@ -26,7 +26,7 @@ _INT_AUDIO = {"key", "mode", "time_signature", "popularity"}
 CATALOGUE = StructType(
     [StructField(KEY, StringType())]
     + [StructField(c, StringType()) for c in ("track_name", "artist_name", "genre")]
-    + [StructField("year", IntegerType()), StructField("duration_ms", IntegerType())]
+    + [StructField("year", IntegerType()), StructField("duration_ms", LongType())]
 )
 
 AUDIO = StructType(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -23,7 +25,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         sc.setCheckpointDir(root)  # so checkpoint() uses the folder the cluster names
         return (sc.getCheckpointDir() or root).rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a shared folder "
             "(HDFS / object store) before running strata jobs on a cluster"
@@ -33,25 +35,67 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: dict[str, list[str]] = {}          # per application: folders not released yet
+_DATABASES: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the checkpoint root."""
-    return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the checkpoint root, released with the scope
+    or session that asked for it."""
+    path = f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def materialize(df, *, small: bool = False):
-    """Cut ``df``'s lineage in the shared checkpoint folder (never a local
-    checkpoint); later actions and retried tasks re-read files instead of
-    recomputing the plan.
+def scratch_database(spark: SparkSession) -> str:
+    """A fresh database in a scratch folder, dropped when scratch is released."""
+    path = scratch_path(spark, "db")
+    name = "strata_" + path.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{path}'")
+    _DATABASES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
 
-    Data-sized frames are written as a Parquet table and read back, so re-reads
-    are compressed and column-pruned (a histogram over the table reads only its
-    two columns). ``small`` frames (bounded by construction, e.g. a histogram) use
-    a reliable ``checkpoint()``, which has less fixed cost per write.
-    """
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def release_scratch(spark: SparkSession, keep: int = 0) -> None:
+    """Delete scratch folders and databases, but for the first ``keep`` folders. Frames
+    that read them cannot be used afterwards."""
+    app = spark.sparkContext.applicationId
+    paths, databases = _SCRATCH.get(app, []), _DATABASES.get(app, [])
+    for name in [d for d in databases if not any(p.endswith(d.removeprefix("strata_")) for p in paths[:keep])]:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        databases.remove(name)
+    while len(paths) > keep:
+        fs, p = hadoop_path(spark, paths.pop())
+        fs.delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Releases at its end the scratch that was asked for inside it."""
+    before = len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release_scratch(spark, before)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut ``df``'s lineage: write it as Parquet in the shared checkpoint folder (never a
+    local checkpoint) and read it back. Later actions and retried tasks re-read files,
+    compressed and column-pruned, and the planner knows their bytes. This runs a job;
+    the files stay until the scope or session releases its scratch."""
     spark = df.sparkSession
-    if small:
-        checkpoint_root(spark)
-        return df.checkpoint(eager=True)
     path = scratch_path(spark, "materialized")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

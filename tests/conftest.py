@@ -1,11 +1,15 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from strata.session import release_scratch
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 
@@ -16,10 +20,12 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("strata-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-tests-"))
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    release_scratch(s)
     s.stop()
 
 

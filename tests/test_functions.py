@@ -51,6 +51,34 @@ def test_exact_avg_is_partition_independent(spark):
         assert result(df.repartition(n)) == base
 
 
+def _avg(spark, values, digits):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    return df.agg(exact_avg("x", digits).alias("a")).first()["a"]
+
+
+def test_exact_avg_keeps_fine_digits_and_rounds_halves_up(spark):
+    assert _avg(spark, [0.00006, 0.00002], 4) == 0.0
+    assert _avg(spark, [1.0] * 199 + [2.0], 2) == 1.01             # 1.005
+    assert _avg(spark, [-1.0] * 199 + [-2.0], 2) == -1.01
+    assert _avg(spark, [1e-7, 3e-7], 7) == 2e-7
+    ints = spark.createDataFrame([(1,)] * 199 + [(2,)], "x int")
+    assert ints.agg(exact_avg("x", 2, integral=True).alias("a")).first()["a"] == 1.01
+
+
+def test_exact_avg_gives_nan_and_infinity_as_an_average_does(spark):
+    nan, inf = float("nan"), float("inf")
+    assert _avg(spark, [nan, 100.0], 2) != _avg(spark, [nan, 100.0], 2)
+    assert _avg(spark, [inf, 1.0], 2) == inf
+    assert _avg(spark, [inf, -inf], 2) != 0.0
+
+
+def test_exact_avg_equals_spark_where_that_is_unambiguous(spark):
+    data = [(i % 5, i * 0.125) for i in range(64)]                 # sums of eighths are exact
+    df = spark.createDataFrame(data, "g int, x double")
+    got = df.groupBy("g").agg(exact_avg("x", 3).alias("a"), F.round(F.avg("x"), 3).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+
+
 def test_exact_avg_all_null_is_null(spark):
     df = spark.createDataFrame([(1, None), (1, None)], "g int, x double")
     assert df.groupBy("g").agg(exact_avg("x", 2).alias("a")).collect()[0]["a"] is None

@@ -58,3 +58,36 @@ def test_landing_rerun_replaces_only_its_day(spark):
     back = read_raw_parquet(spark, f"{root}/audio_features", drop_partitions=False)
     days = {r["ingestion_day"]: r["count"] for r in back.groupBy("ingestion_day").count().collect()}
     assert days == {29: 6000, 30: 6000}
+
+
+def test_appended_runs_append_their_own_statistics(spark):
+    from strata.plans.jobs import build_silver, land_raw
+    from strata.session import scratch_database
+    cfg = JobConfig(raw_root=scratch_path(spark, "job-append"), silver_db=scratch_database(spark),
+                    as_of="2024-06-30", table_mode="append")
+    land_raw(spark, wide_source(spark, SF_SMALL), cfg)
+    for _ in range(2):
+        build_silver(spark, cfg)
+    assert spark.table(f"{cfg.silver_db}.tracks_unified").count() == 3330
+    for name, column in (("genre_stats", "nb_tracks"), ("artist_stats", "total_tracks")):
+        assert spark.table(f"{cfg.silver_db}.{name}").agg(F.sum(column)).first()[0] == 3330
+
+
+def test_a_mart_with_a_repeated_key_is_refused(spark):
+    import pytest
+    from strata.plans.jobs import require_keys
+    mart = spark.createDataFrame([("a",), ("a",)], "track_id string")
+    with pytest.raises(ValueError, match="track_id"):
+        require_keys(mart, "dm_track_popularity")
+
+
+def test_jobs_leave_no_scratch(spark):
+    from strata.plans.jobs import land_raw
+    from strata.session import hadoop_path
+    root = scratch_path(spark, "job-clean")
+    folder = root.rsplit("/", 1)[0]
+    fs, p = hadoop_path(spark, folder)
+    before = {str(f.getPath()) for f in fs.listStatus(p)} if fs.exists(p) else set()
+    land_raw(spark, wide_source(spark, SF_SMALL), JobConfig(raw_root=root, as_of="2024-06-30"))
+    after = {str(f.getPath()) for f in fs.listStatus(p)}
+    assert {x.rsplit("/", 1)[-1] for x in after - before} == {root.rsplit("/", 1)[-1]}

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from strata.oracle import oracle_sql
 from strata.registry import QUERIES
+from strata.session import scratch_scope
 from tests.conftest import SF_SMALL
 from tools.compare import compare_one, duck
 
@@ -22,7 +23,8 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    res = compare_one(spark, con, name, SF_SMALL, QUERIES, ORACLE)
+    with scratch_scope(spark):
+        res = compare_one(spark, con, name, SF_SMALL, QUERIES, ORACLE)
     assert res["status"] == "ok", res
 
 

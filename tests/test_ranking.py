@@ -21,9 +21,13 @@ def _data(spark, n=3000, seed=7):
 def test_histogram_rank_equals_window_rank(spark):
     df = _data(spark)
     a = rank_within(df, ["g"], "v", name="r")
-    for limit in (10**6, 0):  # broadcast path and shuffle-join path
-        b = rank_by_histogram(df, ["g"], "v", name="r", broadcast_rows=limit)
-        assert rows(a, "id", "r") == rows(b, "id", "r")
+    for limit in ("10m", "-1"):  # broadcast and shuffle join, as Catalyst chooses
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            b = rank_by_histogram(df, ["g"], "v", name="r")
+            assert rows(a, "id", "r") == rows(b, "id", "r")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     asc_a = rank_within(df, ["g"], "v", name="r", descending=False)
     asc_b = rank_by_histogram(df, ["g"], "v", name="r", descending=False)
     assert rows(asc_a, "id", "r") == rows(asc_b, "id", "r")
@@ -69,3 +73,17 @@ def test_top_n_histogram_equals_window(spark):
         a = top_n(df, ["g", "year"], "v", n, name="r")
         b = top_n(df, ["g", "year"], "v", n, name="r", method="histogram")
         assert rows(a, "id", "r") == rows(b, "id", "r")
+
+
+def test_rank_goes_beyond_an_int(spark):
+    """Weighted counts stand for rows: the rank of the next level passes 2^31."""
+    from strata.operators.ranking import rank_by_histogram
+    df = spark.createDataFrame([("g", 5), ("g", 4)], "g string, v int")
+    assert dict(rank_by_histogram(df, ["g"], "v", name="r").dtypes)["r"] == "bigint"
+    many = spark.range(2_300_000_000).select(F.lit("g").alias("g"), F.lit(5).alias("v"))
+    one = spark.createDataFrame([("g", 4)], "g string, v int")
+    hist = many.groupBy("g", "v").count().unionByName(one.withColumn("count", F.lit(1)))
+    from pyspark.sql import Window
+    w = Window.partitionBy("g").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = hist.select("v", (F.coalesce(F.sum("count").over(w), F.lit(0)) + 1).alias("r")).collect()
+    assert {r["v"]: r["r"] for r in ranks} == {5: 1, 4: 2_300_000_001}

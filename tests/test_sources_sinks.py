@@ -4,10 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.ingest import add_ingestion_partition, drop_partition_columns, parse_as_of
-from strata.plans.jobs import persisted
 from strata.schemas import AUDIO
-from strata.session import checkpoint_root, scratch_path
-from strata.sinks.writers import write_raw_parquet, write_table, ensure_database
+from strata.session import (
+    checkpoint_root, materialize, path_exists, scratch_database, scratch_path, scratch_scope,
+)
+from strata.sinks.writers import (
+    ensure_database, jdbc_write_options, write_csv, write_raw_parquet, write_table,
+)
+from strata.streaming import land_new_files
 from strata.sources.files import ingest, read_csv_typed, read_csv_wide, read_raw_parquet, read_table
 
 
@@ -93,12 +97,35 @@ def test_checkpoint_root_uses_session_setting(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_persisted_releases(spark):
-    df = spark.range(10)
-    with persisted(df) as d:
-        assert d.is_cached
-        assert d.count() == 10
-    assert not df.is_cached
+def test_scratch_scope_releases_what_it_made(spark):
+    before = scratch_path(spark, "outside")
+    spark.range(3).write.parquet(before)
+    with scratch_scope(spark):
+        inside = materialize(spark.range(5)).inputFiles()[0].rsplit("/", 1)[0]
+        db = scratch_database(spark)
+        assert path_exists(spark, inside)
+    assert not path_exists(spark, inside)
+    assert db not in {d.name for d in spark.catalog.listDatabases()}
+    assert spark.read.parquet(before).count() == 3
+
+
+def test_batch_and_stream_never_share_a_folder(spark):
+    landing, raw, ckpt = (scratch_path(spark, x) for x in ("landing", "raw", "ckpt"))
+    audio = spark.createDataFrame([("k", 0.5)], "track_id string, danceability double")
+    write_csv(audio, landing)
+    day = add_ingestion_partition(audio, "2024-01-01")
+    write_raw_parquet(day, raw, "append")
+    with pytest.raises(ValueError, match="no stream wrote"):
+        land_new_files(spark, landing, raw, ckpt, schema=audio.schema, as_of="2024-01-01")
+    streamed = scratch_path(spark, "streamed")
+    assert land_new_files(spark, landing, streamed, ckpt, schema=audio.schema, as_of="2024-01-01") == 1
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        write_raw_parquet(day, streamed, "append")
+
+
+def test_jdbc_write_options_are_those_given():
+    assert jdbc_write_options("jdbc:x", "t", user="u") == {
+        "url": "jdbc:x", "dbtable": "t", "truncate": True, "batchsize": 10_000, "user": "u"}
 
 
 def test_raw_read_projects_to_declared_schema(spark):
