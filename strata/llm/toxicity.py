@@ -46,7 +46,7 @@ LENGTH_NORM = 20.0            # words added to a text's length before normalisin
 # Letters of other scripts that look like Latin ones, and digits read as letters.
 LOOKALIKES = dict(zip("аеорсхуіјѕһԁԛԝкмтвнαεορτυικνχ", "aeopcxyijshdqwkmtbhaeoptuiknx"))
 DIGITS = dict(zip("013457", "oieast"))
-_DIGIT_IN_WORD = re.compile(r"(?<=[^\W\d_])[013457@$]+(?=[^\W\d_])|\b[013457@$]+(?=[^\W\d_]{2})")
+_DIGIT_IN_WORD = re.compile(r"[013457@$]+(?=[^\W\d_])")      # before a letter
 _TABLE = str.maketrans(LOOKALIKES)
 _DIGIT_TABLE = str.maketrans(DIGITS | {"@": "a", "$": "s"})
 _BREAK = re.compile(r"[\W\d_]+")
