@@ -178,5 +178,47 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def _crc_table() -> list[int]:
+    out = []
+    for i in range(256):
+        for _ in range(8):
+            i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+        out.append(i)
+    return out
+
+
+def op1_sql() -> str:
+    """The same by ranks and folds: cut points are order statistics, positions row numbers."""
+    digit, step = hilbert_steps(len(DIMS))
+    cells = 1 << BITS
+    cuts = ", ".join(f"list_sort(list({d}) filter ({d} is not null)) as v{i}" for i, d in enumerate(DIMS))
+    cell = ", ".join(
+        f"case when {d} is null then 0 else len(list_filter(range(1, {cells}), "
+        f"lambda i: v{i}[ceil(len(v{i}) * i / {cells}.0)::int] < {d})) end as c{i}" for i, d in enumerate(DIMS))
+    labels = ", ".join("(" + " + ".join(f"((c{j} >> {i}) & 1) * {1 << j}" for j in range(len(DIMS))) + ")::bigint"
+                       for i in reversed(range(BITS)))
+    n = len(DIMS)
+    return f"""
+with t as (select {_crc_table()}::bigint[] as crc, {digit}::bigint[] as digit, {step}::bigint[] as step),
+v as (select {cuts} from documents),
+d as (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 16 as size, {cell},
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+               regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::bigint)),
+             lambda a, x: xor(a >> 8, t.crc[(xor(a, x) & 255) + 1])), 4294967295::bigint) as text_crc32
+  from documents, v, t),
+h as (
+  select d.*, list_reduce(list_prepend(0::bigint, [{labels}]), lambda a, x:
+      (((a >> 16) * {1 << n} + t.digit[(a & 65535) * {1 << n} + x + 1]) << 16)
+      + t.step[(a & 65535) * {1 << n} + x + 1]) >> 16 as curve
+  from d, t),
+p as (
+  select *, row_number() over (order by curve, doc_id nulls first, text_crc32, size) - 1 as g, count(*) over () as n from h)
+select doc_id, size, text_crc32, 'rows' as law, (g * {SHARDS} // n)::int as shard,
+       g - ((g * {SHARDS} // n) * n + {SHARDS - 1}) // {SHARDS} as slot, null::int as grown_shard, curve
+from p
+"""
+
+
 QUERIES = {"op1_hilbert_shards": op1_hilbert_shards}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_hilbert_shards": op1_sql()}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import hilbert
 from tests.llm.helpers import SF, documents, edge_docs, edge_rows, empty_docs, write_tables
+from tools.compare import compare_one, duck
 
 
 @pytest.mark.parametrize("n,bits", [(2, 4), (3, 3), (4, 2)])
@@ -19,6 +20,11 @@ def test_curve_visits_every_cell_in_steps_of_one(spark, n, bits):
         assert sum(abs(a[j] - b[j]) for j in range(n)) == 1
 
 
+def test_query_matches_oracle(spark):
+    res = compare_one(spark, duck(SF), "op1_hilbert_shards", SF, hilbert.QUERIES, hilbert.ORACLE)
+    assert res["status"] == "ok", res
+
+
 def check(rows, shards):
     counts = Counter(r["shard"] for r in rows)
     sizes = [counts.get(s, 0) for s in range(shards)]
