@@ -9,9 +9,9 @@ the empty context all symbols left are equally likely. A text ends with a symbol
 own (byte 255, which UTF-8 never uses), so code lengths are proper probabilities.
 
 Counting is one aggregate of (context, byte) counts, pre-added in every batch. The trie
-is sent to the tasks as sorted arrays; when it has more than ``MAX_ENTRIES`` entries, the
-rarest deepest contexts are left to the shorter ones until it fits, so what is sent is
-bounded. Scoring costs one table look-up per distinct (context, byte) of a batch.
+is sent to the tasks as sorted arrays; when an order has more than ``MAX_ENTRIES``
+entries, the rarest of the longer contexts are left to the shorter ones until all fit,
+so what is sent is bounded. Scoring costs one table look-up per distinct (context, byte) of a batch.
 
 The unigram word score beside it needs exact counts of every word: words above a
 frequency that at most ``FREQUENT`` words can have are sent to the tasks, all others are
@@ -37,7 +37,8 @@ from strata.llm.arrowtext import (
 from strata.llm.common import read
 from strata.session import materialize
 
-ORDER = 3
+ORDER = 4
+WHOLE = 2                     # contexts of so many bytes are never left out: 2 ** 24 pairs at most
 END = 255                     # the symbol after the last byte of a text
 SYMBOLS = 256
 MAX_ENTRIES = 4_000_000       # (context, byte) entries of the trie sent to tasks
@@ -54,23 +55,24 @@ def fold(key: str | Column) -> Column:
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The (context, byte) code of every position of the texts and of their ends:
-    three context bytes and the byte itself, big-endian in 32 bits. Contexts before the
-    first byte are ends. Also the position of the first code of every text."""
+    ``ORDER`` context bytes and the byte itself, big-endian. Contexts before the first
+    byte are ends. Also the position of the first code of every text."""
     n = len(offsets) - 1
     sizes = np.diff(offsets) + 1
     first = np.zeros(n + 1, np.int64)
     np.cumsum(sizes, out=first[1:])
-    stream = np.full(first[-1] + ORDER, END, np.uint32)
+    stream = np.full(first[-1] + ORDER, END, np.uint64)
     at = np.ones(first[-1], bool)
     at[first[1:] - 1] = False
     stream[ORDER:][at] = raw
     code = stream[ORDER:].copy()
     for k in range(1, ORDER + 1):
-        code |= stream[ORDER - k:len(stream) - k] << np.uint32(8 * k)
+        code |= stream[ORDER - k:len(stream) - k] << np.uint64(8 * k)
+    every = np.uint64((1 << 8 * (ORDER + 1)) - 1)
     for k in range(ORDER):                   # a text's start sees no bytes of the text before
         here = first[:-1][sizes > k] + k
-        keep = np.uint32((1 << 8 * (k + 1)) - 1)
-        code[here] = (code[here] & keep) | (np.uint32(0xFFFFFFFF) & ~keep)
+        keep = np.uint64((1 << 8 * (k + 1)) - 1)
+        code[here] = (code[here] & keep) | (every & ~keep)
     return code, first
 
 
@@ -78,14 +80,14 @@ class Trie:
     """Successor counts of all contexts up to ``ORDER`` bytes, as sorted arrays."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray,
-                 shorter: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+                 shorter: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> None:
         """``codes``: ascending distinct (context, byte) codes of the deepest order.
-        ``shorter``: those one byte shorter, where they are more than the former's sums."""
+        ``shorter``: by length of context, those that are not the sums of longer ones."""
         self.orders = []                     # from the deepest to the empty context
         keys, n = codes.astype(np.uint64), counts.astype(np.float64)
         for depth in range(ORDER, -1, -1):
-            if depth == ORDER - 1 and shorter is not None:
-                keys, n = shorter[0].astype(np.uint64), shorter[1].astype(np.float64)
+            if shorter and depth in shorter:
+                keys, n = shorter[depth][0].astype(np.uint64), shorter[depth][1].astype(np.float64)
             keys, where = np.unique(keys & np.uint64((1 << 8 * (depth + 1)) - 1), return_inverse=True)
             n = np.bincount(where, n, len(keys)) if len(keys) else np.zeros(0)
             contexts, begin = np.unique(keys >> np.uint64(8), return_index=True)
@@ -161,14 +163,19 @@ def train(texts: DataFrame, max_entries: int = MAX_ENTRIES) -> Trie:
     """Learn the trie from the column ``text`` of all rows."""
     counts = materialize(texts.select("text").mapInArrow(_gram_counts, "code long, n long")
                          .groupBy("code").agg(F.sum("n").alias("n")))
+    by_depth = {d: counts if d == ORDER else counts.groupBy(
+        F.col("code").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+        for d in range(ORDER, WHOLE - 1, -1)}
     least = least_count(counts, max_entries)
-    kept = counts.filter(F.col("n") >= least).toPandas().sort_values("code")
-    shorter = None
-    if least > 1:                            # at most 2 ** (8 * ORDER) of these
-        lower = (counts.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * ORDER) - 1)).alias("code"))
-                 .agg(F.sum("n").alias("n")).toPandas().sort_values("code"))
-        shorter = lower["code"].to_numpy(), lower["n"].to_numpy()
-    return Trie(kept["code"].to_numpy(), kept["n"].to_numpy(), shorter)
+    if least > 1:                            # one threshold, so that longer successors are shorter ones' too
+        least = max(least, *(least_count(by_depth[d], max_entries) for d in range(WHOLE + 1, ORDER)))
+
+    def collected(d: int) -> tuple[np.ndarray, np.ndarray]:
+        kept = by_depth[d].filter(F.col("n") >= (least if d > WHOLE else 1)).toPandas().sort_values("code")
+        return kept["code"].to_numpy(), kept["n"].to_numpy()
+
+    shorter = {d: collected(d) for d in range(WHOLE, ORDER)} if least > 1 else None
+    return Trie(*collected(ORDER), shorter)
 
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
