@@ -53,8 +53,15 @@ def _row_key(df: DataFrame, key: str, text: str) -> dict[str, Column]:
             "_text": F.xxhash64(text_or_empty(text))}
 
 
+def window_hashes(hashes: str, k: int) -> Column:
+    """Hashes of all windows of ``k`` words; fewer words than that give none."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - k)
+    return F.when(F.size(hashes) >= k, F.transform(starts, lambda i: window_hash(F.col(hashes), i, k))
+                  ).otherwise(F.array().cast("array<bigint>"))
+
+
 def windows_of(words: str, hashes: str, k: int) -> Column:
-    """All windows of ``k`` words with their hashes; fewer words than that give none."""
+    """The same with the words themselves and where they start."""
     starts = F.sequence(F.lit(0), F.size(hashes) - k)
     cut = F.transform(starts, lambda i: F.struct(
         window_hash(F.col(hashes), i, k).alias("hash"), F.slice(F.col(words), i + 1, k).alias("words"),
@@ -70,7 +77,7 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
                   text: str = "text") -> DataFrame:
     """One row per document with a hit, by ``ROW_KEY``: ``spans`` (disjoint runs of hit
     words as start, end), ``n_hit`` words and the sorted ``items`` found."""
-    windows = materialize(benchmark_windows(bench, n), small=True)
+    windows = materialize(benchmark_windows(bench, n))
     size = windows.agg(F.sum(F.octet_length(F.array_join("window", " ")) + 64).alias("bytes"),
                        F.collect_set("n").alias("lengths")).first()
     lengths = sorted(size["lengths"], reverse=True)             # at most n of them
@@ -79,22 +86,30 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
     for k in lengths:
         by_length = F.when(F.col("n") == k, window_hash(F.col("_w"), F.lit(0), k)).otherwise(by_length)
     found = found.select(by_length.alias("_hash"), F.col("n").alias("_n"), "window", "items")
-    if (size["bytes"] or 0) <= BROADCAST_BYTES:
-        found = F.broadcast(found)
+    sent = (size["bytes"] or 0) <= BROADCAST_BYTES
 
     d = docs.select(*[c.alias(k) for k, c in _row_key(docs, key, text).items()],
                     normal_words(text).alias("_words"))
     d = d.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    windowed = [windows_of("_words", "_hashes", k) for k in lengths]
-    if not windowed:                                             # nothing to look for
-        windowed = [F.filter(windows_of("_words", "_hashes", 1), lambda x: F.lit(False))]
+    lengths = lengths or [n]                                     # nothing to look for: joins with nothing
     # explode_outer: the optimiser would push explode's own not-empty filter below the
     # projections and compute the hashes again for every window.
-    hits = (d.select(*ROW_KEY, F.explode_outer(F.concat(*windowed)).alias("_at"))
-            .select(*ROW_KEY, "_at.hash", "_at.words", "_at.at", "_at.n")
-            .join(found, F.col("hash") == F.col("_hash"))
-            .filter(F.col("words") == F.col("window"))
-            .withColumns({"_at": F.col("at"), "_n": F.col("n")}))
+    if sent:
+        # Probing takes place where the windows are made, so only hits are cut from the
+        # words. Windows of one length after another: longer lengths come first.
+        skipped = F.lit(0)
+        for k in lengths:
+            skipped = skipped + F.when(F.col("_n") < k, F.greatest(F.size("_words") - k + 1, F.lit(0))).otherwise(0)
+        hits = (d.select(*ROW_KEY, "_words", F.posexplode_outer(
+                    F.concat(*[window_hashes("_hashes", k) for k in lengths])).alias("_i", "hash"))
+                .join(F.broadcast(found), F.col("hash") == F.col("_hash"))
+                .withColumn("_at", F.col("_i") - skipped)
+                .filter(F.slice("_words", F.col("_at") + 1, F.col("_n")) == F.col("window")))
+    else:
+        hits = (d.select(*ROW_KEY, F.explode_outer(
+                    F.concat(*[windows_of("_words", "_hashes", k) for k in lengths])).alias("_w"))
+                .select(*ROW_KEY, "_w.*").join(found, F.col("hash") == F.col("_hash"))
+                .filter(F.col("words") == F.col("window")).withColumn("_at", F.col("at")))
     per_doc = hits.groupBy(*ROW_KEY).agg(
         F.sort_array(F.collect_set(F.struct(F.col("_at").alias("start"),
                                             (F.col("_at") + F.col("_n")).alias("end")))).alias("_spans"),
