@@ -12,10 +12,11 @@ probability (1 - 0.8^6)^50, about 3 in 10 million.
 
 Hot groups never become all pairs. Texts with equal sets are one vertex from the start.
 In a bucket every member is compared with the bucket's leader, its smallest vertex, so a
-bucket of n gives n - 1 pairs. Only members that this leaves outside the leader's
-component go on: they are compared with a new leader of theirs, round by round, and once
-the comparisons left are few against the memberships, all of those are made. So no link
-is lost that any shared band can show.
+bucket of n gives n - 1 pairs. Only members that this leaves outside the bucket's
+first component go on. In every bucket they meet one member of that component, another in
+each bucket and round, until the comparisons left are few against the memberships or such
+meetings link hardly any more; then all comparisons left are made. So no link is lost
+that any shared band can show.
 
 Defined results: a null or wordless text has an empty set and is linked with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a row without a key is
@@ -41,7 +42,8 @@ from strata.session import materialize
 SHINGLE_WORDS = 5
 SIMILARITY = 80               # per cent
 BANDS, ROWS = 50, 6
-FEW = 4                       # comparisons left per membership that are made at once
+FEW = 1                       # comparisons left per membership that are made at once
+STALL = 0.8                   # or when a round leaves more than this share of them
 
 
 def permute(x: np.ndarray, key: int) -> np.ndarray:
@@ -171,34 +173,34 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     links = own.select("u", "v")
     pairs = members.filter("u < v").select("u", "v").distinct()
-    bucketed, left = members.select("bucket", "v"), None
+    bucketed, left, salt = members.select("bucket", "v"), None, 0
     while True:
         links = materialize(links.unionByName(_links(pairs, sets, similarity)))
         roots = components(links)
+        if left == 0:
+            break
         placed = (bucketed.join(roots, "v", "left")
                   .select("bucket", "v", F.coalesce("root", "v").alias("root")))
-        # Buckets whose members are not all in one component yet; the largest component
-        # would do as well, the smallest root is what a combined minimum can find.
-        first = placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"),
-                                             F.count(F.lit(1)).alias("size"))
-        open_ = materialize(placed.join(first.filter("first < last"), "bucket"))
+        # Buckets whose members are not all in one component yet.
+        mixed = (placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"),
+                                              F.count(F.lit(1)).alias("size")).filter("first < last"))
+        open_ = materialize(placed.join(mixed, "bucket"))
         outside = open_.filter("root != first")
-        work = outside.agg(F.sum("size").alias("pairs")).first()["pairs"] or 0
-        if work == 0 or left == "done":
-            return sketched.select("key", "n").join(
-                roots.select(F.col("v").alias("key"), "root"), "key", "left").select(
-                "key", "n", F.coalesce("root", "key").alias("root"))
-        few = FEW * open_.count()
-        other = open_.select("bucket", F.col("v").alias("w"), F.col("root").alias("w_root"))
-        if work <= few or (left is not None and work > left / 2):
-            # All comparisons left: members outside the first component against all others.
-            met = outside.join(other, "bucket").filter("root != w_root")
-            left = "done"
+        work = outside.agg(F.sum("size").alias("n")).first()["n"] or 0
+        if work == 0:
+            break
+        if work <= FEW * open_.count() or (left is not None and work > STALL * left):
+            other = open_.select("bucket", F.col("v").alias("w"), F.col("root").alias("w_root"))
+            met, left = outside.join(other, "bucket").filter("root != w_root"), 0
         else:
-            head = outside.groupBy("bucket").agg(F.min_by(F.struct("v", "root"), F.struct("root", "v")).alias("h"))
-            met = (head.select("bucket", "h.*").join(other, "bucket").filter("root != w_root"))
-            left = work
+            salt += 1
+            partner = (open_.filter("root = first").groupBy("bucket")
+                       .agg(F.min_by("v", F.xxhash64("v", "bucket", F.lit(salt))).alias("w")))
+            met, left = outside.join(partner, "bucket"), work
         pairs = met.select(F.least("v", "w").alias("u"), F.greatest("v", "w").alias("v")).distinct()
+    return sketched.select("key", "n").join(
+        roots.select(F.col("v").alias("key"), "root"), "key", "left").select(
+        "key", "n", F.coalesce("root", "key").alias("root"))
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
