@@ -13,8 +13,8 @@ strings are judged on the input.
 2. Classes that share an anchor may still share some of their windows. Their
    surroundings (at most 168 bytes) are fetched and, anchor by anchor, suffix-sorted:
    equal windows stand together in the suffix array, and all but the earliest are
-   repeats. Surroundings are cut to the windows that could be shared, and equal ones are
-   sorted once.
+   repeats. Surroundings are cut to the windows that could be shared, and one that is part
+   of an earlier one at the same offset is a repeat without sorting.
 3. An anchor with more than ``GROUP`` classes is not gathered: its windows are dealt out
    by their own hash, and the earliest of each is a combined minimum.
 4. Per document the repeats are merged and cut out.
@@ -44,6 +44,7 @@ WIDTH = 100
 GRAM = 32                     # bytes of an anchor
 REACH = WIDTH - GRAM          # bytes that a window can have before its anchor
 GROUP = 2_048                 # classes of one anchor that are suffix-sorted together
+READY = 4_096                 # surroundings whose windows are hashed at once
 NO_KEY = (1 << 63) - 1
 
 REPEAT, CLASS, WINDOW = 0, 1, 2
@@ -237,33 +238,47 @@ def _window_hashes(bytes_: list[bytes], values: np.ndarray, powers: Powers) -> t
     return mix((total[at + WIDTH] - total[at]) * powers.down[at]), which, start
 
 
-def sort_group(found: list[tuple[int, int, int, int, bytes]], values: np.ndarray, powers: Powers
-               ) -> Iterator[tuple[int, int, int, int]]:
-    """Step 2 for one anchor: (key, text_id, start, end) of all repeats among its
-    surroundings (key, text_id, start, at, bytes), given in order of occurrence."""
-    hashes, which, start = _window_hashes([f[4] for f in found], values, powers)
-    aligned = start - np.array([f[3] - f[2] for f in found])[which]       # start relative to the anchor
-    _, where, count = np.unique(mix(hashes + aligned.astype(np.uint64)), return_inverse=True, return_counts=True)
+def sort_groups(rows: list[tuple[int, int, int, int, int, bytes]], values: np.ndarray, powers: Powers
+                ) -> Iterator[tuple[int, int, int, int]]:
+    """Step 2 for whole groups: (key, text_id, start, end) of all repeats among the
+    surroundings (hash, key, text_id, start, at, bytes), given by hash in order of occurrence."""
+    hashes, which, start = _window_hashes([r[5] for r in rows], values, powers)
+    aligned = start - np.array([r[4] - r[3] for r in rows])[which]        # start relative to the anchor
+    anchor = np.array([r[0] for r in rows], np.int64).view(np.uint64)[which]
+    _, where, count = np.unique(mix(hashes + aligned.astype(np.uint64)) + mix(anchor),
+                                return_inverse=True, return_counts=True)
     shared = count[where] > 1
     if not shared.any():
         return
     which, start = which[shared], start[shared]
     heads = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
     tails = np.append(heads[1:], len(which)) - 1
-    cut: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-    for a, z in zip(heads.tolist(), tails.tolist()):
-        key, text_id, s, at, whole = found[which[a]]
-        i, j = int(start[a]), int(start[z]) + WIDTH
-        part = (i - (at - s), whole[i:j])
-        if part in cut:                       # equal to an earlier one at the same offset
-            yield key, text_id, s + i, s + j
+    current, kept = None, []
+    for r, i, z in zip(which[heads].tolist(), start[heads].tolist(), start[tails].tolist()):
+        hash_, key, text_id, s, at, whole = rows[r]
+        if hash_ != current:
+            yield from _sort_texts(kept)
+            current, kept = hash_, []
+        part, offset = whole[i:z + WIDTH], i - (at - s)
+        n = len(part)
+        for other, base, *_ in kept:          # part of an earlier one, at the same offset
+            if offset >= base and other[offset - base:offset - base + n] == part:
+                yield key, text_id, s + i, s + i + n
+                break
         else:
-            cut[part] = key, text_id, s + i
-    texts, places = [t for _, t in cut], list(cut.values())
-    for group in repeated_windows(texts, WIDTH):
-        at = sorted((places[k][0], places[k][1], places[k][2] + i) for k, i in group)
-        for (key, text_id, s), earlier in zip(at[1:], at):
-            if (key, text_id, s) != at[0]:
+            kept.append((part, offset, key, text_id, s + i))
+    yield from _sort_texts(kept)
+
+
+def _sort_texts(kept: list[tuple[bytes, int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """Suffix-sorts texts (bytes, offset, key, text_id, start) and yields all occurrences of
+    their windows but the earliest of each."""
+    if len(kept) < 2:
+        return
+    for group in repeated_windows([k[0] for k in kept], WIDTH):
+        places = sorted((kept[t][2], kept[t][3], kept[t][4] + i) for t, i in group)
+        for key, text_id, s in places[1:]:
+            if (key, text_id, s) != places[0]:
                 yield key, text_id, s, s + WIDTH
 
 
@@ -271,37 +286,36 @@ def _sorted_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Step 2 on rows sorted by (hash, key, text_id, at); a group that grows beyond GROUP
     leaves as windows (step 3)."""
     values, powers = byte_values(), Powers()
-    out: list[tuple[int, int, int, int]] = []
+    ready: list[tuple] = []                   # whole groups
     group: list[tuple] = []
-    current, hot = None, False
+    hot = False
 
-    def flush(rows: list[tuple[int, int, int, int]]) -> Iterator[pa.RecordBatch]:
-        if rows:
-            a = np.array(rows, np.int64)
-            yield from _repeats(a[:, 0], a[:, 1], a[:, 2], a[:, 3])
+    def sort_ready() -> Iterator[pa.RecordBatch]:
+        found = np.array(list(sort_groups(ready, values, powers)) if ready else [], np.int64).reshape(-1, 4)
+        yield from _repeats(found[:, 0], found[:, 1], found[:, 2], found[:, 3])
 
     def windows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        h, which, start = _window_hashes([r[4] for r in rows], values, powers)
+        h, which, start = _window_hashes([r[5] for r in rows], values, powers)
         col = lambda k: np.array([r[k] for r in rows])[which]             # noqa: E731
-        second = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) + (start - col(3) + col(2)).astype(np.uint64)
-        yield _rows(WINDOW, h.view(np.int64), (second + np.uint64(current & 0xFFFFFFFF)).view(np.int64), col(0), col(1),
-                    col(2) + start, 0, col(2) + start + WIDTH)
+        second = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) + (start - col(4) + col(3)).astype(np.uint64)
+        yield _rows(WINDOW, h.view(np.int64), (second + np.uint64(rows[0][0] & 0xFFFFFFFF)).view(np.int64),
+                    col(1), col(2), col(3) + start, 0, col(3) + start + WIDTH)
 
     for b in batches:
         columns = [b.column(n).to_pylist() for n in ("hash", "key", "text_id", "start", "at", "bytes")]
-        for h, *row in zip(*columns):
-            if h != current:
-                if len(group) > 1 and not hot:
-                    out.extend(sort_group(group, values, powers))
-                elif hot and group:
+        for row in zip(*columns):
+            if group and row[0] != group[0][0]:
+                if hot:
                     yield from windows(group)
-                group, current, hot = [], h, False
-                if len(out) > 20_000:
-                    yield from flush(out)
-                    out = []
-            if group and row[:4] == list(group[-1][:4]):
+                elif len(group) > 1:
+                    ready.extend(group)
+                group, hot = [], False
+                if len(ready) >= READY:
+                    yield from sort_ready()
+                    ready = []
+            if group and row[:5] == group[-1][:5]:
                 continue                      # a row listed twice
-            group.append(tuple(row))
+            group.append(row)
             if len(group) > GROUP:
                 hot = True
                 yield from windows(group[:-1])
@@ -309,8 +323,8 @@ def _sorted_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     if hot and group:
         yield from windows(group)
     elif len(group) > 1:
-        out.extend(sort_group(group, values, powers))
-    yield from flush(out)
+        ready.extend(group)
+    yield from sort_ready()
 
 
 def repeats(docs: DataFrame) -> DataFrame:
