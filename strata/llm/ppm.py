@@ -42,7 +42,7 @@ WHOLE = 2                     # contexts of so many bytes are never left out: 2
 END = 255                     # the symbol after the last byte of a text
 SYMBOLS = 256
 MAX_ENTRIES = 4_000_000       # (context, byte) entries of the trie sent to tasks
-FREQUENT = 1_000_000          # words sent to tasks
+FREQUENT = 500_000            # words sent to tasks
 COUNT_LEVELS = 1 << 16
 FOLDS = 10
 
@@ -159,6 +159,14 @@ def least_count(counts: DataFrame, most: int) -> int:
     return min(least, 1)
 
 
+def sorted_arrays(counts: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (as unsigned, ascending) and counts of a bounded frame, as plain arrays."""
+    table = counts.select(key, "n").toArrow()
+    keys, n = table.column(key).to_numpy().view(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
 def train(texts: DataFrame, max_entries: int = MAX_ENTRIES) -> Trie:
     """Learn the trie from the column ``text`` of all rows."""
     counts = materialize(texts.select("text").mapInArrow(_gram_counts, "code long, n long")
@@ -171,8 +179,7 @@ def train(texts: DataFrame, max_entries: int = MAX_ENTRIES) -> Trie:
         least = max(least, *(least_count(by_depth[d], max_entries) for d in range(WHOLE + 1, ORDER)))
 
     def collected(d: int) -> tuple[np.ndarray, np.ndarray]:
-        kept = by_depth[d].filter(F.col("n") >= (least if d > WHOLE else 1)).toPandas().sort_values("code")
-        return kept["code"].to_numpy(), kept["n"].to_numpy()
+        return sorted_arrays(by_depth[d].filter(F.col("n") >= (least if d > WHOLE else 1)), "code")
 
     shorter = {d: collected(d) for d in range(WHOLE, ORDER)} if least > 1 else None
     return Trie(*collected(ORDER), shorter)
@@ -241,8 +248,8 @@ def op9_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_docs = training.count()
     total, distinct = (row["n"] or 0) + n_docs, row["v"] + (1 if n_docs else 0)
     least = least_count(counts, FREQUENT)
-    frequent = counts.filter(F.col("n") >= least).toPandas().sort_values("word", key=lambda w: w.astype("uint64"))
-    sent = (frequent["word"].to_numpy().view(np.uint64), np.log10(frequent["n"].to_numpy() + 0.1))
+    frequent, n = sorted_arrays(counts.filter(F.col("n") >= least), "word")
+    sent = frequent, np.log10(n + 0.1)
 
     scored = materialize(score(docs, trie, sent))
     rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("tf"))
