@@ -121,3 +121,11 @@ def test_pruned_trie_keeps_shorter_contexts(spark):
 def test_least_count(spark):
     counts = spark.createDataFrame([(i, n) for i, n in enumerate([5, 5, 3, 1, 1, 1])], "code long, n long")
     assert [ppm.least_count(counts, m) for m in (6, 5, 3, 2, 1)] == [1, 2, 2, 4, 6]
+
+
+def test_rare_contexts_are_scored_whole(spark, monkeypatch):
+    docs = [(r["doc_id"], r["text"]) for r in documents(spark).collect()]
+    monkeypatch.setattr(ppm, "MAX_ENTRIES", 500)               # most codes by the join
+    monkeypatch.setattr(ppm.train, "__defaults__", (500,))
+    monkeypatch.setattr(ppm, "CHUNK", 1000, raising=False)
+    check(ppm.op9_ppm_score(spark, SF).collect(), docs)
