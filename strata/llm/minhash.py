@@ -10,7 +10,9 @@ the threshold. Groups are the connected components of the links.
 With ``BANDS`` bands of ``ROWS`` coordinates a pair at similarity 0.8 shares no band with
 probability (1 - 0.8^6)^50, about 3 in 10 million.
 
-Hot groups never become all pairs. Texts with equal sets are one vertex from the start.
+Hot groups never become all pairs. Texts with equal sets are one vertex from the start;
+vertices are sets, not keys, so a key with several texts has all of them compared, and
+its sets are linked with each other.
 In a bucket every member is compared with the bucket's leader, its smallest vertex, so a
 bucket of n gives n - 1 pairs. Only members that this leaves outside the bucket's
 first component go on. In every bucket they meet one member of that component, another in
@@ -20,7 +22,7 @@ that any shared band can show.
 
 Defined results: a null or wordless text has an empty set and is linked with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a row without a key is
-linked with nothing; rows with one key are one vertex; repeated rows stay as rows; an
+linked with nothing; rows with one key are one group at least; repeated rows stay as rows; an
 empty table gives an empty result.
 """
 
@@ -141,8 +143,8 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
 def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Those pairs (``u``, ``v``) whose full sets reach the similarity."""
     near = 100 * F.least("n", "m") >= similarity * F.greatest("n", "m")
-    size = lambda name, n: sets.select(F.col("key").alias(name), F.col("n").alias(n))        # noqa: E731
-    whole = lambda name, s: sets.select(F.col("key").alias(name), F.col("set").alias(s))     # noqa: E731
+    size = lambda name, n: sets.select(F.col("id").alias(name), F.col("n").alias(n))         # noqa: E731
+    whole = lambda name, s: sets.select(F.col("id").alias(name), F.col("set").alias(s))      # noqa: E731
     pairs = pairs.join(size("u", "n"), "u").join(size("v", "m"), "v").filter(near)
     both = pairs.join(whole("u", "a"), "u").join(whole("v", "b"), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -157,21 +159,24 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sketched = materialize(sketch(docs, k, bands, rows))
     linkable = sketched.filter((F.col("n") > 0) & F.col("key").isNotNull())
-    # Equal sets are one vertex, named by its smallest key.
+    # Equal sets are one vertex, numbered; the class keeps its smallest key.
     classes = materialize(linkable.groupBy("class").agg(F.min(F.struct("key", "n", "bands")).alias("c"))
-                          .select("class", "c.*"))
-    own = linkable.select("class", F.col("key").alias("v")).join(
-        classes.select("class", F.col("key").alias("u")), "class").filter(F.col("u") != F.col("v")).select("u", "v")
-
-    members = classes.select(F.explode("bands").alias("bucket"), F.col("key").alias("v")).distinct()
+                          .select(F.monotonically_increasing_id().alias("id"), "class", "c.*"))
+    several = (linkable.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+               .filter("low < high").select("key"))
+    several = materialize(linkable.join(several, "key").select("key", "class").distinct()
+                          .join(classes.select("class", "id"), "class").select("key", "id"))
+    own = several.join(several.groupBy("key").agg(F.min("id").alias("u")), "key").select("u", F.col("id").alias("v"))
+
+    members = classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("v"))
     leaders = members.groupBy("bucket").agg(F.min("v").alias("u"), F.count(F.lit(1)).alias("size"))
     members = materialize(members.join(leaders.filter("size > 1"), "bucket"))
-    vertices = members.select(F.col("v").alias("key")).distinct()
-    texts = docs.join(vertices, "key").select("key", "text")
-    sets = materialize(full_sets(texts, k).join(classes.select("key", "class"), ["key", "class"])
-                       .dropDuplicates(["key"]).select("key", "set", F.size("set").alias("n")))
+    vertices = classes.join(members.select(F.col("v").alias("id")).distinct(), "id").select("id", "key", "class")
+    texts = docs.join(vertices.select("key").distinct(), "key").select("key", "text")
+    sets = materialize(full_sets(texts, k).join(vertices, ["key", "class"])
+                       .dropDuplicates(["id"]).select("id", "set", F.size("set").alias("n")))
 
-    links = own.select("u", "v")
+    links = own.filter("u < v")
     pairs = members.filter("u < v").select("u", "v").distinct()
     bucketed, left, salt = members.select("bucket", "v"), None, 0
     while True:
@@ -198,8 +203,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                        .agg(F.min_by("v", F.xxhash64("v", "bucket", F.lit(salt))).alias("w")))
             met, left = outside.join(partner, "bucket"), work
         pairs = met.select(F.least("v", "w").alias("u"), F.greatest("v", "w").alias("v")).distinct()
-    return sketched.select("key", "n").join(
-        roots.select(F.col("v").alias("key"), "root"), "key", "left").select(
+    # A component is named by the smallest key of its classes.
+    grouped = classes.select("id", "class", "key").join(roots.withColumnRenamed("v", "id"), "id", "left").select(
+        "class", "key", F.coalesce("root", "id").alias("component"))
+    names = grouped.groupBy("component").agg(F.min("key").alias("root"))
+    named = grouped.join(names, "component").select("class", "root")
+    moved = linkable.select("key", "class").join(named, "class").filter("key != root").select("key", "root").distinct()
+    return sketched.select("key", "n").join(moved, "key", "left").select(
         "key", "n", F.coalesce("root", "key").alias("root"))
 
 

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from strata.llm import components, minhash
 from tests.llm.helpers import PROSE, SF, ascii_lower, documents, edge_docs, empty_docs, words
 
@@ -89,3 +91,12 @@ def test_components_of_long_paths(spark):
 def test_short_texts_are_one_shingle(spark):
     df = spark.createDataFrame([(1, "One"), (2, "one"), (3, PROSE[:5])], "doc_id long, text string")
     assert {r["key"]: r["root"] for r in minhash.near_duplicates(df, k=5).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_every_text_of_a_repeated_key_is_compared(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    df = spark.createDataFrame([(10, a), (10, b), (20, a + " x"), (30, b + " y"), (40, "c " + b), (50, "d e f g h"), (20, None)],
+                               "doc_id long, text string")
+    for rows in (df, df.orderBy(F.desc("text"))):
+        got = minhash.near_duplicates(rows).collect()
+        assert {(r["key"], r["root"]) for r in got} == {(10, 10), (20, 10), (30, 10), (40, 10), (50, 50)} and len(got) == 7
