@@ -6,9 +6,10 @@ neighbours in every dimension), rows are range-sorted by curve index, and the so
 sequence is cut into equal runs. A run then covers a compact box of the metadata
 space, so min/max statistics per shard prune files for filters on any dimension.
 
-Everything is DataFrame functions. Cells are equi-depth: cut points come from one
-``percentile_approx`` aggregate, so a value that holds a third of all rows takes one
-cell and the other cells share the rest. Global positions come from a range sort
+Everything is DataFrame functions. Cells are equi-depth, so a value that holds a third of
+all rows takes one cell and the other cells share the rest. Cut points of numbers come
+from one ``percentile_approx`` aggregate; strings are compared whole, their cut points are
+exact order statistics from counts per value, summed up in string order. Global positions come from a range sort
 plus one row count per sorted partition; no task sees more than its own range.
 
 Defined results: a null dimension sorts lowest (cell 0); equal rows take adjacent
@@ -18,7 +19,6 @@ replaced by the outputs.
 
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from strata.llm.common import free_name, read, text_or_empty, utf8_bytes
 from strata.session import materialize
 
-PREFIX_BYTES = 6          # bytes of a string (after the column's common prefix) that order it
 QUANTILE_ACCURACY = 10_000
 
 
@@ -87,45 +86,50 @@ def curve_index(cells: Sequence[Column], bits: int) -> Column:
     return F.aggregate(levels, start, descend, lambda acc: acc["index"])
 
 
-def _common_prefix(low: str | None, high: str | None) -> int:
-    if low is None or high is None:
-        return 0
-    return len(os.path.commonprefix([low.encode(), high.encode()]))
+def string_cuts(df: DataFrame, dims: Sequence[str], cells: int) -> list[list[str]]:
+    """Per dimension the values at ranks ceil(n * i / cells), 0 < i < cells, of its n strings.
 
-
-def sort_keys(df: DataFrame, dims: Sequence[str]) -> list[Column]:
-    """A numeric key per dimension that orders like the dimension itself.
-
-    Strings become the number of their first bytes after the prefix that all values
-    share (one min/max aggregate finds it).
+    Counts per value are range-sorted; a value's rank is the sum of its partition's counts up
+    to it and of all earlier partitions. At most cells - 1 values of a dimension are collected.
     """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    text = [d for d in dims if not isinstance(kinds[d], (T.NumericType, T.BooleanType))]
-    ends = {}
-    if text:
-        row = df.agg(*[f(F.col(d).cast("string")).alias(f"{k}{i}") for i, d in enumerate(text)
-                       for k, f in (("lo", F.min), ("hi", F.max))]).first()
-        ends = {d: _common_prefix(row[f"lo{i}"], row[f"hi{i}"]) for i, d in enumerate(text)}
-    keys = []
-    for d in dims:
-        if d in ends:
-            part = F.substring(F.encode(F.col(d).cast("string"), "UTF-8"), ends[d] + 1, PREFIX_BYTES)
-            keys.append(F.conv(F.rpad(F.hex(part), 2 * PREFIX_BYTES, "0"), 16, 10).cast("double"))
-        else:
-            keys.append(F.col(d).cast("double"))
-    return keys
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.col(c).cast("string").alias("v"))
+                               for i, c in enumerate(dims)]))
+    counts = materialize(df.select(each.alias("x")).select("x.*").filter("v is not null")
+                         .groupBy("d", "v").agg(F.count(F.lit(1)).alias("n")))
+    placed = materialize(counts.repartitionByRange("d", "v").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("d").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (placed.groupBy("d", "part").agg(F.sum("n").alias("s"))
+            .select("d", "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("off"),
+                    F.sum("s").over(Window.partitionBy("d")).alias("total")))
+    inside = Window.partitionBy("d", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("off") + F.col("upto")
+    rank = F.expr(f"(total * i + {cells - 1}) div {cells}")
+    found = (placed.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(runs), ["d", "part"])
+             .withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(cells - 1))))
+             .filter((rank <= last) & (rank > last - F.col("n"))).select("d", "i", "v").collect())
+    cuts: list[list[str]] = [[] for _ in dims]
+    for row in sorted(found):
+        cuts[row["d"]].append(row["v"])
+    return cuts
 
 
 def quantise(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     """Equi-depth cells in ``[0, 2**bits)`` per dimension; null falls in cell 0."""
-    keys = sort_keys(df, dims)
-    marks = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
-    cuts = df.agg(*[F.percentile_approx(k, marks, QUANTILE_ACCURACY).alias(f"c{i}")
-                    for i, k in enumerate(keys)]).first()
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    number = [d for d in dims if isinstance(kinds[d], (T.NumericType, T.BooleanType))]
+    text = [d for d in dims if d not in number]
+    cuts: dict[str, list] = {}
+    if number:
+        marks = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
+        row = df.agg(*[F.percentile_approx(F.col(d).cast("double"), marks, QUANTILE_ACCURACY).alias(f"c{i}")
+                       for i, d in enumerate(number)]).first()
+        cuts = {d: row[f"c{i}"] or [] for i, d in enumerate(number)}
+    if text:
+        cuts |= dict(zip(text, string_cuts(df, text, 1 << bits)))
     cells = []
-    for i, k in enumerate(keys):
-        above = [F.when(k > F.lit(c), 1).otherwise(0) for c in cuts[f"c{i}"] or []]
-        cells.append(sum(above, F.lit(0)))
+    for d in dims:
+        k = F.col(d).cast("double" if d in number else "string")
+        cells.append(sum([F.when(k > F.lit(c), 1).otherwise(0) for c in cuts[d]], F.lit(0)))
     return cells
 
 

@@ -64,3 +64,15 @@ def test_clashing_outputs_are_replaced(spark):
     docs = documents(spark).withColumns({"shard": F.lit("x"), "slot": F.lit("x"), "_part": F.lit("kept")})
     out = hilbert.hilbert_shards(docs, ["n_chars"], 4)
     assert dict(out.dtypes)["shard"] == "int" and {r["_part"] for r in out.collect()} == {"kept"}
+
+
+def test_strings_are_compared_whole(spark):
+    names = [f"www.example{i % 37:02}.com" for i in range(500)] + ["odd", "", None, "www.example00.com/é"] + ["hot"] * 200
+    df = spark.createDataFrame([(v, f"source_{i % 90:04}") for i, v in enumerate(names)], "host string, source string")
+    got = df.select("*", *[c.alias(f"c{i}") for i, c in enumerate(hilbert.quantise(df, ["host", "source"], 4))]).collect()
+    for name, cell in (("host", "c0"), ("source", "c1")):
+        values = sorted((r[name] for r in got if r[name] is not None), key=str.encode)
+        cuts = [values[-(-len(values) * i // 16) - 1] for i in range(1, 16)]
+        for r in got:
+            assert r[cell] == sum(r[name] is not None and c.encode() < r[name].encode() for c in cuts)
+    assert len({r["c1"] for r in got}) == 16
