@@ -12,8 +12,10 @@ Inside roles and texts a backslash precedes every backslash and ``<`` (in roles
 too), so no text can look like a control string and reading back is exact. The loss mask
 covers the text of assistant messages, not their placeholders.
 
-One row per conversation holds its turns, so a conversation must fit one row; messages
-are gathered by conversation id and no other group is ever formed.
+Messages are dealt out by conversation id, sorted inside their partition (on disk where
+need be) and streamed: every turn gives one formatted row, and only offsets, attachment
+numbers and digests go on to the next. So memory holds some messages, however long a
+conversation is. A conversation is read by one task, as its digests run over all its turns.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; a null role or
 text counts as empty; repeated rows are repeated turns; an unknown part type is an
@@ -40,9 +42,10 @@ DOCUMENT_TOKENS_A_PAGE = 1024
 
 PARTS = ("array<struct<type:string,text:string,uri:string,width:int,height:int,"
          "seconds:double,pages:int>>")
-FORMATTED = ("conv_id long, formatted string, loss array<struct<start:int,end:int>>, "
-             "attachments array<struct<index:int,type:string,uri:string,turn:int,tokens:long>>, "
-             "n_turns long, n_tokens long")
+FORMATTED = ("conv_id long, position long, start long, formatted string, "
+             "loss array<struct<start:long,end:long>>, "
+             "attachments array<struct<index:long,type:string,uri:string,turn:long,tokens:long>>, n_tokens long")
+AT_ONCE = 64                  # messages held as Python objects
 
 _SPECIAL = re.compile(r"[\\<]")
 _SPECIAL_ROLE = re.compile(r"[\\<>]")
@@ -67,6 +70,7 @@ class PartVisitor:
         self.tokens = 0
         self.loss: list[dict] = []
         self.attachments: list[dict] = []
+        self.attached = 0
 
     def put(self, text: str) -> None:
         self.out.append(text)
@@ -83,6 +87,14 @@ class PartVisitor:
             visit(part)
         self.put("</turn>\n")
 
+    def take(self) -> dict:
+        """What was put since the last call. Offsets and attachment numbers go on."""
+        text = "".join(self.out)
+        row = {"start": self.length - len(text), "formatted": text, "loss": self.loss,
+               "attachments": self.attachments, "n_tokens": self.tokens}
+        self.out, self.loss, self.attachments, self.tokens = [], [], [], 0
+        return row
+
     def visit_text(self, part: Mapping) -> None:
         text = part.get("text") or ""
         start = self.length
@@ -92,7 +104,7 @@ class PartVisitor:
             self.loss.append({"start": start, "end": self.length})
 
     def attach(self, part: Mapping, tokens: int) -> None:
-        index = len(self.attachments)
+        index, self.attached = self.attached, self.attached + 1
         self.put(f"<{part['type']} {index}>")
         self.tokens += tokens
         self.attachments.append({"index": index, "type": part["type"], "uri": part.get("uri"),
@@ -129,34 +141,45 @@ def read_back(formatted: str) -> list[tuple[str, list[tuple[str, Any]]]]:
     return turns
 
 
-def _format(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _some(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
     for b in batches:
+        for i in range(0, b.num_rows, AT_ONCE):
+            yield b.slice(i, AT_ONCE).to_pylist()
+
+
+def _format(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Turns of sorted conversations, each as it comes."""
+    v, conv, position = None, None, 0
+    for messages in _some(batches):
         rows = []
-        for row in b.to_pylist():
-            v = PartVisitor()
-            for i, m in enumerate(row["messages"]):
-                v.message(i, m["role"], m["content"])
-            rows.append({"conv_id": row["conv_id"], "formatted": "".join(v.out), "loss": v.loss,
-                         "attachments": v.attachments, "n_turns": len(row["messages"]), "n_tokens": v.tokens})
+        for m in messages:
+            if v is None or m["conv_id"] != conv:
+                v, conv, position = PartVisitor(), m["conv_id"], 0
+            v.message(position, m["role"], m["content"])
+            rows.append({"conv_id": conv, "position": position, **v.take()})
+            position += 1
         yield pa.RecordBatch.from_pylist(rows, schema=_formatted_schema())
 
 
 def _formatted_schema() -> pa.Schema:
-    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-    ref = pa.struct([("index", pa.int32()), ("type", pa.string()), ("uri", pa.string()),
-                     ("turn", pa.int32()), ("tokens", pa.int64())])
-    return pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(span)),
-                      ("attachments", pa.list_(ref)), ("n_turns", pa.int64()), ("n_tokens", pa.int64())])
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    ref = pa.struct([("index", pa.int64()), ("type", pa.string()), ("uri", pa.string()),
+                     ("turn", pa.int64()), ("tokens", pa.int64())])
+    return pa.schema([("conv_id", pa.int64()), ("position", pa.int64()), ("start", pa.int64()),
+                      ("formatted", pa.string()), ("loss", pa.list_(span)), ("attachments", pa.list_(ref)),
+                      ("n_tokens", pa.int64())])
 
 
 def format_conversations(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn",
                          role: str = "role", content: str = "text") -> DataFrame:
-    """One formatted row per conversation. ``content`` is a string column or a column of
-    typed parts (``PARTS``)."""
-    message = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
-    gathered = messages.groupBy(F.col(conv).alias("conv_id")).agg(
-        F.sort_array(F.collect_list(message)).alias("messages"))
-    return gathered.mapInArrow(_format, FORMATTED)
+    """One formatted row per turn: its ``position`` in the conversation, ``start`` in the
+    conversation's formatted string (the strings of all turns in order), and there also the
+    spans of ``loss``. A conversation's rows follow each other in one partition, in order.
+    ``content`` is a string column or a column of typed parts (``PARTS``)."""
+    message = messages.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"),
+                              F.col(role).alias("role"), F.col(content).alias("content"))
+    return (message.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "content")
+            .mapInArrow(_format, FORMATTED))
 
 
 # --- registered query -------------------------------------------------------------------
@@ -167,21 +190,49 @@ DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, lo
            "formatted_chars long, n_tokens long")
 
 
+class _Digest:
+    """What is read back from the formatted turns of one conversation and their loss mask."""
+
+    def __init__(self, conv: Optional[int]) -> None:
+        self.conv, self.turns, self.chars, self.learned, self.tokens = conv, 0, 0, 0, 0
+        self.flat, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, row: Mapping) -> None:
+        text = row["formatted"]
+        for role, parts in read_back(text):
+            self.flat.update(f"{role}\n{''.join(x for kind, x in parts if kind == 'text')}\n".encode())
+            self.turns += 1
+        for s in row["loss"]:
+            learned = unescape(text[s["start"] - row["start"]:s["end"] - row["start"]])
+            self.learned += len(learned)
+            self.loss.update(learned.encode())
+        self.chars += len(text)
+        self.tokens += row["n_tokens"]
+
+    def values(self) -> tuple:
+        return (self.conv, self.turns, self.flat.hexdigest(), self.learned, self.loss.hexdigest(), self.chars, self.tokens)
+
+
 def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of what is read back from the formatted strings and their loss masks."""
     names = [part.split()[0] for part in DIGESTS.split(", ")]
-    for b in batches:
-        columns: dict[str, list] = {n: [] for n in names}
-        for row in b.to_pylist():
-            text, turns = row["formatted"], read_back(row["formatted"])
-            flat = "".join(f"{role}\n{''.join(x for kind, x in parts if kind == 'text')}\n" for role, parts in turns)
-            learned = "".join(unescape(text[s["start"]:s["end"]]) for s in row["loss"])
-            values = (row["conv_id"], len(turns), hashlib.sha256(flat.encode()).hexdigest(), len(learned),
-                      hashlib.sha256(learned.encode()).hexdigest(), len(text), row["n_tokens"])
-            for n, v in zip(names, values):
-                columns[n].append(v)
-        kinds = [pa.string() if "sha256" in n else pa.int64() for n in names]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[n], k) for n, k in zip(names, kinds)], names)
+    kinds = [pa.string() if "sha256" in n else pa.int64() for n in names]
+
+    def made(done: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+
+    open_, done = None, []
+    for turns in _some(batches):
+        for row in turns:
+            if open_ is None or row["conv_id"] != open_.conv:
+                if open_ is not None:
+                    done.append(open_.values())
+                open_ = _Digest(row["conv_id"])
+            open_.add(row)
+        if len(done) >= AT_ONCE:
+            yield made(done)
+            done = []
+    if open_ is not None:
+        yield made([*done, open_.values()])
 
 
 def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,18 @@ def test_edges(spark, tmp_path):
     assert got[-7]["loss_chars"] == len(chat.EXTRA_TEXT)
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(empty).collect() == []
+
+
+def test_long_conversations_are_streamed_turn_by_turn(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"<{t}> \\ a") for c in (5, None) for t in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(df).collect()
+    assert len(got) == 600
+    for c in (5, None):
+        turns = sorted((r for r in got if r["conv_id"] == c), key=lambda r: r["position"])
+        v = chat.PartVisitor()
+        for t in range(300):
+            v.message(t, "assistant" if t % 2 else "user", f"<{t}> \\ a")
+        assert "".join(r["formatted"] for r in turns) == "".join(v.out)
+        assert [s.asDict() for r in turns for s in r["loss"]] == v.loss
+        assert sum(r["n_tokens"] for r in turns) == v.tokens
