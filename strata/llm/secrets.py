@@ -116,7 +116,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def scan_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", owner: str = "source",
                  repository: str = "repository", min_owners: int = MIN_OWNERS) -> DataFrame:
     """Per row: counts and digest of the base spans, ``found`` spans, and ``live`` and
-    ``examples``, the candidate values split by ownership."""
+    ``examples``, the candidate values split by ownership, each with its distinct owners and
+    repositories."""
     nonnull = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
                        F.col(text).alias("text"), nonnull(owner).alias("owner"),
@@ -124,8 +125,8 @@ def scan_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ow
     scanned = materialize(_with_owner(rows))
     candidates = scanned.select("row", "owner", "repository", F.explode("candidates").alias("c")).select(
         "row", "owner", "repository", "c.*")
-    verdicts = ownership(candidates).select("hash", (F.col("owners") >= min_owners).alias("copied"))
-    span = F.struct("start", "end")
+    verdicts = ownership(candidates).withColumn("copied", F.col("owners") >= min_owners)
+    span = F.struct("start", "end", "owners", "repositories")
     split = (candidates.join(verdicts, "hash").groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(~F.col("copied"), span))).alias("live"),
         F.sort_array(F.collect_list(F.when(F.col("copied"), span))).alias("examples")))
@@ -150,7 +151,7 @@ def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", "source", F.concat_ws("/", "source", "lang").alias("repository"))
     out = scan_secrets(docs)
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    none = F.array().cast("array<struct<start:int,end:int,owners:bigint,repositories:bigint>>")
     live, examples = F.coalesce("live", none), F.coalesce("examples", none)
     spans = F.sort_array(F.concat("found", F.transform(live, lambda s: F.struct(
         s["start"].alias("start"), F.lit(KINDS.index("live")).alias("rank"), s["end"].alias("end")))))
@@ -159,7 +160,9 @@ def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
         F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
-        F.size(live).cast("long").alias("n_live"), F.size(examples).cast("long").alias("n_examples"))
+        F.size(live).cast("long").alias("n_live"), F.size(examples).cast("long").alias("n_examples"),
+        F.array_join(F.transform(F.sort_array(F.concat(live, examples)), lambda s: F.concat_ws(
+            ":", *[s[c].cast("string") for c in ("start", "end", "owners", "repositories")])), ",").alias("ownership"))
 
 
 QUERIES = {"op5_secret_ownership": op5_secret_ownership}

@@ -55,3 +55,12 @@ def test_edges(spark, tmp_path):
     rows = secrets.op5_secret_ownership(spark, folder).collect()
     assert len(rows) == 14 and all(r["base_sha256"] == digest([]) and r["spans"] == "" for r in rows)
     assert secrets.scan_secrets(empty_docs(spark), repository="lang").collect() == []
+
+
+def test_owners_and_repositories_are_given_per_value(spark, tmp_path):
+    value = "9f8e7d6c5b4a39281706f5e4d3c2"
+    rows = [(i, f"token = {value}", f"l{i % 6}", f"owner{i % 2}", 1) for i in range(12)]
+    folder = write_tables(spark, tmp_path, documents=spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    for r in secrets.op5_secret_ownership(spark, folder).collect():
+        assert (r["n_live"], r["n_examples"], r["ownership"]) == (1, 0, "8:36:2:6")
