@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from strata.llm import (
-    cascade, chat, curriculum, decontaminate, hilbert, minhash, ppm, secrets, spans, toxicity,
+    audit, cascade, chat, curriculum, decontaminate, hilbert, minhash, ppm, secrets, spans, toxicity,
 )
 
-MODULES = [hilbert, spans, cascade, chat, secrets, decontaminate, minhash, toxicity, ppm, curriculum]
+MODULES = [hilbert, spans, cascade, chat, secrets, decontaminate, minhash, toxicity, ppm, curriculum, audit]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
