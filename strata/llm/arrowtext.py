@@ -6,6 +6,7 @@ a piece of its own), so the arrays made from a piece stay small and in cache.
 
 from __future__ import annotations
 
+import hashlib
 from typing import Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 19
+LONG_WORD = 64                # bytes
 HASH_SEED = 20_240_229
 HASH_BASE = 0x9E3779B97F4A7C15
 
@@ -76,24 +78,38 @@ def lower(raw: np.ndarray) -> np.ndarray:
     return raw + (((raw >= 65) & (raw <= 90)).view(np.uint8) << 5)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, values: np.ndarray, powers: Powers
-                ) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (runs of non-space bytes) of the texts, in order, and
-    the index of the first word of every text (n + 1 of them). Words end with their text."""
+def words_of(raw: np.ndarray, offsets: np.ndarray, values: np.ndarray, powers: Powers
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs of non-space bytes) of the texts, in order, where
+    they start and end, and the index of the first word of every text (n + 1 of them).
+    Words end with their text. A word beyond ``LONG_WORD`` bytes is hashed by BLAKE2b:
+    polynomials modulo 2^64 have collisions that hold for every base, but only between
+    words of several hundred letters."""
     n = len(raw)
+    none = np.zeros(0, np.int64)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none.view(np.uint64), none, none, np.zeros(len(offsets), np.int64)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
-    begins = ~space
+    begins, finishes = ~space, ~space
     begins[1:] &= space[:-1] | edge[1:n]
-    starts = np.flatnonzero(begins)
+    finishes[:-1] &= space[1:] | edge[1:n]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return none.view(np.uint64), none, none, np.zeros(len(offsets), np.int64)
     powers.need(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(np.where(space, np.uint64(0), values[raw]) * powers.up[:n], out=total[1:])
-    ends = np.append(starts[1:], n)          # spaces in between count as zero
+    np.cumsum(values[raw] * powers.up[:n], out=total[1:])
     hashed = mix((total[ends] - total[starts]) * powers.down[starts])
-    return hashed, np.searchsorted(starts, offsets)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        word = raw[starts[i]:ends[i]].tobytes()
+        hashed[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest())
+    return hashed, starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, values: np.ndarray, powers: Powers
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the index of the first word of every text (``words_of``)."""
+    hashed, _, _, first = words_of(raw, offsets, values, powers)
+    return hashed, first

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from strata.llm import (
-    audit, cascade, chat, curriculum, decontaminate, hilbert, minhash, ppm, secrets, spans, toxicity, whitening,
+    audit, cascade, chat, curriculum, decontaminate, hilbert, minhash, passages, ppm, secrets, spans, toxicity,
+    whitening,
 )
 
-MODULES = [hilbert, spans, cascade, chat, secrets, decontaminate, minhash, toxicity, ppm, curriculum, audit, whitening]
+MODULES = [hilbert, spans, cascade, chat, secrets, decontaminate, minhash, toxicity, ppm, curriculum, passages, audit,
+           whitening]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
