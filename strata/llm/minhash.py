@@ -13,12 +13,15 @@ probability (1 - 0.8^6)^50, about 3 in 10 million.
 Hot groups never become all pairs. Texts with equal sets are one vertex from the start;
 vertices are sets, not keys, so a key with several texts has all of them compared, and
 its sets are linked with each other.
-In a bucket every member is compared with the bucket's leader, its smallest vertex, so a
-bucket of n gives n - 1 pairs. Only members that this leaves outside the bucket's
-first component go on. In every bucket they meet one member of that component, another in
-each bucket and round, until the comparisons left are few against the memberships or such
-meetings link hardly any more; then all comparisons left are made. So no link is lost
-that any shared band can show.
+In a bucket every member is compared with the bucket's hub, the member that meets most
+others in its buckets, so a bucket of n gives n - 1 pairs, and most members of a group
+join its component. Members that are still outside their hub's component meet the
+others of such buckets by an exact filter instead of by bucket: with shingles ordered from rare to
+common, two sets at the similarity share a shingle among the first few of both (the
+prefixes), at places that leave enough shingles for the overlap, and their sizes are
+near. What tells outsiders from their hub is rare in its group and stands in front, so an
+outsider meets the few sets that share its rare shingles. No link is lost that
+any shared band can show.
 
 Defined results: a null or wordless text has an empty set and is linked with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a row without a key is
@@ -33,7 +36,7 @@ from typing import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.arrowtext import Powers, as_bytes, byte_values, lower, mix, pieces, word_hashes
@@ -44,8 +47,7 @@ from strata.session import materialize
 SHINGLE_WORDS = 5
 SIMILARITY = 80               # per cent
 BANDS, ROWS = 50, 6
-FEW = 1                       # comparisons left per membership that are made at once
-STALL = 0.8                   # or when a round leaves more than this share of them
+CLASS_STEP = 1.03             # sizes in one class of the exact filter differ by this factor
 
 
 def permute(x: np.ndarray, key: int) -> np.ndarray:
@@ -140,15 +142,51 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, class binary, set array<long>")
 
 
+def _near(n: str, m: str, similarity: int) -> Column:
+    """Sizes that a pair at the similarity can have."""
+    return 100 * F.least(n, m) >= similarity * F.greatest(n, m)
+
+
 def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Those pairs (``u``, ``v``) whose full sets reach the similarity."""
-    near = 100 * F.least("n", "m") >= similarity * F.greatest("n", "m")
-    size = lambda name, n: sets.select(F.col("id").alias(name), F.col("n").alias(n))         # noqa: E731
     whole = lambda name, s: sets.select(F.col("id").alias(name), F.col("set").alias(s))      # noqa: E731
-    pairs = pairs.join(size("u", "n"), "u").join(size("v", "m"), "v").filter(near)
     both = pairs.join(whole("u", "a"), "u").join(whole("v", "b"), "v")
     shared = F.size(F.array_intersect("a", "b"))
-    return both.filter(100 * shared >= similarity * (F.col("n") + F.col("m") - shared)).select("u", "v")
+    return both.filter(100 * shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v")
+
+
+def _outside_pairs(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (``u``, ``v``) of ``members`` (id, n, root, out) that may reach the similarity, have
+    different roots, and of which one is ``out`` at least: a superset of those that do.
+
+    Shingles that only one member has come first in its order and match nothing, so only
+    their number counts. A pair of sizes m <= n needs an overlap of at least
+    similarity / (100 + similarity) * (m + n); the first common shingle, at places p and q,
+    leaves at most min(m - p, n - q) of them.
+    """
+    of = ["id", "n", "root", "out"]
+    shingles = members.join(sets.select("id", "set"), "id").select(*of, F.explode("set").alias("t"))
+    common = shingles.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    ordered = (shingles.join(common, "t").groupBy(*of)
+               .agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s")))
+    least = lambda n: F.expr(f"({similarity} * {n} + 99) div 100")                           # noqa: E731
+    front = ordered.withColumn("far", F.size("s") - least("n") + 1).filter("far > 0")
+    rows = materialize(front.select(*of, (F.col("n") - F.size("s")).alias("alone"), F.posexplode(F.slice("s", 1, F.col("far").cast("int"))))
+                       .select(*of, (F.col("alone") + F.col("pos")).alias("p"), F.col("col.t").alias("t")))
+    size_class = lambda n: F.floor(F.log(n) / F.log(F.lit(CLASS_STEP))).cast("int")          # noqa: E731
+    # The smaller of a pair, or of one size the smaller vertex, stands in the index.
+    half = F.expr(f"(2 * {similarity} * n + {99 + similarity}) div {100 + similarity}")
+    index = rows.filter(F.col("p") <= F.col("n") - half).select(
+        *[F.col(c).alias(f"i_{c}") for c in (*of, "p")], "t", size_class(F.col("n")).alias("c"))
+    most = F.expr(f"({100 + similarity} * (n - p)) div {similarity} - n")
+    probe = (rows.withColumn("most", F.least("n", most)).filter(F.col("most") >= least("n"))
+             .withColumn("c", F.explode(F.sequence(size_class(least("n")), size_class(F.col("most"))))))
+    left = F.least(F.col("i_n") - F.col("i_p"), F.col("n") - F.col("p"))
+    met = ((F.col("i_root") != F.col("root")) & (F.struct("i_n", "i_id") < F.struct("n", "id"))
+           & ((100 + similarity) * left >= similarity * (F.col("i_n") + F.col("n"))))
+    pairs = [i.join(q, ["t", "c"]).filter(met).select(F.least("i_id", "id").alias("u"), F.greatest("i_id", "id").alias("v"))
+             for i, q in ((index.filter("i_out"), probe), (index.filter("not i_out"), probe.filter("out")))]
+    return pairs[0].unionByName(pairs[1]).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
@@ -168,41 +206,29 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                           .join(classes.select("class", "id"), "class").select("key", "id"))
     own = several.join(several.groupBy("key").agg(F.min("id").alias("u")), "key").select("u", F.col("id").alias("v"))
 
-    members = classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("v"))
-    leaders = members.groupBy("bucket").agg(F.min("v").alias("u"), F.count(F.lit(1)).alias("size"))
-    members = materialize(members.join(leaders.filter("size > 1"), "bucket"))
+    members = classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("v"), "n")
+    full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialize(members.join(full, "bucket"))
+    degrees = members.groupBy("v").agg(F.sum("size").alias("degree"))
+    hubs = members.join(degrees, "v").groupBy("bucket").agg(F.max(F.struct("degree", "v", "n")).alias("hub"))
+    members = materialize(members.join(hubs, "bucket").select("bucket", "v", "n", F.col("hub.v").alias("hub"), F.col("hub.n").alias("m")))
     vertices = classes.join(members.select(F.col("v").alias("id")).distinct(), "id").select("id", "key", "class")
     texts = docs.join(vertices.select("key").distinct(), "key").select("key", "text")
-    sets = materialize(full_sets(texts, k).join(vertices, ["key", "class"])
-                       .dropDuplicates(["id"]).select("id", "set", F.size("set").alias("n")))
-
-    links = own.filter("u < v")
-    pairs = members.filter("u < v").select("u", "v").distinct()
-    bucketed, left, salt = members.select("bucket", "v"), None, 0
-    while True:
-        links = materialize(links.unionByName(_links(pairs, sets, similarity)))
-        roots = components(links)
-        if left == 0:
-            break
-        placed = (bucketed.join(roots, "v", "left")
-                  .select("bucket", "v", F.coalesce("root", "v").alias("root")))
-        # Buckets whose members are not all in one component yet.
-        mixed = (placed.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"),
-                                              F.count(F.lit(1)).alias("size")).filter("first < last"))
-        open_ = materialize(placed.join(mixed, "bucket"))
-        outside = open_.filter("root != first")
-        work = outside.agg(F.sum("size").alias("n")).first()["n"] or 0
-        if work == 0:
-            break
-        if work <= FEW * open_.count() or (left is not None and work > STALL * left):
-            other = open_.select("bucket", F.col("v").alias("w"), F.col("root").alias("w_root"))
-            met, left = outside.join(other, "bucket").filter("root != w_root"), 0
-        else:
-            salt += 1
-            partner = (open_.filter("root = first").groupBy("bucket")
-                       .agg(F.min_by("v", F.xxhash64("v", "bucket", F.lit(salt))).alias("w")))
-            met, left = outside.join(partner, "bucket"), work
-        pairs = met.select(F.least("v", "w").alias("u"), F.greatest("v", "w").alias("v")).distinct()
+    sets = materialize(full_sets(texts, k).join(vertices, ["key", "class"]).dropDuplicates(["id"]).select("id", "set"))
+
+    pairs = (members.filter((F.col("v") != F.col("hub")) & _near("n", "m", similarity))
+             .select(F.least("v", "hub").alias("u"), F.greatest("v", "hub").alias("v")).distinct())
+    links = materialize(own.filter("u < v").unionByName(_links(pairs, sets, similarity)))
+    roots = components(links)
+    placed = members.join(roots, "v", "left").select("bucket", "v", "n", "hub", F.coalesce("root", "v").alias("root"))
+    # Buckets with members beyond their hub's component; in a bucket of two all is decided.
+    open_ = (placed.groupBy("bucket").agg(F.max(F.when(F.col("v") == F.col("hub"), F.col("root"))).alias("hub_root"),
+                                          F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+             .filter("low < high and size > 2").select("bucket", "hub_root"))
+    unsettled = materialize(placed.join(open_, "bucket").groupBy(F.col("v").alias("id"), "n", "root")
+                            .agg(F.max(F.col("root") != F.col("hub_root")).alias("out")))
+    links = links.unionByName(_links(_outside_pairs(unsettled, sets, similarity), sets, similarity))
+    roots = components(links)
     # A component is named by the smallest key of its classes.
     grouped = classes.select("id", "class", "key").join(roots.withColumnRenamed("v", "id"), "id", "left").select(
         "class", "key", F.coalesce("root", "id").alias("component"))

@@ -100,3 +100,21 @@ def test_every_text_of_a_repeated_key_is_compared(spark):
     for rows in (df, df.orderBy(F.desc("text"))):
         got = minhash.near_duplicates(rows).collect()
         assert {(r["key"], r["root"]) for r in got} == {(10, 10), (20, 10), (30, 10), (40, 10), (50, 50)} and len(got) == 7
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_a_hot_group_around_the_similarity(spark, k):
+    """300 copies of one text with as many words changed, lost or added as leave some pairs
+    just above the similarity and others just below."""
+    draw = np.random.default_rng(11)
+    base = [f"w{i}" for i in draw.integers(0, 400, 150)]
+    rows = []
+    for key in range(300):
+        text = list(base)
+        for at in draw.choice(150, draw.integers(3, 14) if k == 2 else draw.integers(1, 6), replace=False):
+            text[at] = ["", f"x{draw.integers(0, 50)}", f"{text[at]} y{draw.integers(0, 50)}"][draw.integers(0, 3)]
+        rows.append((key * 13 % 307, " ".join(text)))
+    want = brute(rows, k)
+    assert 1 < len(set(want.values())) < 250
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["key"]: r["root"] for r in minhash.near_duplicates(df, k=k).collect()} == want
