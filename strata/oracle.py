@@ -319,6 +319,12 @@ def oracle_sql() -> dict[str, str]:
                          "FROM unified GROUP BY genre", "unified"),
         "avg_fine": (f"SELECT l_orderkey, {eavg('(l_partkey / 1e7)', 6)} AS avg_fine, {eavg('l_discount', 2)} AS avg_discount, "
                      f"{eavg('l_tax', 2)} AS avg_tax, {eavg('l_linenumber', 0)} AS avg_line FROM lineitem GROUP BY l_orderkey"),
+        "avg_boundary": (
+            "WITH s AS (SELECT l_returnflag, l_linestatus, count(*) AS n, 1 + (200 - count(*) % 200) % 200 AS pad FROM lineitem GROUP BY ALL), "
+            "v AS (SELECT l_returnflag, l_linestatus, 0::BIGINT AS v FROM lineitem UNION ALL "
+            "SELECT l_returnflag, l_linestatus, CASE WHEN i = 1 THEN (n + pad) // 200 ELSE 0 END FROM s, range(1, 201) t(i) WHERE i <= pad) "
+            f"SELECT l_returnflag, l_linestatus, count(v) AS n, {eavg('v', 2)} AS avg_low, {eavg('(-v)', 2)} AS avg_negative, "
+            f"{eavg('v', 2)} AS avg_decimal FROM v GROUP BY l_returnflag, l_linestatus"),
         "genre_stats": sql("SELECT * FROM genre_stats", "genre_stats"),
         "artist_stats": sql("SELECT artist_name, decade, total_tracks, avg_popularity, main_genre FROM art", "art"),
         # gold

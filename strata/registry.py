@@ -339,6 +339,22 @@ def q_avg_fine(spark, sf):
         exact_avg("l_linenumber", 0, integral=True).alias("avg_line"))
 
 
+def q_avg_boundary(spark, sf):
+    """Averages of whole numbers in large groups, just below a half of the last digit: every
+    flag and status gets up to 200 more rows, so that it has 200 k + 1, of which one holds k
+    and the others 0."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus")
+    by = ["l_returnflag", "l_linestatus"]
+    sizes = li.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    more = sizes.withColumn("pad", 1 + F.pmod(-F.col("n"), F.lit(200)))
+    k = F.expr("(n + pad) div 200")
+    rows = li.withColumn("v", F.lit(0).cast("long")).unionByName(more.select(
+        *by, F.explode(F.transform(F.sequence(F.lit(1).cast("long"), "pad"), lambda i: F.when(i == 1, k).otherwise(0))).alias("v")))
+    return rows.groupBy(*by).agg(F.count("v").alias("n"), exact_avg("v", 2, integral=True).alias("avg_low"),
+                                 exact_avg(-F.col("v"), 2, integral=True).alias("avg_negative"),
+                                 exact_avg("v", 2).alias("avg_decimal"))
+
+
 def q_genre_stats(spark, sf):
     return silver.genre_stats(silver_rows(spark, sf))
 

@@ -108,3 +108,42 @@ def test_collated_equality_and_in_list(spark):
     assert df.filter(in_list("g", ["pop", "rock"], ci)).count() == 4
     assert df.filter(in_list("g", ["pop", "rock"])).count() == 1
     assert df.filter(in_list("g", [], ci)).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 2_001, 20_001, 200_001])
+@pytest.mark.parametrize("sign", [1, -1])
+def test_averages_are_rounded_once(spark, rows, sign):
+    """Means just below a half of the last digit: rounding to six digits first would lift them."""
+    from fractions import Fraction
+    from strata.functions.exact import exact_avg
+    ones = rows // 200
+    df = spark.range(rows).select((sign * (F.col("id") < ones).cast("int")).alias("n"))
+    df = df.withColumn("x", F.col("n") / F.lit(8.0) + sign * 1e-12)
+    got = df.agg(exact_avg("n", 2, integral=True).alias("a"), exact_avg("n", 2).alias("b"), exact_avg("n", 0, integral=True).alias("c"),
+                 exact_avg("x", 4).alias("d"), exact_avg(F.col("n") * 10 ** 9, 6, integral=True).alias("e")).first()
+
+    def half_up(total, digits):
+        q = 10 ** digits * abs(Fraction(total)) / rows
+        return sign * int(q + Fraction(1, 2)) / 10 ** digits
+
+    assert got["a"] == got["b"] == half_up(ones, 2) and got["c"] == half_up(ones, 0)
+    assert got["d"] == half_up(Fraction(ones, 8) + Fraction(rows, 10 ** 12), 4)
+    assert got["e"] == half_up(ones * 10 ** 9, 6)
+
+
+def test_averages_of_odd_values_and_wide_sums(spark):
+    from strata.functions.exact import exact_avg
+    df = spark.sql("select * from values (1, double('nan'), 1L, null), (1, 2.0d, 2L, null), (2, double('inf'), 9000000000000000000L, null), "
+                   "(3, 1e20d, -5L, null), (3, 123456789.123456789012d, -4L, null) as t(g, x, n, e)")
+    got = {r["g"]: r for r in df.groupBy("g").agg(exact_avg("x", 4).alias("x"), exact_avg("n", 0, integral=True).alias("n"),
+                                                  exact_avg(F.col("e").cast("double"), 2).alias("e")).collect()}
+    assert got[1]["x"] != got[1]["x"] and got[2]["x"] == float("inf") and got[3]["x"] == pytest.approx(50000000000061728394.5617, rel=1e-15)
+    assert [got[g]["n"] for g in (1, 2, 3)] == [2.0, 9e18, -5.0] and got[1]["e"] is None
+
+
+def test_merged_sums_give_the_same_mean(spark):
+    from strata.functions.exact import exact_avg, exact_sum, rounded_mean
+    df = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.37 - 100).alias("x"))
+    parts = df.groupBy("g").agg(exact_sum("x").alias("s"), F.count("x").alias("n"))
+    merged = parts.agg(rounded_mean(F.sum("s").cast("decimal(38,12)"), F.sum("n"), 4).alias("m")).first()["m"]
+    assert merged == df.agg(exact_avg("x", 4).alias("m")).first()["m"]
