@@ -401,6 +401,12 @@ def oracle_sql() -> dict[str, str]:
                        f"ORDER BY {_TRACK_ORDER} LIMIT 100", "dm_tracks"),
         "page": sql(_page("dm_tracks", "", _TRACK_ORDER, 3, 50), "dm_tracks"),
         "page_meta": sql(_meta("dm_tracks", "genre = 'MEDIUM'", 1, 30), "dm_tracks"),
+        "page_indexed": sql(_page("dm_tracks", "", _TRACK_ORDER, 60, 50), "dm_tracks"),
+        "page_genre_indexed": sql(_page("dm_tracks", "genre = 'MEDIUM'", _TRACK_ORDER, 9, 40), "dm_tracks"),
+        "page_meta_indexed": sql(_meta("dm_tracks", "genre = 'MEDIUM'", 1, 30), "dm_tracks"),
+        "tracks_rank_indexed": sql("SELECT * FROM dm_tracks WHERE genre = 'SMALL' AND rank_in_genre <= 40 AND popularity >= 50",
+                                   "dm_tracks"),
+        "tracks_artist_indexed": sql("SELECT * FROM dm_tracks WHERE artist_name = 'Supplier#000000002'", "dm_tracks"),
         # generic shapes on other driver tables
         "rank_part_price": ("SELECT p_partkey, p_type, p_retailprice, rank() OVER (PARTITION BY p_type "
                             "ORDER BY p_retailprice DESC NULLS LAST) AS price_rank FROM part"),

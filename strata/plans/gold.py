@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 from typing import Union
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from strata.operators.ranking import rank_by_histogram, top_n
 from strata.plans.silver import WHOLE_NUMBERS, artist_decade
 from strata.schemas import GOLD_SCHEMAS, KEY
 from strata.session import materialize
+from strata.sinks.clustered import ClusteredTable, write_clustered
 
 AsOf = Union[str, _dt.date, None]
 
@@ -99,6 +101,48 @@ BUILD_ORDER = {
 }
 
 
+@dataclass(frozen=True)
+class Clustering:
+    """A clustered copy of a mart: its order, its unique key, and the declared indexes it serves."""
+    order: tuple[tuple[str, bool], ...]
+    key: tuple[str, ...]
+    indexes: tuple[str, ...] = ()
+    facets: tuple[str, ...] = ()
+
+
+# The declared indexes of the marts (primary keys aside), as clustered copies: the first of
+# each mart stands in the order of its list, so its pages are found by offset.
+CLUSTERINGS: dict[str, dict[str, Clustering]] = {
+    "dm_track_popularity": {
+        "idx_popularity": Clustering((("popularity", True),), ("track_id",), ("popularity", "rank_in_genre")),
+        "idx_genre": Clustering((("genre", False), ("popularity", True)), ("track_id",), ("genre", "popularity", "rank_in_genre"),
+                                ("genre",)),
+        "idx_artist": Clustering((("artist_name", False), ("popularity", True)), ("track_id",), ("artist_name", "popularity")),
+        "idx_rank": Clustering((("rank_in_genre", False),), ("track_id",), ("rank_in_genre", "popularity")),
+    },
+    "dm_genre_trends": {
+        "idx_decade": Clustering((("decade", False), ("avg_popularity", True)), ("genre",), ("decade",), ("decade", "genre")),
+    },
+    "dm_top_artists": {
+        "idx_decade": Clustering((("decade", False), ("rank_in_decade", False)), ("artist_name",), ("decade", "rank_in_decade"),
+                                 ("decade",)),
+        "idx_rank": Clustering((("rank_in_decade", False),), ("artist_name", "decade"), ("rank_in_decade",), ("decade",)),
+    },
+    "dm_hits_emergents": {
+        "idx_year": Clustering((("year", True), ("rank_in_year", False)), ("genre", "track_id"), ("year",), ("year", "genre")),
+        "idx_genre": Clustering((("genre", False), ("year", True), ("rank_in_year", False)), ("track_id",), ("genre", "year"),
+                                ("genre",)),
+    },
+}
+
+
+def write_clusterings(mart: DataFrame, name: str, root: str, **options) -> dict[str, ClusteredTable]:
+    """Every clustered copy of a written mart, under ``root/name/index``."""
+    return {index: write_clustered(mart, f"{root.rstrip('/')}/{name}/{index}", c.order, c.key, indexes=c.indexes,
+                                   facets=c.facets, written=True, **options)
+            for index, c in CLUSTERINGS[name].items()}
+
+
 def in_build_order(df: DataFrame, name: str) -> DataFrame:
     """Sort a table as its builder presents it (nulls first ascending, last
     descending), for display or export; not needed before a sink."""

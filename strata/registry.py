@@ -23,6 +23,7 @@ from strata.operators.split import normalize_wide, split_counts, split_wide
 from strata.plans import checks, gold, marts, silver
 from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
 from strata.session import materialize, scratch_database, scratch_path
+from strata.sinks.clustered import write_clustered
 from strata.sinks.writers import write_csv, write_raw_parquet, write_table
 from strata.sources.files import read_csv_typed, read_csv_wide, read_raw_parquet, read_table
 from strata.sources.fixtures import damaged_keys, damaged_source, table, wide_source
@@ -507,6 +508,38 @@ def q_page_meta(spark, sf):
     return marts.tracks_meta(mart_tracks_unranked(spark, sf), genre="MEDIUM", page_size=30)
 
 
+CLUSTER_ROWS = 2_000          # rows a file, so that the test tables fill many
+
+
+def _clustered(spark, sf, index):
+    c = gold.CLUSTERINGS["dm_track_popularity"][index]
+    return write_clustered(mart_tracks(spark, sf), scratch_path(spark, "clustered"), c.order, c.key, indexes=c.indexes,
+                           facets=c.facets, rows_per_file=CLUSTER_ROWS)
+
+
+def q_page_indexed(spark, sf):
+    """A deep page of the track list, read from the files that hold its offset."""
+    return _clustered(spark, sf, "idx_popularity").page(60, 50)
+
+
+def q_page_genre_indexed(spark, sf):
+    """A deep page of one genre, whatever its spelling's case."""
+    return _clustered(spark, sf, "idx_genre").page(9, 40, genre="medium", collation="UNICODE_CI_AI")
+
+
+def q_page_meta_indexed(spark, sf):
+    return _clustered(spark, sf, "idx_genre").page_meta(1, 30, genre="MEDIUM")
+
+
+def q_tracks_rank_indexed(spark, sf):
+    """Best-ranked tracks of a genre: only files whose ranks reach low enough are opened."""
+    return _clustered(spark, sf, "idx_genre").scan(equals={"genre": "SMALL"}, at_most={"rank_in_genre": 40}, at_least={"popularity": 50})
+
+
+def q_tracks_artist_indexed(spark, sf):
+    return _clustered(spark, sf, "idx_artist").scan(equals={"artist_name": "Supplier#000000002"})
+
+
 # ---------------------------------------------------------------- generic shapes
 def q_rank_part_price(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
