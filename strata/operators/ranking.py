@@ -8,6 +8,9 @@ window semantics while bounding the work per task:
   rank the (group, value) histogram and join it back.
 * ``lag_within`` with ``blocks``: split each group into ordered blocks, lag inside
   blocks, and carry each block's last value into the next block.
+* ``rank_by_range`` and ``lag_by_range``: only groups above a size are range-sorted by
+  (group, order) and cut where the range sort cuts them, whatever their values; ranks and
+  last values are carried from slice to slice.
 * ``top_n``: ``rank() <= n`` is planned as a partial ``WindowGroupLimit`` before
   the shuffle, so only candidates are exchanged.
 """
@@ -124,6 +127,93 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
              .drop("_v", "_carry", *bnames))
 
 
+SLICE_ROWS = 1_000_000
+
+
+def range_slices(df: DataFrame, by: Sequence[str], sorts: Sequence[Column], max_group_rows: int = SLICE_ROWS) -> DataFrame:
+    """``df`` with ``_slice``: 0 in groups of at most ``max_group_rows`` rows; larger ones are
+    range-sorted by the group and ``sorts`` together and cut into slices of about that many
+    rows, numbered in order. Rows equal in all of ``sorts`` share a slice.
+
+    The ranges are those of the data, so no key prefix or time unit has to be guessed. Only
+    the rows of large groups take part in the range sort, and they are written, because cuts
+    depend on a sample and must be drawn once. Pass a written ``df``.
+    """
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows)
+    big = materialize(sizes.select(*[F.col(c).alias(f"_big_{c}") for c in by], "_n"))
+    total = big.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumn("_slice", F.lit(0))
+    cond = [df[c].eqNullSafe(big[f"_big_{c}"]) for c in by]
+    large = df.join(big, cond, "left_semi")
+    keys = [F.col(c).asc_nulls_first() for c in by]
+    slices = 1 + total // max_group_rows
+    cut = materialize(large.repartitionByRange(slices, *keys, *sorts).withColumn("_slice", F.spark_partition_id() + 1))
+    return df.join(big, cond, "left_anti").withColumn("_slice", F.lit(0)).unionByName(cut)
+
+
+def rank_by_range(df: DataFrame, by: Sequence[str], order: str, *, descending: bool = True, name: str = "rank",
+                  max_group_rows: int = SLICE_ROWS) -> DataFrame:
+    """Exact ``rank()`` over ``partitionBy(by).orderBy(order)`` for any order column, however
+    many values it has and however many rows share one.
+
+    Ties may be cut: the row's number within its input breaks them, so a value that fills a
+    third of a group spreads over slices too. A row's rank is its rank in the slice plus
+    the group's rows in earlier slices; for the value at a slice's head, the rows of that
+    value in earlier slices are taken off again.
+    """
+    sort = _sort(order, descending)
+    mixed = df.withColumn("_tie", F.monotonically_increasing_id())
+    sliced = range_slices(mixed, by, [sort, F.col("_tie")], max_group_rows).drop("_tie")
+    ranked = sliced.withColumn("_r", F.rank().over(Window.partitionBy(*by, "_slice").orderBy(sort)))
+    parts = materialize(
+        ranked.filter("_slice > 0").groupBy(*by, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_r").alias("_last"), F.min_by(order, "_r").alias("_head"),
+             F.max_by(order, "_r").alias("_tail")))
+    tails = parts.select(*by, "_slice", F.col("_tail").alias("_value"), (F.col("_n") - F.col("_last") + 1).alias("_c"), F.lit(1).alias("_k"))
+    heads = parts.select(*by, "_slice", F.col("_head").alias("_value"), F.lit(0).cast("long").alias("_c"), F.lit(0).alias("_k"))
+    of_value = (Window.partitionBy(*by, "_value").orderBy("_slice", "_k")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    equal = (heads.unionByName(tails).withColumn("_equal", F.sum("_c").over(of_value)).filter("_k = 0")
+             .select(*by, "_slice", "_equal"))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .select(*[F.col(c).alias(f"_p_{c}") for c in by], F.col("_slice").alias("_p"), "_head", "_before"))
+    equal = equal.select(*[F.col(c).alias(f"_e_{c}") for c in by], F.col("_slice").alias("_e"), "_equal")
+    carried = carried.join(equal, (F.col("_p") == F.col("_e")) & _same(by, "_p_", "_e_"))
+    carried = materialize(carried.select(*[f"_p_{c}" for c in by], "_p", "_head", "_before", "_equal"))
+    joined = ranked.join(carried, (F.col("_slice") == F.col("_p")) & _same(by, "", "_p_"), "left")
+    again = F.when(F.col(order).eqNullSafe(F.col("_head")), F.col("_equal")).otherwise(0)
+    return joined.withColumn(name, F.col("_r") + F.coalesce(F.col("_before") - again, F.lit(0))).select(*df.columns, name)
+
+
+def _same(by: Sequence[str], left: str, right: str) -> Column:
+    out = F.lit(True)
+    for c in by:
+        out = out & F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}"))
+    return out
+
+
+def lag_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, *,
+                 max_group_rows: int = SLICE_ROWS) -> DataFrame:
+    """``lag(value, 1)`` over ``partitionBy(by).orderBy(order)`` (ascending, nulls first; a
+    total order within a group), for groups of any size and any distribution of ``order``.
+
+    Slices of a large group are sorted on their own; the last value of each is carried into
+    the next through a table of one row a slice.
+    """
+    sorts = [F.col(c).asc_nulls_first() for c in order]
+    sliced = range_slices(df, by, sorts, max_group_rows)
+    last = materialize(sliced.filter("_slice > 0").groupBy(*by, "_slice").agg(F.max_by(F.col(value), F.struct(*order)).alias("_last")))
+    previous = Window.partitionBy(*by).orderBy("_slice")
+    carried = last.select(*[F.col(c).alias(f"_p_{c}") for c in by], F.col("_slice").alias("_p"), F.lag("_last").over(previous).alias("_carried"))
+    w = Window.partitionBy(*by, "_slice").orderBy(*sorts)
+    inside = sliced.withColumns({name: F.lag(value).over(w), "_first": F.row_number().over(w) == 1})
+    joined = inside.join(materialize(carried), (F.col("_slice") == F.col("_p")) & _same(by, "", "_p_"), "left")
+    return (joined.withColumn(name, F.when(F.col("_first") & (F.col("_slice") > 0), F.col("_carried")).otherwise(F.col(name)))
+            .select(*df.columns, name))
+
+
 def top_n(df: DataFrame, by: Sequence[str], order: str, n: int, *, descending: bool = True,
           name: str = "rank", method: str = "window") -> DataFrame:
     """Rows with ``rank() <= n`` per group (ties kept, so a group may return more).

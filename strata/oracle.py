@@ -412,6 +412,10 @@ def oracle_sql() -> dict[str, str]:
                             "ORDER BY p_retailprice DESC NULLS LAST) AS price_rank FROM part"),
         "lag_events": ("SELECT event_id, user_id, ts, value, lag(value) OVER (PARTITION BY user_id "
                        "ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST) AS prev_value FROM events"),
+        "rank_order_price": ("SELECT o_orderkey, o_orderstatus, o_totalprice, rank() OVER (PARTITION BY o_orderstatus "
+                             "ORDER BY o_totalprice DESC NULLS LAST) AS price_rank FROM orders"),
+        "rank_quantity": ("SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, rank() OVER (PARTITION BY l_returnflag "
+                          "ORDER BY l_quantity ASC NULLS FIRST) AS quantity_rank FROM lineitem"),
         "distinct_priority": "SELECT DISTINCT o_orderpriority FROM orders",
         "orders_stats": (f"SELECT o_orderstatus, o_orderpriority, {eavg('o_totalprice', 2)} AS avg_o_totalprice, "
                          "count(o_orderkey) AS n_orders, "

@@ -18,7 +18,7 @@ from strata.operators.ingest import add_ingestion_partition
 from strata.operators.load import catalogue_columns, load_catalogue, parse_typed, typed_columns
 from strata.operators.paging import page, page_meta
 from strata.operators.quality import first_failure, key_present
-from strata.operators.ranking import lag_within, rank_by_histogram
+from strata.operators.ranking import lag_by_range, rank_by_histogram, rank_by_range
 from strata.operators.split import normalize_wide, split_counts, split_wide
 from strata.plans import checks, gold, marts, silver
 from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
@@ -547,10 +547,24 @@ def q_rank_part_price(spark, sf):
     return rank_by_histogram(part, ["p_type"], "p_retailprice", name="price_rank")
 
 
+SLICE_TEST_ROWS = 64          # small bound, so that groups of the test tables are cut
+
+
 def q_lag_events(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    return lag_within(ev, ["user_id"], ["ts", "event_id"], "value", "prev_value",
-                      blocks=[F.date_trunc("hour", "ts")])
+    return lag_by_range(ev, ["user_id"], ["ts", "event_id"], "value", "prev_value", max_group_rows=SLICE_TEST_ROWS)
+
+
+def q_rank_order_price(spark, sf):
+    """Ranks on a many-valued key: three statuses hold all orders."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return rank_by_range(orders, ["o_orderstatus"], "o_totalprice", name="price_rank", max_group_rows=SLICE_TEST_ROWS * 8)
+
+
+def q_rank_quantity(spark, sf):
+    """Ranks with few values and massive ties, cut all the same."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    return rank_by_range(li, ["l_returnflag"], "l_quantity", descending=False, name="quantity_rank", max_group_rows=SLICE_TEST_ROWS * 16)
 
 
 def q_orders_stats(spark, sf):

@@ -1,8 +1,13 @@
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.ranking import lag_within, rank_by_histogram, rank_within, top_n
+from strata.operators.ranking import (
+    lag_by_range, lag_within, range_slices, rank_by_histogram, rank_by_range, rank_within, top_n,
+)
+from strata.session import materialize
 from tests.conftest import rows
 
 
@@ -87,3 +92,37 @@ def test_rank_goes_beyond_an_int(spark):
     w = Window.partitionBy("g").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)
     ranks = hist.select("v", (F.coalesce(F.sum("count").over(w), F.lit(0)) + 1).alias("r")).collect()
     assert {r["v"]: r["r"] for r in ranks} == {5: 1, 4: 2_300_000_001}
+
+
+def ranked_pairs(df, name):
+    return sorted((tuple(r) for r in df.select("id", "g", "v", name).collect()), key=repr)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("values", ["id * 7919 % 1000003", "id % 3", "if(id % 3 = 0, null, id % 50)", "5"])
+def test_rank_by_range_equals_rank(spark, descending, values):
+    """Many values, few, nulls and a single one; one group holds two thirds of all rows, one none has a name."""
+    df = spark.range(3000).selectExpr("id", "case when id % 3 > 0 then 'hot' when id % 2 = 0 then null else concat('g', id % 40) end as g",
+                                      f"{values} as v")
+    df = materialize(df.repartition(5))
+    for rows in (150, 10_000):
+        got = rank_by_range(df, ["g"], "v", descending=descending, max_group_rows=rows)
+        assert ranked_pairs(got, "rank") == ranked_pairs(rank_within(df, ["g"], "v", descending=descending), "rank")
+
+
+def test_slices_of_large_groups_are_bounded(spark):
+    df = materialize(spark.range(20_000).selectExpr("id", "if(id % 10 = 0, id % 100, -1) as g", "id * 31 % 5003 as v"))
+    sizes = range_slices(df, ["g"], [F.col("v").asc(), F.col("id").asc()], 1000).groupBy("g", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] < 2500 and sizes.filter("g = -1").count() >= 12
+    assert sizes.filter("g >= 0 and _slice > 0").count() == 0
+
+
+def test_lag_by_range_equals_lag(spark):
+    """One user holds most events inside one hour; values, users and times may be null."""
+    df = materialize(spark.range(4000).selectExpr(
+        "id", "if(id % 4 > 0, 'hot', if(id % 8 = 0, null, concat('u', id % 60))) as g",
+        "if(id % 17 = 0, null, timestamp_micros(1700000000000000 + id * 7919 % 3000 * 1000)) as ts", "if(id % 5 = 0, null, id * 3) as v"))
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("g").orderBy(F.col("ts").asc_nulls_first(), "id")))
+    for rows in (100, 10_000):
+        got = lag_by_range(df, ["g"], ["ts", "id"], "v", "p", max_group_rows=rows)
+        assert got.columns == [*df.columns, "p"] and ranked_pairs(got, "p") == ranked_pairs(want, "p")
