@@ -269,7 +269,10 @@ def oracle_sql() -> dict[str, str]:
         "key_md5": sql("SELECT track_id, track_name, artist_name FROM src_k", "src_k"),
         "strip_ws": f"SELECT doc_id, trim(text, {_ws_chars()}) AS text FROM documents",
         "src_csv_wide": sql("SELECT track_name || ', \"live\"' || chr(10) || 'final' AS track_name, "
-                            + ", ".join(_q(c) for c in CATALOGUE_COLS[1:]) + f", {AUD} FROM src", "src"),
+                            + ", ".join(_q(c) for c in CATALOGUE_COLS[1:-1]) + f", CAST(duration_ms AS BIGINT) AS duration_ms, {AUD} FROM src", "src"),
+        "src_csv_wide_split": sql("SELECT track_name || ', \"live\"' || repeat(chr(10) || 'final', 1 + CAST(\"key\" % 3 AS INTEGER)) AS track_name, "
+                                  + ", ".join(_q(c) for c in CATALOGUE_COLS[1:-1])
+                                  + f", CAST(duration_ms AS BIGINT) AS duration_ms, {AUD} FROM src", "src"),
         "src_csv_typed": sql(f"SELECT track_id, {AUD} FROM src_k", "src_k"),
         "ingest_partition": sql(f"SELECT track_id, {AUD}, {a[0]} AS ingestion_year, {a[1]} AS ingestion_month, "
                                 f"{a[2]} AS ingestion_day FROM aud_raw", "aud_raw"),
@@ -280,6 +283,7 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT *, {d2[0]}, {d2[1]}, {d2[2]} FROM cat_raw WHERE {R5}", "cat_raw"),
         "sink_table": sql("SELECT * FROM genre_stats", "genre_stats"),
         "silver_append": sql("SELECT * FROM genre_stats UNION ALL SELECT * FROM genre_stats", "genre_stats"),
+        "silver_runs": sql("SELECT * FROM genre_stats UNION ALL SELECT * FROM genre_stats", "genre_stats"),
         "load_catalogue": sql("SELECT track_id, track_name || chr(10) || 'side \"B\"' AS track_name, artist_name, genre, year, "
                               "CASE WHEN year = 1998 THEN 3000000000 + duration_ms ELSE duration_ms END AS duration_ms "
                               "FROM cat_raw", "cat_raw"),

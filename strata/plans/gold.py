@@ -16,7 +16,7 @@ from strata.operators.conform import conform
 from strata.operators.ingest import parse_as_of
 from strata.operators.ranking import rank_by_histogram, top_n
 from strata.plans.silver import WHOLE_NUMBERS, artist_decade
-from strata.schemas import GOLD_SCHEMAS, KEY
+from strata.schemas import GOLD_SCHEMAS, GOLD_TEXT_LENGTHS, KEY
 from strata.session import materialize
 from strata.sinks.clustered import ClusteredTable, write_clustered
 
@@ -151,5 +151,5 @@ def in_build_order(df: DataFrame, name: str) -> DataFrame:
 
 
 def typed(mart: DataFrame, name: str) -> DataFrame:
-    """Cast a mart to the serving database's declared column types."""
-    return conform(mart, GOLD_SCHEMAS[name])
+    """Cast a mart to the serving database's declared column types and text lengths."""
+    return conform(mart, GOLD_SCHEMAS[name], lengths=GOLD_TEXT_LENGTHS)

@@ -26,6 +26,7 @@ from strata.session import materialize, scratch_database, scratch_path
 from strata.sinks.clustered import write_clustered
 from strata.sinks.writers import write_csv, write_raw_parquet, write_table
 from strata.sources.files import read_csv_typed, read_csv_wide, read_raw_parquet, read_table
+from strata.sources.wide import read_csv_wide_parallel
 from strata.sources.fixtures import damaged_keys, damaged_source, table, wide_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +129,14 @@ def q_src_csv_wide(spark, sf):
     return parse_typed(read_csv_wide(spark, path), WIDE_TYPED)
 
 
+def q_src_csv_wide_split(spark, sf):
+    """The same file, read by splits: quoted newlines of any number, doubled quotes and commas."""
+    path = scratch_path(spark, "wide_csv")
+    broken = F.concat(F.col("track_name"), F.lit(', "live"'), F.repeat(F.lit("\nfinal"), 1 + F.col("key").cast("int") % 3))
+    write_csv(wide_source(spark, sf).withColumn("track_name", broken), path)
+    return parse_typed(read_csv_wide_parallel(spark, path), WIDE_TYPED)
+
+
 def q_src_csv_typed(spark, sf):
     path = scratch_path(spark, "audio_csv")
     write_csv(split_wide(wide_source(spark, sf))[1], path)
@@ -205,6 +214,25 @@ def q_silver_append(spark, sf):
     return read_table(spark, f"{db}.genre_stats")
 
 
+def q_silver_runs(spark, sf):
+    """Two appended runs as repeatable ones: the second dies between its statistics tables, is
+    repeated, and is repeated again after it was committed."""
+    from strata.plans.jobs import JobConfig, build_silver
+    from strata.sinks.runs import RunStore
+    raw, root = scratch_path(spark, "raw_runs"), scratch_path(spark, "silver_runs")
+    cat, aud = sources(spark, sf)
+    cfg = JobConfig(raw_root=raw, silver_root=root, table_mode="append", run_id="first")
+    write_raw_parquet(add_ingestion_partition(cat, AS_OF), cfg.raw("catalogue"), "append")
+    write_raw_parquet(add_ingestion_partition(aud, AS_OF), cfg.raw("audio_features"), "append")
+    build_silver(spark, cfg)
+    cfg.run_id = "second"
+    dead = RunStore(spark, root).begin("second")
+    dead.write(RunStore(spark, root).read("genre_stats"), "genre_stats")
+    for _ in range(2):
+        build_silver(spark, cfg)
+    return RunStore(spark, root).read("genre_stats")
+
+
 def q_load_catalogue(spark, sf):
     """Catalogue CSV -> per-column coercion -> table overwrite -> read back."""
     path = scratch_path(spark, "catalogue_csv")

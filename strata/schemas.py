@@ -38,7 +38,7 @@ AUDIO = StructType(
 # The wide source with the catalogue and audio types applied.
 WIDE_TYPED = StructType(
     [StructField(c, StringType()) for c in ("track_name", "artist_name", "genre")]
-    + [StructField("year", IntegerType()), StructField("duration_ms", IntegerType())]
+    + [StructField("year", IntegerType()), StructField("duration_ms", LongType())]
     + AUDIO.fields[1:]
 )
 
@@ -112,6 +112,11 @@ GOLD_KEYS = {
     "dm_top_artists": ["artist_name", "decade"],
     "dm_hits_emergents": ["genre", "year", "track_id"],
 }
+# Declared lengths of the marts' text columns, in characters.
+GOLD_TEXT_LENGTHS = {
+    "track_id": 16, "track_name": 500, "artist_name": 500, "top_track_name": 500, "genre": 100, "main_genre": 100,
+    "popularity_category": 10,
+}
 GOLD_SCHEMAS = {
     "dm_track_popularity": GOLD_TRACKS,
     "dm_genre_trends": GOLD_TRENDS,

@@ -67,6 +67,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, renamed into place, so that readers see the old one or the new one."""
+    fs, target = hadoop_path(spark, path)
+    _, draft = hadoop_path(spark, f"{path}-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot put {path} in place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def release_scratch(spark: SparkSession, keep: int = 0) -> None:
     """Delete scratch folders and databases, but for the first ``keep`` folders. Frames
     that read them cannot be used afterwards."""

@@ -91,3 +91,84 @@ def test_jobs_leave_no_scratch(spark):
     land_raw(spark, wide_source(spark, SF_SMALL), JobConfig(raw_root=root, as_of="2024-06-30"))
     after = {str(f.getPath()) for f in fs.listStatus(p)}
     assert {x.rsplit("/", 1)[-1] for x in after - before} == {root.rsplit("/", 1)[-1]}
+
+
+def test_rows_without_a_key_are_counted_and_refused(spark):
+    import pytest
+    from strata.plans.jobs import without_null_keys
+    mart = spark.createDataFrame([("a", 1990), (None, 1990), ("b", None), ("c", 2000)], "genre string, decade int")
+    cfg = JobConfig(raw_root="unused", max_null_key_share=0.5)
+    kept = without_null_keys(mart, "dm_genre_trends", cfg)
+    assert [r["genre"] for r in kept.collect()] == ["a", "c"] and cfg.counts["dm_genre_trends.null_keys"] == 2
+    cfg.max_null_key_share = 0.4
+    with pytest.raises(ValueError, match="2 of 4 rows"):
+        without_null_keys(mart, "dm_genre_trends", cfg)
+
+
+def test_texts_beyond_their_declared_length_are_refused_or_cut(spark):
+    import pytest
+    from strata.operators.conform import conform
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField("genre", StringType())])
+    df = spark.createDataFrame([("é" * 100,), (None,), ("x" * 101,)], schema)
+    assert conform(df.limit(2), schema, lengths={"genre": 100}).count() == 2
+    with pytest.raises(Exception, match="101 characters, at most 100"):
+        conform(df, schema, lengths={"genre": 100}).collect()
+    assert [len(r[0] or "") for r in conform(df, schema, strict=False, lengths={"genre": 100}).collect()] == [100, 0, 100]
+
+
+def test_runs_are_all_or_nothing_and_repeatable(spark):
+    import pytest
+    from strata.sinks.runs import RunStore
+    store = RunStore(spark, scratch_path(spark, "runs"))
+    two = lambda n: [(spark.range(n), "a"), (spark.range(2 * n).selectExpr("id", "'x' as s"), "b")]      # noqa: E731
+
+    def write(name, n, upto=2, **options):
+        run = store.begin(name)
+        for df, table in two(n)[:upto]:
+            run.write(df, table)
+        if upto == 2:
+            run.commit(**options)
+
+    sizes = lambda: (store.read("a").count(), store.read("b").count())                                  # noqa: E731
+    with pytest.raises(ValueError):
+        store.read("a")
+    write("r1", 3)
+    write("r2", 50, upto=1)                       # dies between its tables
+    assert sizes() == (3, 6) and store.runs == ["r1"]
+    write("r2", 5)
+    write("r2", 5)                                # repeated after it was committed
+    assert sizes() == (8, 16) and store.runs == ["r1", "r2"]
+    write("r1", 4)
+    assert sizes() == (9, 18) and store.read("b").columns == ["id", "s"]
+    write("new", 1, replace=True)
+    assert sizes() == (1, 2) and store.runs == ["new"]
+    with pytest.raises(ValueError):
+        store.begin("a/b")
+
+
+def test_a_silver_job_killed_between_its_statistics_equals_a_clean_one(spark, monkeypatch):
+    import pytest
+    from strata.plans import silver
+    from strata.plans.jobs import build_gold, build_silver, land_raw, silver_table
+    from strata.sinks.runs import RunStore
+    from strata.session import scratch_database
+    cfg = JobConfig(raw_root=scratch_path(spark, "job-runs"), silver_root=scratch_path(spark, "job-silver"), gold_db=scratch_database(spark),
+                    as_of="2024-06-30", table_mode="append")
+    land_raw(spark, wide_source(spark, SF_SMALL), cfg)
+
+    def die(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(silver, "artist_stats", die)
+        with pytest.raises(OSError):
+            build_silver(spark, cfg)
+    assert RunStore(spark, cfg.silver_root).runs == []
+    for _ in range(2):
+        assert build_silver(spark, cfg).count() == 8
+    assert RunStore(spark, cfg.silver_root).runs == ["2024-06-30"]
+    for name, column in (("genre_stats", "nb_tracks"), ("artist_stats", "total_tracks")):
+        assert silver_table(spark, name, cfg).agg(F.sum(column)).first()[0] == 1665
+    build_gold(spark, cfg)
+    assert spark.table(f"{cfg.gold_db}.dm_hits_emergents").count() == 414
