@@ -7,20 +7,20 @@ smaller key. Windows are judged on the input.
    so equal windows have equal ones, and neighbouring windows mostly share theirs.
    Minimisers of two documents or more are counted out with combined minima and maxima, and
    only stretches of text whose windows have such a minimiser go on.
-2. Recurring passages are confirmed: window hashes inside the stretches that occur under
-   two keys get an owner, the first document (by key and text) that holds them.
-3. The owner's passages are the patterns. They are dealt by owner to shards of about
-   ``SHARD_WINDOWS`` windows, and every other document sends each shard the stretches that
-   may match it. A shard compiles one automaton over word numbers, then streams its
-   stretches through it, so it holds its patterns and one batch of rows. An owner with very
-   many followers (the head of a large group of copies) is dealt to several shards.
-4. The automaton compares words, not hashes. Stretches whose hashes promised a match that
-   the words do not keep (two windows of one hash) are settled by grouping the windows
-   themselves.
+2. Window hashes inside the stretches that occur under two keys get an owner, the smallest
+   key that holds them. A run of neighbouring windows of one owner is a passage of the
+   document that follows it.
+3. Passages are confirmed and located by automata over word numbers. Distinct passages are
+   the patterns; they are dealt by owner to shards of about ``SHARD_WORDS`` words, an owner
+   with more of them to several. A shard compiles its automaton, then streams the owners'
+   stretches through it: a passage found in its owner is a repeat wherever it was cut from.
+4. The automaton compares words, not hashes. A passage not found whole is tried window by
+   window, as its parts may stand apart in the owner; windows that are still not found (two
+   windows of one hash) are settled by grouping the windows themselves.
 5. Per document the occurrences are merged and cut out.
 
 Nothing is gathered by passage: a passage in a third of all documents is a combined minimum
-in step 2 and many rows streamed through some automata in step 3.
+in step 2, one pattern in step 3, and rows that are only filtered otherwise.
 
 Defined results: null has no words; texts shorter than a window lose nothing; rows without a
 key come after all keys; rows of one key are no smaller than each other, and a window
@@ -45,13 +45,10 @@ from strata.session import materialize
 
 WINDOW = 13
 GRAM = 5
-SHARD_WINDOWS = 1 << 15       # windows of an automaton, about
-FOLLOWERS = 512               # documents that follow an owner in one shard, aimed at
-MOST_SHARDS = 1024            # of one owner
-BROADCAST_ROWS = 1 << 21      # recurring hashes (16 bytes) that are broadcast; counted first
+SHARD_WORDS = 1 << 17         # words of an automaton's patterns, about
+BROADCAST_ROWS = 1 << 19      # recurring hashes (8 bytes) that are broadcast; counted first
 NO_KEY = (1 << 63) - 1
-PATTERN, STRETCH = 0, 1
-SPAN, UNMATCHED = 0, 1
+PATTERN, TEXT = 0, 1
 
 
 # --- hashes in tasks --------------------------------------------------------------------
@@ -91,15 +88,17 @@ class Text:
     def windows(self) -> np.ndarray:
         return _chained(self.words, WINDOW) if len(self.whole) else np.zeros(0, np.uint64)
 
-    def stretches(self, chosen: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-        """Text number, first word (within the text) and bytes of the runs of chosen windows."""
+    def stretches(self, chosen: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """First and last windows of the runs of chosen ones, cut where ``apart`` changes too."""
         at = np.flatnonzero(chosen & self.whole)
-        if not len(at):
-            return
-        new = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(self.text[at]) > 0)])
-        heads, tails = at[new], at[np.append(new[1:], True)]
-        for i, j, d in zip(heads, tails, self.text[heads]):
-            yield int(d), int(i - self.first[d]), self.raw[self.starts[i]:self.ends[j + WINDOW - 1]].tobytes()
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) > 1) | (np.diff(self.text[at]) > 0)
+        if apart is not None:
+            new[1:] |= apart[at[1:]] != apart[at[:-1]]
+        return at[new], at[np.append(new[1:], True)] if len(at) else at
+
+    def bytes_of(self, heads: np.ndarray, tails: np.ndarray) -> pa.Array:
+        return pa.array([self.raw[i:j].tobytes() for i, j in zip(self.starts[heads], self.ends[tails + WINDOW - 1])], pa.binary())
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, Text]]:
@@ -110,26 +109,35 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield b, i, Text(raw[off[i]:off[j]], off[i:j + 1] - off[i], values, powers)
 
 
-def _hash_rows(kind: str):
-    """Distinct hashes (neighbours at least) of every text: ``hash``, ``key``, ``text_id``."""
+def _hash_rows(kind: str, *columns: str):
+    """Hashes of every text, without repeats of neighbours, with the text's ``columns``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, i, t in _texts(batches):
             h, whole = getattr(t, kind)(), t.whole
             new = whole.copy()
             new[1:] &= (h[1:] != h[:-1]) | (t.text[1:] != t.text[:-1]) | ~whole[:-1]
             at = pa.array(t.text[new] + i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[new].view(np.int64)), b.column("key").take(at), b.column("text_id").take(at)], ["hash", "key", "text_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), *[b.column(c).take(at) for c in columns]],
+                                             ["hash", *columns])
 
     return run
 
 
-HASHES = "hash long, key long, text_id long"
-
-
-def _asbytes(frame: DataFrame) -> DataFrame:
-    """Stretches hold bytes, which are texts, as cuts are made at spaces."""
-    return frame.withColumn("text", F.col("text").cast("string"))
+def _by_text(t: Text, i: int, wanted: pa.ListArray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``hashes`` (of the windows) are in their own text's list, and where in the
+    flattened lists. Text numbers are mixed into the hashes, so one search serves all."""
+    wanted = wanted.slice(i, len(t.first) - 1)
+    lists = wanted.flatten()
+    flat = (lists.field("hash") if isinstance(lists, pa.StructArray) else lists).to_numpy().view(np.uint64)
+    sizes = np.diff(wanted.offsets.to_numpy())
+    if not len(flat) or not len(hashes):
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+    own = lambda h, text: mix(h + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    listed = own(flat, np.repeat(np.arange(len(sizes)), sizes))
+    order = np.argsort(listed)
+    asked = own(hashes, t.text)
+    at = np.minimum(np.searchsorted(listed, asked, sorter=order), len(order) - 1)
+    return listed[order[at]] == asked, order[at]
 
 
 STRETCHES = "key long, text_id long, start int, text binary"
@@ -138,110 +146,106 @@ STRETCHES = "key long, text_id long, start int, text binary"
 def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of a document whose windows have one of its ``wanted`` minimisers."""
     for b, i, t in _texts(batches):
-        keys, ids, wanted = (b.column(c) for c in ("key", "text_id", "wanted"))
-        m, chosen = t.minimisers(), np.zeros(len(t.whole), bool)
-        for d in range(len(t.first) - 1):
-            x, y = t.first[d], max(t.first[d], t.first[d + 1] - WINDOW + 1)
-            if y > x:
-                chosen[x:y] = np.isin(m[x:y], wanted[i + d].values.to_numpy().view(np.uint64))
-        found = list(t.stretches(chosen))
-        at = pa.array([i + d for d, _, _ in found], pa.int64())
+        heads, tails = t.stretches(_by_text(t, i, b.column("wanted"), t.minimisers())[0])
+        text = t.text[heads]
+        at = pa.array(text + i)
         yield pa.RecordBatch.from_arrays(
-            [keys.take(at), ids.take(at), pa.array([s for _, s, _ in found], pa.int32()), pa.array([x for _, _, x in found], pa.binary())],
-            ["key", "text_id", "start", "text"])
+            [b.column("key").take(at), b.column("text_id").take(at), pa.array((heads - t.first[text]).astype(np.int32)),
+             t.bytes_of(heads, tails)], ["key", "text_id", "start", "text"])
 
 
-ROUTED = "shard long, role int, key long, text_id long, start int, text binary"
+PASSAGES = "owner long, key long, text_id long, start int, n int, text binary"
+P_NAMES = [p.split()[0] for p in PASSAGES.split(", ")]
 
 
-def _routes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What of a stretch goes to which shard: ``wanted`` lists (shards, role, hashes)."""
+def _passages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows of one owner, by the ``wanted`` (hash, owner) of a stretch."""
     for b, i, t in _texts(batches):
-        windows = t.windows()
-        rows: list[tuple] = []
-        keys, ids, starts = (b.column(c).to_numpy() for c in ("key", "text_id", "start"))
-        for d in range(len(t.first) - 1):
-            x, y = t.first[d], t.first[d + 1] - WINDOW + 1
-            if y <= x:
-                continue
-            for w in b.column("wanted")[i + d].values:
-                chosen = np.zeros(len(windows), bool)
-                chosen[x:y] = np.isin(windows[x:y], w["hashes"].values.to_numpy().view(np.uint64))
-                role = w["role"].as_py()
-                for _, s, part in t.stretches(chosen) if chosen.any() else ():
-                    rows += [(shard, role, keys[i + d], ids[i + d], starts[i + d] + s, part) for shard in w["shards"].as_py()]
+        wanted = b.column("wanted")
+        found, at = _by_text(t, i, wanted, t.windows())
+        if not found.any():
+            continue
+        owner = wanted.slice(i, len(t.first) - 1).flatten().field("owner").to_numpy()[at]
+        heads, tails = t.stretches(found, owner)
+        text = t.text[heads]
+        rows = pa.array(text + i)
+        start = b.column("start").take(rows).to_numpy() + (heads - t.first[text])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owner[heads]), b.column("key").take(rows), b.column("text_id").take(rows), pa.array(start.astype(np.int32)),
+             pa.array((tails - heads + WINDOW).astype(np.int32)), t.bytes_of(heads, tails)], P_NAMES)
+
+
+def _single_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages taken apart into their windows."""
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    for b in batches:
+        rows = []
+        for *of, start, n, text in zip(*(b.column(c).to_pylist() for c in P_NAMES)):
+            words = text.split()
+            rows += [(*of, start + i, WINDOW, b" ".join(words[i:i + WINDOW])) for i in range(n - WINDOW + 1)]
         if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t_) for c, t_ in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                ["shard", "role", "key", "text_id", "start", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], P_NAMES)
 
 
 # --- automata ---------------------------------------------------------------------------
 
 
 class Shard:
-    """An Aho-Corasick automaton over word numbers: windows of the patterns, each with the
-    smallest key that holds it."""
+    """An Aho-Corasick automaton over word numbers, whose patterns are passages with their
+    owners."""
 
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.windows = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        self.keys: list[int] = []
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        self.patterns: list[tuple[int, bytes]] = []            # owner, passage
+        self.same: list[list[int]] = []                        # patterns of equal words
+        self.found = bytearray()
         self.ready = False
 
-    def add(self, key: int, text: bytes) -> None:
+    def add(self, owner: int, text: bytes) -> None:
         ids = tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in text.split())
-        self.keys.append(key)
-        for i in range(len(ids) - WINDOW + 1):
-            window = ids[i:i + WINDOW]
-            if not self.windows.exists(window) or self.keys[self.windows.get(window)] > key:
-                self.windows.add_word(window, len(self.keys) - 1)
-
-    def locate(self, text: bytes) -> tuple[list[bytes], list[int], list[int]]:
-        """Words, and where windows of a pattern start, with their keys."""
-        words = text.split()
-        if not self.keys:
-            return words, [], []
+        if self.automaton.exists(ids):
+            self.same[self.automaton.get(ids)].append(len(self.patterns))
+        else:
+            self.automaton.add_word(ids, len(self.same))
+            self.same.append([len(self.patterns)])
+        self.patterns.append((owner, text))
+        self.found.append(0)
+
+    def stream(self, key: int, text: bytes) -> None:
+        """Marks the patterns that a text of ``key`` holds, of owners that are no smaller."""
+        if not self.patterns:
+            return
         if not self.ready:
-            self.windows.make_automaton()
+            self.automaton.make_automaton()
             self.ready = True
-        hits = list(self.windows.iter(tuple(self.numbers.get(w, 0) for w in words)))
-        return words, [end - WINDOW + 1 for end, _ in hits], [self.keys[k] for _, k in hits]
-
+        for _, k in self.automaton.iter(tuple(self.numbers.get(w, 0) for w in text.split())):
+            for p in self.same[k]:
+                if key <= self.patterns[p][0]:
+                    self.found[p] = 1
 
-LOCATED = "kind int, key long, text_id long, start int, end int, window binary"
+    def missing(self) -> pa.RecordBatch:
+        rows = [p for p, f in zip(self.patterns, self.found) if not f]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+                                          ["owner", "text"])
 
 
-def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compiles the automaton of every shard, then streams its stretches through it; rows
-    come by shard, patterns first."""
-    current, automaton = None, Shard()
+def _search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compiles the automaton of every shard and streams its texts; rows come by shard,
+    patterns first. Returns the passages that their owner does not hold."""
+    current, shard = None, Shard()
     for b in batches:
-        rows: list[tuple] = []
-        for shard, role, key, text_id, start, text in zip(*(b.column(c).to_pylist() for c in b.schema.names)):
-            if shard != current:
-                current, automaton = shard, Shard()
+        for number, role, owner, text in zip(*(b.column(c).to_pylist() for c in ("shard", "role", "owner", "text"))):
+            if number != current:
+                if current is not None:
+                    yield shard.missing()
+                current, shard = number, Shard()
             if role == PATTERN:
-                automaton.add(key, text)
-                continue
-            words, at, owners = automaton.locate(text)
-            known = set(at)
-            rows += [(UNMATCHED, key, text_id, start + i, start + i + WINDOW, b" ".join(words[i:i + WINDOW]))
-                     for i in range(len(words) - WINDOW + 1) if i not in known]
-            begin = end = None
-            for i in (i for i, owner in zip(at, owners) if owner < key):
-                if begin is not None and i <= end:
-                    end = i + WINDOW
-                    continue
-                if begin is not None:
-                    rows.append((SPAN, key, text_id, start + begin, start + end, None))
-                begin, end = i, i + WINDOW
-            if begin is not None:
-                rows.append((SPAN, key, text_id, start + begin, start + end, None))
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
-                [p.split()[0] for p in LOCATED.split(", ")])
+                shard.add(owner, text)
+            else:
+                shard.stream(owner, text)
+    if current is not None:
+        yield shard.missing()
 
 
 # --- the operator -----------------------------------------------------------------------
@@ -251,46 +255,59 @@ def _bounded(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
+def not_found(passages: DataFrame, owners: DataFrame) -> DataFrame:
+    """The distinct passages (``owner``, ``text``) that no text of their owner holds."""
+    distinct = materialize(passages.groupBy("owner", "text").agg(F.max("n").alias("n")))
+    words = distinct.groupBy("owner").agg(F.sum("n").alias("words"))
+    shards = max(1, (words.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS)
+    many = materialize(words.filter(F.col("words") > SHARD_WORDS)
+                       .select("owner", F.ceil(F.col("words") / SHARD_WORDS).cast("long").alias("split")))
+    split = F.coalesce("split", F.lit(1).cast("long"))
+    shard = F.pmod(F.xxhash64("owner", "salt"), F.lit(shards)).alias("shard")
+    patterns = distinct.join(many, "owner", "left").withColumn("salt", F.pmod(F.xxhash64("text"), split))
+    texts = owners.join(many, "owner", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), split - 1)))
+    rows = (patterns.select(shard, F.lit(PATTERN).alias("role"), "owner", "text")
+            .unionByName(texts.select(shard, F.lit(TEXT).alias("role"), "owner", "text")))
+    return materialize(rows.repartition("shard").sortWithinPartitions("shard", "role").mapInArrow(_search, "owner long, text binary"))
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """``key``, ``text_id`` and the ``spans`` (start, end in words) to remove, for every
     document of ``docs`` (key, text_id, text) with any; spans may overlap."""
     document = ["key", "text_id"]
-    hashed = docs.select(*document, "text").mapInArrow(_hash_rows("minimisers"), HASHES)
-    shared = materialize(hashed.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # Two documents of one number would only lend each other candidates.
+    docs = docs.withColumn("doc", F.xxhash64(*document))
+    shared = materialize(docs.select("key", "text").mapInArrow(_hash_rows("minimisers", "key"), "hash long, key long")
+                         .groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"))
                          .filter("low < high").select("hash"))
-    wanted = hashed.join(_bounded(shared), "hash").groupBy(*document).agg(F.collect_set("hash").alias("wanted"))
-    stretches = materialize(docs.join(wanted, document).select(*document, "text", "wanted").mapInArrow(_candidates, STRETCHES))
-    texts = _asbytes(stretches)
-
-    windows = texts.select(*document, "text").mapInArrow(_hash_rows("windows"), HASHES)
-    recurring = materialize(windows.groupBy("hash").agg(F.min(F.struct(*document)).alias("owner"), F.max("key").alias("last"))
-                            .filter("owner.key < last").select("hash", "owner"))
-    pairs = materialize(
-        windows.join(recurring, "hash").filter("key > owner.key or (key = owner.key and text_id = owner.text_id)")
-        .groupBy(*document, "owner").agg(F.collect_set("hash").alias("hashes")))
-
-    shards = max(1, recurring.count() // SHARD_WINDOWS)
-    many = (pairs.groupBy("owner").agg(F.count(F.lit(1)).alias("followers"))
-            .filter(F.col("followers") > FOLLOWERS)
-            .select("owner", F.least(F.lit(MOST_SHARDS), F.ceil(F.col("followers") / FOLLOWERS)).cast("long").alias("split")))
-    split = F.coalesce("split", F.lit(1).cast("long"))
-    place = lambda salt: F.pmod(F.xxhash64("owner.key", "owner.text_id", salt), F.lit(shards))      # noqa: E731
-    is_owner = (F.col("key") == F.col("owner.key")) & (F.col("text_id") == F.col("owner.text_id"))
-    own_salt = F.pmod(F.xxhash64(*document), split)
-    routed = pairs.join(materialize(many), "owner", "left").select(
-        *document, F.struct(
-            F.when(is_owner, F.array_distinct(F.transform(F.sequence(F.lit(0).cast("long"), split - 1), place)))
-            .otherwise(F.array(place(own_salt))).alias("shards"),
-            F.when(is_owner, PATTERN).otherwise(STRETCH).alias("role"), "hashes").alias("w"))
-    wanted = routed.groupBy(*document).agg(F.collect_list("w").alias("wanted"))
-    rows = texts.join(wanted, document).mapInArrow(_routes, ROUTED)
-    located = materialize(rows.repartition("shard").sortWithinPartitions("shard", "role").mapInArrow(_locate, LOCATED))
-
-    spans = located.filter(F.col("kind") == SPAN).select(*document, "start", "end")
-    unmatched = located.filter(F.col("kind") == UNMATCHED)
-    firsts = unmatched.groupBy("window").agg(F.min("key").alias("first"))
-    late = unmatched.join(firsts, "window").filter(F.col("key") > F.col("first")).select(*document, "start", "end")
-    return spans.unionByName(late).groupBy(*document).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    wanted = (docs.select("doc", "text").mapInArrow(_hash_rows("minimisers", "doc"), "hash long, doc long")
+              .join(_bounded(shared), "hash").groupBy("doc").agg(F.collect_set("hash").alias("wanted")))
+    stretches = materialize(docs.join(wanted, "doc").select(*document, "text", "wanted").mapInArrow(_candidates, STRETCHES)
+                            .withColumn("stretch", F.monotonically_increasing_id()))
+    texts = stretches.withColumn("text", F.col("text").cast("string"))
+
+    owned = materialize(texts.select("key", "text").mapInArrow(_hash_rows("windows", "key"), "hash long, key long")
+                        .groupBy("hash").agg(F.min("key").alias("owner"), F.max("key").alias("last"))
+                        .filter("owner < last").select("hash", "owner"))
+    wanted = (texts.select("stretch", "text").mapInArrow(_hash_rows("windows", "stretch"), "hash long, stretch long")
+              .join(owned, "hash").groupBy("stretch").agg(F.collect_list(F.struct("hash", "owner")).alias("wanted")))
+    cut = materialize(texts.join(wanted, "stretch").select(*document, "start", "text", "wanted").mapInArrow(_passages, PASSAGES))
+    # Texts of an owner's key, each once.
+    owners = cut.filter("key = owner").select("owner", "text").distinct()
+    found = cut.filter("key > owner")
+
+    span = [*document, "start", (F.col("start") + F.col("n")).alias("end")]
+    passage = ["owner", "text"]
+    missing = not_found(found, owners)
+    spans = found.join(missing, passage, "left_anti").select(*span)
+    if not missing.isEmpty():
+        windows = materialize(found.join(missing, passage, "left_semi").select(*P_NAMES).mapInArrow(_single_windows, PASSAGES))
+        missing = not_found(windows, owners)
+        lone = windows.join(missing, passage, "left_semi")
+        late = lone.join(lone.groupBy("text").agg(F.min("key").alias("first")), "text").filter(F.col("key") > F.col("first"))
+        spans = (spans.unionByName(windows.join(missing, passage, "left_anti").select(*span))
+                 .unionByName(late.select(*span)))
+    return spans.groupBy(*document).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 CUT = "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string"

@@ -44,10 +44,9 @@ def test_query_equals_brute_force(spark):
     assert result(passages.op11_phrase_automata(spark, SF)) == want
 
 
-@pytest.mark.parametrize("shard, followers, rows", [(1 << 15, 512, 1 << 21), (16, 2, 0)])   # many shards, split owners, no broadcast
-def test_chains_and_hot_passages(spark, monkeypatch, shard, followers, rows):
-    monkeypatch.setattr(passages, "SHARD_WINDOWS", shard)
-    monkeypatch.setattr(passages, "FOLLOWERS", followers)
+@pytest.mark.parametrize("shard, rows", [(1 << 17, 1 << 19), (40, 0)])   # many shards, split owners, no broadcast
+def test_chains_and_hot_passages(spark, monkeypatch, shard, rows):
+    monkeypatch.setattr(passages, "SHARD_WORDS", shard)
     monkeypatch.setattr(passages, "BROADCAST_ROWS", rows)
     common, other = prose(1, 30), prose(2, 60)
     docs = []
