@@ -7,9 +7,9 @@ sequence is cut into equal runs. A run then covers a compact box of the metadata
 space, so min/max statistics per shard prune files for filters on any dimension.
 
 Everything is DataFrame functions. Cells are equi-depth, so a value that holds a third of
-all rows takes one cell and the other cells share the rest. Cut points of numbers come
-from one ``percentile_approx`` aggregate; strings are compared whole, their cut points are
-exact order statistics from counts per value, summed up in string order. Global positions come from a range sort
+all rows takes one cell and the other cells share the rest. Cut points are
+exact order statistics, of numbers and of whole strings alike: counts per value are
+range-sorted and summed up. Global positions come from a range sort
 plus one row count per sorted partition; no task sees more than its own range.
 
 Defined results: a null dimension sorts lowest (cell 0); equal rows take adjacent
@@ -28,8 +28,6 @@ from pyspark.sql import types as T
 from strata.llm.common import free_name, read, text_or_empty, utf8_bytes
 from strata.session import materialize
 
-QUANTILE_ACCURACY = 10_000
-
 
 def hilbert_steps(n: int) -> tuple[list[int], list[int]]:
     """Digit and next-state tables of the n-dimensional Hilbert curve.
@@ -86,13 +84,14 @@ def curve_index(cells: Sequence[Column], bits: int) -> Column:
     return F.aggregate(levels, start, descend, lambda acc: acc["index"])
 
 
-def string_cuts(df: DataFrame, dims: Sequence[str], cells: int) -> list[list[str]]:
-    """Per dimension the values at ranks ceil(n * i / cells), 0 < i < cells, of its n strings.
+def exact_cuts(df: DataFrame, dims: Sequence[str], cells: int, kind: str) -> list[list]:
+    """Per dimension the values at ranks ceil(n * i / cells), 0 < i < cells, of its n values,
+    compared as ``kind`` (double or string).
 
     Counts per value are range-sorted; a value's rank is the sum of its partition's counts up
     to it and of all earlier partitions. At most cells - 1 values of a dimension are collected.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.col(c).cast("string").alias("v"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.col(c).cast(kind).alias("v"))
                                for i, c in enumerate(dims)]))
     counts = materialize(df.select(each.alias("x")).select("x.*").filter("v is not null")
                          .groupBy("d", "v").agg(F.count(F.lit(1)).alias("n")))
@@ -107,7 +106,7 @@ def string_cuts(df: DataFrame, dims: Sequence[str], cells: int) -> list[list[str
     found = (placed.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(runs), ["d", "part"])
              .withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(cells - 1))))
              .filter((rank <= last) & (rank > last - F.col("n"))).select("d", "i", "v").collect())
-    cuts: list[list[str]] = [[] for _ in dims]
+    cuts: list[list] = [[] for _ in dims]
     for row in sorted(found):
         cuts[row["d"]].append(row["v"])
     return cuts
@@ -119,13 +118,9 @@ def quantise(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     number = [d for d in dims if isinstance(kinds[d], (T.NumericType, T.BooleanType))]
     text = [d for d in dims if d not in number]
     cuts: dict[str, list] = {}
-    if number:
-        marks = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
-        row = df.agg(*[F.percentile_approx(F.col(d).cast("double"), marks, QUANTILE_ACCURACY).alias(f"c{i}")
-                       for i, d in enumerate(number)]).first()
-        cuts = {d: row[f"c{i}"] or [] for i, d in enumerate(number)}
-    if text:
-        cuts |= dict(zip(text, string_cuts(df, text, 1 << bits)))
+    for kind, own in (("double", number), ("string", text)):
+        if own:
+            cuts |= dict(zip(own, exact_cuts(df, own, 1 << bits, kind)))
     cells = []
     for d in dims:
         k = F.col(d).cast("double" if d in number else "string")

@@ -76,3 +76,12 @@ def test_strings_are_compared_whole(spark):
         for r in got:
             assert r[cell] == sum(r[name] is not None and c.encode() < r[name].encode() for c in cuts)
     assert len({r["c1"] for r in got}) == 16
+
+
+def test_cut_points_of_many_valued_numbers_are_order_statistics(spark):
+    n = 30_000
+    df = spark.range(n).selectExpr("id * 7919 % 30011 - 5000 as a", "if(id % 3 = 0, 4.5, id * 0.37) as b", "if(id % 5 = 0, null, id) as c")
+    cuts = hilbert.exact_cuts(df, ["a", "b", "c"], 16, "double")
+    for cut, name in zip(cuts, "abc"):
+        values = sorted(r[0] for r in df.select(df[name].cast("double")).collect() if r[0] is not None)
+        assert cut == [values[-(-len(values) * i // 16) - 1] for i in range(1, 16)]
