@@ -181,26 +181,6 @@ def sorted_arrays(counts: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], n[order]
 
 
-def train(texts: DataFrame, max_entries: int = MAX_ENTRIES) -> Trie:
-    """A small model of the column ``text`` of all rows: where an order has more than
-    ``max_entries`` entries, its rarest contexts are left to shorter ones. The query does
-    not use it; ``probabilities`` leaves nothing out."""
-    counts = materialize(texts.select("text").mapInArrow(_gram_counts, "code long, n long")
-                         .groupBy("code").agg(F.sum("n").alias("n")))
-    by_depth = {d: counts if d == ORDER else counts.groupBy(
-        F.col("code").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
-        for d in range(ORDER, WHOLE - 1, -1)}
-    least = least_count(counts, max_entries)
-    if least > 1:                            # one threshold, so that longer successors are shorter ones' too
-        least = max(least, *(least_count(by_depth[d], max_entries) for d in range(WHOLE + 1, ORDER)))
-
-    def collected(d: int) -> tuple[np.ndarray, np.ndarray]:
-        return sorted_arrays(by_depth[d].filter(F.col("n") >= (least if d > WHOLE else 1)), "code")
-
-    shorter = {d: collected(d) for d in range(WHOLE, ORDER)} if least > 1 else None
-    return Trie(*collected(ORDER), shorter)
-
-
 def _used_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(context, byte) codes with their count in training texts and in all texts."""
     for b in batches:
@@ -301,9 +281,11 @@ def score(docs: DataFrame, codes: tuple[np.ndarray, np.ndarray], words: tuple[np
                 h, w = word_hashes(low[off[i]:off[j]], at, values, powers)
                 n = np.diff(w)
                 k, hit = found(known, h)
-                run_of = lambda x: np.concatenate([[0], np.cumsum(x)])[w]            # noqa: E731
-                logs = np.diff(run_of(np.where(hit, log_count[k], 0.0)))
-                rare = np.diff(run_of(~hit))
+                # Text by text, so that equal texts get equal bits wherever they stand.
+                logs, some = np.zeros(len(n)), n > 0
+                if some.any():
+                    logs[some] = np.add.reduceat(np.where(hit, log_count[k], 0.0), w[:-1][some])
+                rare = np.diff(np.concatenate([[0], np.cumsum(~hit)])[w])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row").slice(i, j - i), ids.slice(i, j - i), pa.array(n), pa.array(n - rare), pa.array(logs),
                      lists(h[~hit], rare), lists(code[other], np.add.reduceat(other.astype(np.int64), first[:-1])),
@@ -341,7 +323,7 @@ def op9_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("row").agg(F.sum("log10").alias("others")))
     rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("tf"))
     seen = (rare.join(counts.filter(F.col("n") < least), "word").groupBy("row")
-            .agg(F.sum("tf").alias("n_seen"), F.sum(F.col("tf") * F.log10(F.col("n") + 0.1)).alias("seen")))
+            .agg(F.sum("tf").alias("n_seen"), F.sum(F.col("tf") * F.round(F.log10(F.col("n") + 0.1) * RARE_UNIT) / RARE_UNIT).alias("seen")))
     scale = float(np.log10(total + 0.1 * (distinct + 1)))
     end = float(np.log10(n_docs + 0.1))
     n_seen, n_tokens = F.coalesce(F.col("n_seen"), F.lit(0)), F.col("n_words") + 1

@@ -107,15 +107,16 @@ def _join(texts):
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
 
 
-def test_pruned_trie_keeps_shorter_contexts(spark):
-    docs = documents(spark)
-    small = ppm.train(docs, max_entries=500)
-    whole = ppm.train(docs)
-    assert len(small.orders[0]["keys"]) <= 500 < len(whole.orders[0]["keys"])
-    depth = ppm.ORDER - ppm.WHOLE
-    assert small.orders[depth]["n"].sum() == whole.orders[depth]["n"].sum()
-    codes = whole.orders[0]["keys"]
-    assert np.isfinite(small.log10(codes)).all() and (small.log10(codes) <= 0).all()
+def test_equal_texts_get_equal_bits(spark, tmp_path):
+    """Scores do not depend on what stands before a text in its batch."""
+    texts = [r["text"] for r in documents(spark).limit(12).collect()]
+    rows = [(k, texts[k * 7 % 12], "en", "s", 1) for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    folder = write_tables(spark, tmp_path, documents=df.repartition(3))
+    got = {}
+    for r in ppm.op9_ppm_score(spark, folder).collect():
+        got.setdefault(texts[r["doc_id"] * 7 % 12], set()).add((r["base_score"], r["score"]))
+    assert len(got) == 12 and all(len(v) == 1 for v in got.values())
 
 
 def test_least_count(spark):
@@ -126,6 +127,5 @@ def test_least_count(spark):
 def test_rare_contexts_are_scored_whole(spark, monkeypatch):
     docs = [(r["doc_id"], r["text"]) for r in documents(spark).collect()]
     monkeypatch.setattr(ppm, "MAX_ENTRIES", 500)               # most codes by the join
-    monkeypatch.setattr(ppm.train, "__defaults__", (500,))
     monkeypatch.setattr(ppm, "CHUNK", 1000, raising=False)
     check(ppm.op9_ppm_score(spark, SF).collect(), docs)
