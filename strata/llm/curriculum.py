@@ -4,7 +4,7 @@ Every source has a target number of tokens and a weight schedule over training t
 t in [0, 1]. A schedule is linear, w(t) = 1 - a + 2 a t with slope a in (-1, 1), so
 its integral, the cumulative share of the target that is due at t, is
 D(t) = t + a (t^2 - t). The documents of a source stand in a fixed shuffled order
-(by MD5 of the key); the order is gone through as often as the target needs, at most
+(by MD5 of the key, or of the text where there is none); the order is gone through as often as the target needs, at most
 ``max_repeat`` times. A copy whose middle token is the u-th of its source is due at
 the t with target * D(t) = u, which the quadratic formula gives. Sorting all copies by
 t by range gives the training order.
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import n_words, read
+from strata.session import materialize
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (0.5, 0.0, -0.5)     # rising, even and falling demand, repeating like the weights
@@ -76,7 +77,8 @@ def plan_mix(df: DataFrame, *, source: str = "source", key: str = "doc_id", text
     ``positions`` (training time of each copy taken)."""
     rows = df.count()
     digits = next((d for d in range(HEX_DIGITS) if 16 ** d * BUCKET_ROWS >= rows), HEX_DIGITS)
-    place = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    # Rows without a key are told apart by their texts.
+    place = F.md5(F.coalesce(F.col(key).cast("string"), F.col(text), F.lit("")))
     docs = df.drop("size", "source_size", "target", "copies", "taken", "positions").withColumns({
         "size": n_words(text),
         "_null": F.col(source).isNull(),
@@ -115,14 +117,22 @@ def training_order(plan: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix is read off the training order: words taken and places of the copies that
+    stand in it."""
     plan = plan_mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken",
-                       F.round(F.get("positions", F.lit(0)), 9).alias("position"))
+    plan = materialize(plan.select("doc_id", "size", "source_size", "target", "positions",
+                                   F.monotonically_increasing_id().alias("row")))
+    order = training_order(plan.select("row", "size", "positions"), key="row")
+    taken = order.groupBy("row").agg(F.sum("size").alias("taken"), F.min("position").alias("first"),
+                                     F.max("position").alias("last"), F.count(F.lit(1)).alias("copies"))
+    return plan.join(taken, "row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.round("first", 9).alias("position"), F.when(F.col("copies") > 1, F.round("last", 9)).alias("second_position"))
 
 
 OP10_SQL = """
 with recursive d as (
-  select doc_id, source, md5(coalesce(doc_id::varchar, '')) as place,
+  select doc_id, source, md5(coalesce(doc_id::varchar, text, '')) as place,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size
   from documents),
 s as (
@@ -148,12 +158,14 @@ p as (
                                   rows between unbounded preceding and 1 preceding), 0) + size / 2.0::double as u
   from d join w on d.source is not distinct from w.source join t using (k)),
 q as (select *, ([0.5, 0.0, -0.5]::double[])[(k % 3) + 1] as a,
-             (u < target)::int + (u + source_size < target)::int as copies from p)
+             (u < target)::int + (u + source_size < target)::int as copies from p),
+z as (select *, u / target as x, (u + source_size) / target as y from q)
 select doc_id, size, source_size, target, (copies * size)::bigint as taken,
-       case when copies > 0 then round(2.0::double * (u / target)
-         / ((1.0::double - a) + sqrt((1.0::double - a) * (1.0::double - a) + 4.0::double * a * (u / target))), 9)
-       end as position
-from q
+       case when copies > 0 then round(2.0::double * x / ((1.0::double - a)
+         + sqrt((1.0::double - a) * (1.0::double - a) + 4.0::double * a * x)), 9) end as position,
+       case when copies > 1 then round(2.0::double * y / ((1.0::double - a)
+         + sqrt((1.0::double - a) * (1.0::double - a) + 4.0::double * a * y)), 9) end as second_position
+from z
 """
 
 QUERIES = {"op10_curriculum_mix": op10_curriculum_mix}
