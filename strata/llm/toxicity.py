@@ -1,14 +1,16 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded first: case, accents, look-alike letters of other scripts and digits
-standing for letters all become plain letters, so disguised spellings meet the lexicon.
-The lexicon holds whole words and word beginnings with weights, matched by one
-Aho-Corasick automaton over the folded text; a word counts its heaviest match, and
-words on the exception list count nothing. The sum of weights, normalised by length,
-gives the score through a logistic curve.
+Texts are folded first: case, accents, look-alike letters of other scripts, and digits and
+signs standing for letters beside a letter all become plain letters, so disguised spellings
+meet the lexicon wherever in a word the disguise is.
+The lexicon holds whole words and word beginnings with weights, and exception phrases of
+one to three words, all in one Aho-Corasick automaton over the folded text. A word counts
+its heaviest match; a match inside an exception phrase counts nothing. The sum of weights,
+normalised by length, gives the score through a logistic curve.
 
 Weights, exceptions and curve are learned from labelled rows, at most ``SAMPLE_ROWS`` of
-them (an even sample by hash of the key), which bounds everything the learning collects.
+them (an even sample by hash of the key), which bounds everything the learning collects: an
+entry is in at least ``MIN_SHARE`` of the sample's toxic texts, an exception in ``MIN_ROWS``.
 Every text is scored whole.
 
 Defined results: null and empty texts score as texts without a match; rows without a
@@ -39,14 +41,15 @@ SAMPLE_ROWS = 40_000          # labelled rows that are learned from, at most (ab
 MIN_ROWS = 4                  # toxic texts that a lexicon entry occurs in, at least,
 MIN_SHARE = 1 / 300           # and at least this share of them
 MIN_RATIO = 6.0               # times as frequent among toxic rows as among others
-MAX_ENTRIES = 20_000          # lexicon entries, strongest first
+PHRASE_RATIO = 6.0            # times as frequent among clean rows as among toxic ones, for a phrase of words
+SPREAD = 64                   # parts of the sample
 STEMS = (4, 5, 6)             # lengths of word beginnings that may become entries
 LENGTH_NORM = 20.0            # words added to a text's length before normalising
 
 # Letters of other scripts that look like Latin ones, and digits read as letters.
 LOOKALIKES = dict(zip("аеорсхуіјѕһԁԛԝкмтвнαεορτυικνχ", "aeopcxyijshdqwkmtbhaeoptuiknx"))
-DIGITS = dict(zip("013457", "oieast"))
-_DIGIT_IN_WORD = re.compile(r"[013457@$]+(?=[^\W\d_])")      # before a letter
+DIGITS = dict(zip("0123456789", "oizeasgtbg"))
+_DIGIT_IN_WORD = re.compile(r"[0-9@$]+(?=[^\W\d_])|(?<=[^\W\d_])[0-9@$]+")      # beside a letter
 _TABLE = str.maketrans(LOOKALIKES)
 _DIGIT_TABLE = str.maketrans(DIGITS | {"@": "a", "$": "s"})
 _BREAK = re.compile(r"[\W\d_]+")
@@ -72,32 +75,56 @@ def entries(folded: str) -> set[str]:
     return out
 
 
+def phrases_at(folded: str, start: int) -> list[str]:
+    """Phrases of one to three words with the word that starts there and its neighbours."""
+    before = folded.rfind(" ", 0, start - 1) if start > 1 else 0
+    end = folded.index(" ", start)
+    after = folded.find(" ", end + 1)
+    out = [folded[start - 1:end + 1]]
+    if start > 1:
+        out.append(folded[before:end + 1])
+    if after > 0:
+        out.append(folded[start - 1:after + 1])
+        if start > 1:
+            out.append(folded[before:after + 1])
+    return out
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
-    exceptions: set[str] = field(default_factory=set)     # folded words
+    exceptions: set[str] = field(default_factory=set)     # folded phrases, " word word "
     curve: tuple[float, float, float] = (-30.0, 0.0, 0.0)
 
     def automaton(self) -> ahocorasick.Automaton:
         a = ahocorasick.Automaton()
         for entry, weight in self.weights.items():
             a.add_word(entry, (len(entry), weight))
+        for phrase in self.exceptions:                    # instead of an entry of the same spelling
+            a.add_word(phrase, (len(phrase), None))
         if self.weights:
             a.make_automaton()
         return a
 
     def hits(self, automaton: ahocorasick.Automaton, folded: str) -> dict[int, float]:
-        """Heaviest weight by start of the matched word."""
+        """Heaviest weight by start of the matched word, of words outside all exceptions."""
         best: dict[int, float] = {}
         if not self.weights:
             return best
+        excused = []
         for end, (length, weight) in automaton.iter(folded):
             start = end - length + 2
-            if weight > best.get(start, 0.0):
+            if weight is None:
+                excused.append((start, end))
+            elif weight > best.get(start, 0.0):
                 best[start] = weight
-        if self.exceptions:
-            for start in list(best):
-                if folded[start:folded.index(" ", start)] in self.exceptions:
+        if excused and best:
+            excused.sort()
+            at = reach = 0
+            for start in sorted(best):
+                while at < len(excused) and excused[at][0] <= start:
+                    reach, at = max(reach, excused[at][1]), at + 1
+                if start < reach:
                     del best[start]
         return best
 
@@ -170,8 +197,7 @@ def learn(sample: DataFrame) -> Lexicon:
               .groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     ratio = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
     strong = (counts.filter(F.col("toxic") >= least).withColumn("ratio", ratio)
-              .filter(F.col("ratio") >= MIN_RATIO)
-              .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "entry").limit(MAX_ENTRIES).collect())
+              .filter(F.col("ratio") >= MIN_RATIO).collect())
     weights = {r["entry"]: float(np.log(r["ratio"])) for r in strong}
     lexicon = Lexicon(weights)
 
@@ -181,19 +207,20 @@ def learn(sample: DataFrame) -> Lexicon:
             found: dict[str, list[int]] = {}
             for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
                 folded = fold_text(text or "")
-                for w in {folded[i:folded.index(" ", i)] for i in lexicon.hits(automaton, folded)}:
-                    found.setdefault(w, [0, 0])[1 if label else 0] += 1
+                for phrase in {p for i in lexicon.hits(automaton, folded) for p in phrases_at(folded, i)}:
+                    found.setdefault(phrase, [0, 0])[1 if label else 0] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.string()), *[pa.array([c[k] for c in found.values()], pa.int64()) for k in (0, 1)]],
-                ["word", "clean", "toxic"])
+                ["phrase", "clean", "toxic"])
 
-    # Words that a stem matches but that are no more frequent among toxic rows.
-    innocent = (sample.mapInArrow(matched, "word string, clean long, toxic long").groupBy("word")
+    # Words that a stem matches but that are no more frequent among toxic rows, and phrases
+    # round a matched word that belong to clean rows.
+    times = F.when(F.size(F.split(F.trim("phrase"), " ")) > 1, PHRASE_RATIO).otherwise(1.0)
+    innocent = (sample.mapInArrow(matched, "phrase string, clean long, toxic long").groupBy("phrase")
                 .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
                 .filter((F.col("clean") >= MIN_ROWS)
-                        & (F.col("clean") * F.lit(n_toxic) >= F.col("toxic") * F.lit(n_clean)))
-                .orderBy(F.desc("clean"), "word").limit(MAX_ENTRIES).collect())
-    lexicon.exceptions = {r["word"] for r in innocent}
+                        & (F.col("clean") * F.lit(n_toxic) >= times * F.col("toxic") * F.lit(n_clean))).collect())
+    lexicon.exceptions = {r["phrase"] for r in innocent}
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
@@ -226,7 +253,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", nam
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    return learn(materialize(labelled_sample(docs, labels)))
+    return learn(materialize(labelled_sample(docs, labels).repartition(SPREAD)))
 
 
 def op8_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
