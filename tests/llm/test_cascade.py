@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import cascade
+from strata.session import materialize
 from tests.llm.helpers import SF, edge_docs, empty_docs, write_tables
 from tools.compare import compare_one, duck
 
@@ -42,3 +44,30 @@ def test_repeated_windows_are_counted_once_each(spark):
     got = {r["doc_id"]: r["n_repeat_words"] for r in cascade.measure(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 16, 2: 30, 3: 0}
+
+
+def test_branches_after_a_rejection_do_not_run(spark):
+    """A costly rule, here one that fails when it is evaluated, is not touched by rows that an
+    earlier rule or the base has rejected."""
+    df = spark.range(100).select("id", (F.col("id") < 10).alias("base"))
+    cheap = cascade.Rule("cheap", F.col("id") < 90)
+    costly = cascade.Rule("costly", F.when(F.col("id") < 90, F.raise_error(F.lit("run"))).cast("boolean"))
+    names = {r["failed_rule"]: r["n"] for r in cascade.cascade(df, [cheap, costly], given_up=F.col("base")).groupBy("failed_rule")
+             .agg(F.count("*").alias("n")).collect()}
+    assert names == {"cheap": 80, None: 20}
+    with pytest.raises(Exception, match="run"):
+        cascade.cascade(df, [costly, cheap], given_up=F.col("base")).collect()
+    assert cascade.cascade(df.filter("base"), [costly], given_up=F.col("base")).filter("failed_rule is null").count() == 10
+
+
+def test_measures_of_rules_stand_in_their_branches(spark):
+    rules = cascade.default_rules()
+    plan = cascade.cascade(cascade.measure(edge_docs(spark)), rules, given_up=F.col("base_failed"))
+    assert not {"n_distinct_words", "capitals"} & set(plan.columns)
+
+
+def test_estimates_are_stable(spark):
+    sample = materialize(cascade.measure(spark.read.parquet(f"{SF}/documents.parquet").select("text")))
+    orders = [[e.rule.name for e in cascade.estimate(sample.select(*sample.columns[1:], "text"), cascade.default_rules()) if e.rejected]
+              for _ in range(3)]
+    assert orders[0] == orders[1] == orders[2]
