@@ -258,14 +258,16 @@ def _bounded(frame: DataFrame) -> DataFrame:
 def not_found(passages: DataFrame, owners: DataFrame) -> DataFrame:
     """The distinct passages (``owner``, ``text``) that no text of their owner holds."""
     distinct = materialize(passages.groupBy("owner", "text").agg(F.max("n").alias("n")))
-    words = distinct.groupBy("owner").agg(F.sum("n").alias("words"))
-    shards = max(1, (words.agg(F.sum("words")).first()[0] or 0) // SHARD_WORDS)
+    words = materialize(distinct.groupBy("owner").agg(F.sum("n").alias("words")))
+    texts = owners.join(words.select("owner"), "owner", "left_semi")
+    load = sum(f.agg(F.sum(c)).first()[0] or 0 for f, c in ((words, "words"), (texts, "n")))
+    shards = 1 + load // SHARD_WORDS
     many = materialize(words.filter(F.col("words") > SHARD_WORDS)
                        .select("owner", F.ceil(F.col("words") / SHARD_WORDS).cast("long").alias("split")))
     split = F.coalesce("split", F.lit(1).cast("long"))
     shard = F.pmod(F.xxhash64("owner", "salt"), F.lit(shards)).alias("shard")
     patterns = distinct.join(many, "owner", "left").withColumn("salt", F.pmod(F.xxhash64("text"), split))
-    texts = owners.join(many, "owner", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), split - 1)))
+    texts = texts.join(many, "owner", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), split - 1)))
     rows = (patterns.select(shard, F.lit(PATTERN).alias("role"), "owner", "text")
             .unionByName(texts.select(shard, F.lit(TEXT).alias("role"), "owner", "text")))
     return materialize(rows.repartition("shard").sortWithinPartitions("shard", "role").mapInArrow(_search, "owner long, text binary"))
@@ -293,7 +295,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
               .join(owned, "hash").groupBy("stretch").agg(F.collect_list(F.struct("hash", "owner")).alias("wanted")))
     cut = materialize(texts.join(wanted, "stretch").select(*document, "start", "text", "wanted").mapInArrow(_passages, PASSAGES))
     # Texts of an owner's key, each once.
-    owners = cut.filter("key = owner").select("owner", "text").distinct()
+    owners = materialize(cut.filter("key = owner").groupBy("owner", "text").agg(F.max("n").alias("n")))
     found = cut.filter("key > owner")
 
     span = [*document, "start", (F.col("start") + F.col("n")).alias("end")]
