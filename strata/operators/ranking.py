@@ -100,9 +100,14 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     order_cols = [F.col(c).asc_nulls_first() for c in order]
     big = None
     if blocks and max_group_rows is not None:
-        big = large_groups(df, by, max_group_rows)
-        if big.isEmpty():
+        # A frame of no more rows than that has no such group; the count of a written one
+        # comes from its footers.
+        if df.count() <= max_group_rows:
             blocks = None
+        else:
+            big = large_groups(df, by, max_group_rows)
+            if big.isEmpty():
+                blocks = None
     if not blocks:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_cols)))
 
@@ -139,6 +144,8 @@ def range_slices(df: DataFrame, by: Sequence[str], sorts: Sequence[Column], max_
     the rows of large groups take part in the range sort, and they are written, because cuts
     depend on a sample and must be drawn once. Pass a written ``df``.
     """
+    if df.count() <= max_group_rows:
+        return df.withColumn("_slice", F.lit(0))
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows)
     big = materialize(sizes.select(*[F.col(c).alias(f"_big_{c}") for c in by], "_n"))
     total = big.agg(F.sum("_n")).first()[0]

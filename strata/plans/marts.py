@@ -16,6 +16,7 @@ from strata.constants import (
 from strata.functions.exact import exact_avg
 from strata.functions.predicates import all_of, contains_text, equals_text, in_list
 from strata.operators.paging import page, page_meta
+from strata.session import materialize
 
 
 
@@ -52,6 +53,21 @@ def tracks(dm: DataFrame, *, page_no: int = 1, page_size: int = 50, **filters) -
                 ["track_id"], page_no, page_size)
 
 
+def tracks_page_ranked(rows: DataFrame, *, page_no: int = 1, page_size: int = 50, **filters) -> DataFrame:
+    """The page that ``tracks`` gives, from written mart rows without ``rank_in_genre``: the page
+    is cut first, and only its (genre, popularity) pairs, one page of them at most, are
+    ranked, by counting the rows of their genres that are more popular."""
+    shown = materialize(tracks(rows, page_no=page_no, page_size=page_size, **filters))
+    pairs = F.broadcast(shown.select(F.col("genre").alias("_g"), F.col("popularity").alias("_p")).distinct())
+    levels = rows.groupBy("genre", "popularity").agg(F.count(F.lit(1)).alias("_n"))
+    above = (F.col("popularity") > F.col("_p")) | (F.col("_p").isNull() & F.col("popularity").isNotNull())
+    ranks = (levels.join(pairs, F.col("genre").eqNullSafe(F.col("_g"))).groupBy("_g", "_p")
+             .agg((F.coalesce(F.sum(F.when(above, F.col("_n"))), F.lit(0)) + 1).alias("rank_in_genre")))
+    same = F.col("genre").eqNullSafe(F.col("_g")) & F.col("popularity").eqNullSafe(F.col("_p"))
+    return (shown.join(ranks, same).drop("_g", "_p")
+            .orderBy(F.col("popularity").desc_nulls_last(), F.col("track_id").asc_nulls_first()))
+
+
 def tracks_meta(dm: DataFrame, *, page_no: int = 1, page_size: int = 50, **filters) -> DataFrame:
     return page_meta(tracks_filter(dm, **filters), page_no, page_size)
 

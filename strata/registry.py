@@ -529,7 +529,8 @@ def q_raw_top(spark, sf):
 
 
 def q_page(spark, sf):
-    return marts.tracks(mart_tracks(spark, sf), page_no=3, page_size=50)
+    rows = materialize(mart_tracks_unranked(spark, sf))
+    return marts.tracks_page_ranked(rows, page_no=3, page_size=50).select(*gold.TRACK_COLUMNS, "ingestion_date")
 
 
 def q_page_meta(spark, sf):

@@ -52,3 +52,16 @@ def test_track_filters_zero_is_a_value(spark):
     assert marts.tracks_filter(dm, genre="POP").count() == 1
     assert marts.tracks_filter(dm, genre="POP", collation="UTF8_BINARY").count() == 0
     assert marts.tracks_filter(dm, genre="pop", year=2001).count() == 0
+
+
+def test_a_page_ranked_after_it_is_cut(spark):
+    """Equal to ranking all rows first: ties, a null genre and a null popularity included."""
+    from strata.operators.ranking import rank_within
+    df = spark.range(400).selectExpr("concat('t', lpad(id, 4, '0')) as track_id", "if(id % 7 = 0, null, concat('g', id % 4)) as genre",
+                                     "cast(if(id % 31 = 0, null, id * 37 % 23) as int) as popularity")
+    ranked = rank_within(df, ["genre"], "popularity", name="rank_in_genre")
+    for p in (1, 4, 8, 9):
+        got = marts.tracks_page_ranked(df, page_no=p, page_size=50)
+        assert got.collect() == marts.tracks(ranked, page_no=p, page_size=50).collect()
+    assert (marts.tracks_page_ranked(df, genre="G2", page_size=20, collation="UNICODE_CI_AI").collect()
+            == marts.tracks(ranked, genre="g2", page_size=20).collect())
