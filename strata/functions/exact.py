@@ -65,10 +65,12 @@ def exact_sum(c: str | Column, *, scale: int = SCALE, integral: bool = False) ->
     x = _col(c)
     if integral:
         return F.sum(x.cast("bigint")).cast("decimal(38,0)")
-    return F.sum(F.when(~_odd(x), x).cast(f"decimal(38,{scale})"))
+    return F.sum(F.when(~is_odd(x), x).cast(f"decimal(38,{scale})"))
 
 
-def _odd(x: Column) -> Column:
+def is_odd(c: str | Column) -> Column:
+    """NaN and infinities, which no exact sum holds."""
+    x = _col(c)
     return F.isnan(x) | F.abs(x.cast("double")).eqNullSafe(F.lit(float("inf")))
 
 
@@ -84,4 +86,4 @@ def exact_avg(c: str | Column, digits: int, *, scale: int = SCALE, integral: boo
     exact = rounded_mean(exact_sum(x, scale=scale, integral=integral), F.count(x), digits, scale=0 if integral else scale)
     if integral:
         return exact
-    return F.coalesce(F.sum(F.when(_odd(x), x.cast("double"))), exact)
+    return F.coalesce(F.sum(F.when(is_odd(x), x.cast("double"))), exact)

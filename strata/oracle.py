@@ -429,4 +429,5 @@ def oracle_sql() -> dict[str, str]:
                                 "c_custkey, c_name, c_acctbal, c_mktsegment"),
         "page_customers_meta": _meta("customer", "c_mktsegment = 'BUILDING'", 1, 75),
     }
+    q["summary_merged"], q["pop_by_genre_merged"] = q["summary"], q["pop_by_genre"]
     return q

@@ -20,10 +20,11 @@ from strata.operators.paging import page, page_meta
 from strata.operators.quality import first_failure, key_present
 from strata.operators.ranking import lag_by_range, rank_by_histogram, rank_by_range
 from strata.operators.split import normalize_wide, split_counts, split_wide
-from strata.plans import checks, gold, marts, silver
+from strata.plans import checks, gold, headline, marts, silver
 from strata.schemas import AUDIO, CATALOGUE_COLS, AUDIO_COLS, KEY, WIDE_TYPED
 from strata.session import materialize, scratch_database, scratch_path
 from strata.sinks.clustered import write_clustered
+from strata.sinks.runs import RunStore
 from strata.sinks.writers import write_csv, write_raw_parquet, write_table
 from strata.sources.files import read_csv_typed, read_csv_wide, read_raw_parquet, read_table
 from strata.sources.wide import read_csv_wide_parallel
@@ -218,7 +219,6 @@ def q_silver_runs(spark, sf):
     """Two appended runs as repeatable ones: the second dies between its statistics tables, is
     repeated, and is repeated again after it was committed."""
     from strata.plans.jobs import JobConfig, build_silver
-    from strata.sinks.runs import RunStore
     raw, root = scratch_path(spark, "raw_runs"), scratch_path(spark, "silver_runs")
     cat, aud = sources(spark, sf)
     cfg = JobConfig(raw_root=raw, silver_root=root, table_mode="append", run_id="first")
@@ -512,6 +512,23 @@ def q_pop_by_genre(spark, sf):
     return marts.popularity_by_genre(mart_tracks_unranked(spark, sf), SEL_GENRES, SEL_YEARS)
 
 
+def _headline(spark, sf):
+    """Partial metrics of two landed days, the second one landed twice."""
+    store, tracks = RunStore(spark, scratch_path(spark, "headline")), materialize(mart_tracks_unranked(spark, sf))
+    late = F.substring("track_id", 1, 1) >= "8"
+    for day, rows in ((DAY_1, ~late), (DAY_2, late), (DAY_2, late)):
+        headline.add_run(store, day, tracks.filter(rows))
+    return store.read(headline.TABLE)
+
+
+def q_summary_merged(spark, sf):
+    return headline.summary(_headline(spark, sf), SEL_GENRES, SEL_YEARS)
+
+
+def q_pop_by_genre_merged(spark, sf):
+    return headline.popularity_by_genre(_headline(spark, sf), SEL_GENRES, SEL_YEARS)
+
+
 def q_evolution(spark, sf):
     return marts.evolution(mart_trends(spark, sf), EVOLUTION_GENRES)
 
