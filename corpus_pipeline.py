@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import curriculum, decontaminate, hilbert, minhash, toxicity
 from strata.llm.common import free_name, read
-from strata.session import materialize
+from strata.session import scratch_path, scratch_scope
 
 REJECT_SCORE = 0.5
 
@@ -65,6 +65,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each result is written as Parquet and read again as the next input."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)          # outlives what the stage itself writes
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
