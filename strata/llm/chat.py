@@ -99,7 +99,7 @@ class PartVisitor:
         text = part.get("text") or ""
         start = self.length
         self.put(escape(text))
-        self.tokens += len(text.split())
+        self.tokens += len(text.encode().split())            # words by the six ASCII spaces
         if self.masked and self.length > start:
             self.loss.append({"start": start, "end": self.length})
 
@@ -254,7 +254,7 @@ select conv_id, count(*)::bigint as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, r0 nulls first, t0 nulls first) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length('<turn >') + 1 + length('</turn>') + 1 + length(text) + length(regexp_replace(text, '[^\\<]', '', 'g'))
       + length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')))::bigint as formatted_chars,
-  sum(len(regexp_extract_all(text, '\S+')))::bigint as n_tokens
+  sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))::bigint as n_tokens
 from m group by conv_id
 """
 

@@ -78,3 +78,9 @@ def test_long_conversations_are_streamed_turn_by_turn(spark):
         assert "".join(r["formatted"] for r in turns) == "".join(v.out)
         assert [s.asDict() for r in turns for s in r["loss"]] == v.loss
         assert sum(r["n_tokens"] for r in turns) == v.tokens
+
+
+def test_words_end_at_ascii_spaces_only():
+    v = chat.PartVisitor()
+    v.message(0, "user", [{"type": "text", "text": "a b c d\x1ce\tf"}])
+    assert v.tokens == 3
