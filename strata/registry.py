@@ -432,7 +432,7 @@ def q_gold_typed_hits(spark, sf):
 def q_gold_counts(spark, sf):
     """Row count of each gold mart (one row per mart), all built from one silver table."""
     from functools import reduce
-    s = silver_full(spark, sf)
+    s = materialize(silver_full(spark, sf))
     built = {"dm_track_popularity": gold.dm_tracks(s, AS_OF),
              "dm_genre_trends": gold.dm_genre_trends(s, AS_OF),
              "dm_top_artists": gold.dm_top_artists(s, AS_OF),
