@@ -78,7 +78,8 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
     """One row per document with a hit, by ``ROW_KEY``: ``spans`` (disjoint runs of hit
     words as start, end), ``n_hit`` words and the sorted ``items`` found."""
     windows = materialize(benchmark_windows(bench, n))
-    size = windows.agg(F.sum(F.octet_length(F.array_join("window", " ")) + 64).alias("bytes"),
+    sent_bytes = [F.octet_length(F.array_join(F.col(c).cast("array<string>"), " ")) for c in ("window", "items")]
+    size = windows.agg(F.sum(sum(sent_bytes, F.lit(64))).alias("bytes"),
                        F.collect_set("n").alias("lengths")).first()
     lengths = sorted(size["lengths"], reverse=True)             # at most n of them
     found = windows.withColumn("_w", F.transform("window", lambda w: F.xxhash64(w)))
