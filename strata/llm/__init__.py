@@ -1,8 +1,8 @@
 """Operators for preparing large text corpora.
 
 Nothing outside this package imports it. Functions that run inside Spark tasks are
-shipped by value, so executors need only Python, numpy and pyarrow, not this
-repository on their path.
+shipped by value, so executors need Python, numpy and pyarrow (and pyahocorasick for
+toxicity and passages), but not this repository on their path.
 """
 
 import sys
