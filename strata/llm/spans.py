@@ -225,7 +225,7 @@ def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _window_hashes(bytes_: list[bytes], values: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of every window of every string, with the string's number and the start."""
+    """The hash of every window of every string, with the string's number and the start."""
     off = np.concatenate([[0], np.cumsum([len(x) for x in bytes_])])
     raw = np.frombuffer(b"".join(bytes_), np.uint8)
     powers.need(len(raw) + 1)
