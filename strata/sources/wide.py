@@ -8,10 +8,13 @@ out as a composition of small functions:
 1. Every line maps the state it starts in (outside or inside a quoted field) to the state it
    ends in, by two regular expressions that follow the reader's rules for quotes. A map is a
    constant, the identity or a swap, and so is any run of lines.
-2. Inside a split, windows over line skeletons (file, split, place; no text) give the map of
-   all lines before a line; one row a split is then composed along its file, from outside.
+2. A split is cut into blocks of at most ``BLOCK`` lines, so no window holds more than that.
+   Inside a block, windows over line skeletons (file, block, place; no text) give the map of
+   all lines before a line; one row a block is then composed along its file, from outside.
 3. Lines that start outside begin a record; lines that start inside belong to the last
-   beginning, in an earlier split if need be. Only records of several lines are gathered.
+   beginning, in an earlier block if need be. The texts are dealt by block once and their
+   records gathered and written there; only the records that go on in a later block (one a
+   block at most) are dealt again.
 4. Records are parsed by ``from_csv``.
 
 As in Spark's reader, the first line end of a file says whether its lines end with LF or CRLF;
@@ -26,6 +29,9 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 from strata.sources.files import read_csv_wide
 
+BLOCK_BITS = 16
+BLOCK = 1 << BLOCK_BITS        # lines
+
 # A quoted text up to its end, a whole field, and an opened field at the end of a line.
 _QUOTED = r'[^"]*+(?:""[^"]*+)*+'
 _FIELD = rf'(?:"{_QUOTED}"[^,]*+|[^",][^,]*+)?+'
@@ -35,15 +41,16 @@ STAYS_OPEN = rf'^{_QUOTED}(?:$|"[^,]*+,(?:{_FIELD},)*+{_OPEN})'
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, split and place in the split, and the state each ends in when
-    it starts outside (``_out``) or inside (``_in``) a quoted field."""
+    """Lines with their file, block (the split's start and a count) and place in the block, and
+    the state each ends in when it starts outside (``_out``) or inside (``_in``) a quoted field."""
     # One flag a line, not a backtracking search: lines without a quote keep their state.
     v = F.make_valid_utf8("value")
     quoted = F.contains("_line", F.lit('"'))
     return (spark.read.option("lineSep", "\n").text(path)
-            .select(v.alias("_line"), F.col("_metadata.file_path").alias("_file"),
-                    F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"))
-            .select("*", (quoted & F.col("_line").rlike(OPENS)).alias("_out"),
+            .select(v.alias("_line"), F.col("_metadata.file_path").alias("_path"),
+                    F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+            .select("_line", "_path", F.struct("_start", F.shiftright("_at", BLOCK_BITS).alias("block")).alias("_split"), "_at",
+                    (quoted & F.col("_line").rlike(OPENS)).alias("_out"),
                     (~quoted | F.col("_line").rlike(STAYS_OPEN)).alias("_in")))
 
 
@@ -67,53 +74,56 @@ def _state(start: Column) -> Column:
     return F.coalesce(F.col("_fixed"), start != F.col("_swapped"))
 
 
-def _unended(lines: DataFrame) -> DataFrame:
-    """Lines without the CR of files whose first line ends with CRLF."""
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines with a number for their file (a path in every row would fill the windows) and
+    ``_crlf``: whether the file's first line ends with CRLF."""
     cr = F.endswith("_line", F.lit("\r"))
-    files = materialize(lines.groupBy("_file").agg(F.min_by(cr, F.struct("_split", "_at")).alias("_crlf")))
-    return (lines.join(files, "_file")
-            .withColumn("_line", F.when(F.col("_crlf"), F.regexp_replace("_line", r"\r\z", "")).otherwise(F.col("_line"))))
+    files = lines.groupBy("_path").agg(F.min_by(cr, F.struct("_split", "_at")).alias("_crlf"))
+    files = materialize(files.withColumn("_file", F.row_number().over(Window.orderBy("_path"))))     # one row a file
+    return lines.join(files, "_path").drop("_path")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """``_file``, ``_split``, ``_at`` (place of the first line) and ``record`` (its text) of every
-    record of the CSV files at ``path``, headers included."""
-    lines = materialize(_lines(spark, path))
-    skeleton = _composed(lines.drop("_line"), ["_file", "_split"], "_at")
+    """``_file`` (a number), ``_split``, ``_at`` (place of the first line) and ``record`` (its text)
+    of every record of the CSV files at ``path``, headers included."""
+    lines, block = _numbered(materialize(_lines(spark, path))), ["_file", "_split"]
+    skeleton = _composed(lines.drop("_line", "_crlf"), block, "_at")
     after = F.struct(*[F.when(F.col(c), F.col("_in")).otherwise(F.col("_out")).alias(n)
                        for c, n in (("_from_out", "_out"), ("_from_in", "_in"))])
     ends = (skeleton.withColumns({"_from_out": _state(F.lit(False)), "_from_in": _state(F.lit(True))})
-            .groupBy("_file", "_split").agg(F.max_by(after, "_at").alias("m")))
-    starts = materialize(_composed(ends.select("_file", "_split", "m.*"), ["_file"], "_split")
-                         .select("_file", "_split", _state(F.lit(False)).alias("_inside")))
-    upto = Window.partitionBy("_file", "_split").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (skeleton.join(starts, ["_file", "_split"])
-              .withColumn("_begins", ~_state(F.col("_inside")))
-              .withColumn("_ends_open", F.when(F.col("_begins"), F.col("_out")).otherwise(F.col("_in")))
-              .withColumn("_first", F.last(F.when(F.col("_begins"), F.col("_at")), ignorenulls=True).over(upto)))
-    # Lines of records that go on: one that begins a record and stays open, or does not begin one.
-    parts = materialize(placed.filter(~F.col("_begins") | F.col("_ends_open")).select("_file", "_split", "_at", "_first"))
-    begun = (placed.filter("_begins").groupBy("_file", "_split").agg(F.max("_at").alias("_last")))
+            .groupBy(*block).agg(F.max_by(after, "_at").alias("m")))
+    starts = materialize(_composed(ends.select(*block, "m.*"), ["_file"], "_split")
+                         .select(*block, _state(F.lit(False)).alias("_inside")))
+    upto = Window.partitionBy(*block).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    begins = F.when(~_state(F.col("_inside")), F.col("_at"))
+    unended = F.when(F.col("_crlf"), F.regexp_replace("_line", r"\r\z", "")).otherwise(F.col("_line"))
+    # A block's records; lines of one begun in an earlier block have no ``_first`` here.
+    pieces = materialize(
+        _composed(lines, block, "_at").join(starts, block).withColumn("_first", F.last(begins, ignorenulls=True).over(upto))
+        .groupBy(*block, "_first").agg(F.sort_array(F.collect_list(F.struct("_at", unended.alias("_line")))).alias("p"))
+        .select(*block, "_first", F.array_join(F.transform("p", lambda x: x["_line"]), "\n").alias("record")))
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    carried = materialize(starts.join(begun, ["_file", "_split"], "left")
-                          .withColumn("_carried", F.last(F.when(F.col("_last").isNotNull(), F.struct("_split", "_last")), ignorenulls=True).over(earlier))
-                          .select("_file", "_split", F.col("_carried._split").alias("_c_split"), F.col("_carried._last").alias("_c_at")))
-    line = _unended(lines)
-    parts = parts.join(carried, ["_file", "_split"]).select(
-        "_file", F.when(F.col("_first").isNull(), F.col("_c_split")).otherwise(F.col("_split")).alias("_r_split"),
-        F.coalesce("_first", "_c_at").alias("_r_at"), "_split", "_at")
-    whole = line.join(parts.select("_at"), "_at", "left_anti").select("_file", "_split", "_at", F.col("_line").alias("record"))
-    joined = (line.select("_at", "_line").join(parts, "_at").groupBy("_file", "_r_split", "_r_at")
-              .agg(F.sort_array(F.collect_list(F.struct("_split", "_at", "_line"))).alias("p"))
+    begun = pieces.groupBy(*block).agg(F.max("_first").alias("_last"))
+    carried = F.last(F.when(F.col("_last").isNotNull(), F.struct("_split", "_last")), ignorenulls=True).over(earlier)
+    going_on = materialize(begun.join(starts, block).withColumn("_c", carried).filter("_inside")
+                           .select(*block, F.col("_c._split").alias("_r_split"), F.col("_c._last").alias("_r_at")))
+    heads = going_on.select("_file", F.col("_r_split").alias("_split"), F.col("_r_at").alias("_first")).distinct()
+    here = ["_file", "_split", "_first"]
+    whole = (pieces.filter(F.col("_first").isNotNull()).join(heads, here, "left_anti")
+             .select("_file", "_split", F.col("_first").alias("_at"), "record"))
+    first = pieces.join(heads, here, "left_semi").select("_file", F.col("_split").alias("_r_split"), F.col("_first").alias("_r_at"), "_split", "record")
+    later = pieces.filter(F.col("_first").isNull()).join(going_on, block).select("_file", "_r_split", "_r_at", "_split", "record")
+    joined = (first.unionByName(later).groupBy("_file", "_r_split", "_r_at")
+              .agg(F.sort_array(F.collect_list(F.struct("_split", "record"))).alias("p"))
               .select("_file", F.col("_r_split").alias("_split"), F.col("_r_at").alias("_at"),
-                      F.array_join(F.transform("p", lambda x: x["_line"]), "\n").alias("record")))
+                      F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record")))
     return whole.unionByName(joined)
 
 
 def read_csv_wide_parallel(spark: SparkSession, path: str) -> DataFrame:
     """What ``read_csv_wide`` gives (all strings, columns of the header, quoted newlines and
-    ``""`` legal, bad bytes replaced), with files split among tasks. The lines are written
-    once; the result reads them."""
+    ``""`` legal, bad bytes replaced), with files split among tasks. The lines and
+    the records are each written once; the result reads them."""
     names = read_csv_wide(spark, path).columns
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     rows = records(spark, path).filter(F.col("record") != "")

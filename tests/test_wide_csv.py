@@ -71,3 +71,19 @@ def test_header_only_and_one_long_record(spark, tmp_path, small_splits):
     got = rows(read_csv_wide_parallel(spark, str(tmp_path / "l.csv")))
     assert got == [("1", "x\n" * 500), ("2", "y")]
     assert records(spark, str(tmp_path / "l.csv")).count() == 3
+
+
+def test_texts_are_gathered_once_in_small_blocks(spark, tmp_path, small_splits, monkeypatch):
+    """Blocks of four lines, records inside one, across two and across many of them; what is
+    returned reads written records and deals no lines again."""
+    from strata.sources import wide
+    monkeypatch.setattr(wide, "BLOCK_BITS", 2)
+    body = "".join(f'{i},"' + f"part {i}\n" * (i % 23) + f'end"\n' for i in range(300))
+    for f in "ab":
+        (tmp_path / f"{f}.csv").write_text("n,text\n" + body)
+    want = rows(read_csv_wide(spark, str(tmp_path)))
+    for n in (700, 1 << 27):
+        small_splits(n)
+        df = read_csv_wide_parallel(spark, str(tmp_path))
+        assert "_line" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(df) == want and len(want) == 600
