@@ -9,17 +9,18 @@ window semantics while bounding the work per task:
 * ``lag_within`` with ``blocks``: split each group into ordered blocks, lag inside
   blocks, and carry each block's last value into the next block.
 * ``rank_by_range`` and ``lag_by_range``: only groups above a size are range-sorted by
-  (group, order) and cut where the range sort cuts them, whatever their values; ranks and
-  last values are carried from slice to slice.
+  (group, order) and cut inside the sorted ranges, whatever their values; ranks and last
+  values are carried from slice to slice.
 * ``top_n``: ``rank() <= n`` is planned as a partial ``WindowGroupLimit`` before
   the shuffle, so only candidates are exchanged.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Optional, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import materialize
@@ -135,28 +136,40 @@ def lag_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
 SLICE_ROWS = 1_000_000
 
 
+def range_tasks(spark: SparkSession, rows: int, cut_rows: int) -> int:
+    """Tasks of a range sort whose ranges are cut every ``cut_rows`` rows afterwards: no more
+    than cuts, and beyond the shuffle partitions one for every ``SLICE_ROWS`` rows."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(math.ceil(rows / max(1, cut_rows)), max(usual, math.ceil(rows / SLICE_ROWS))))
+
+
 def range_slices(df: DataFrame, by: Sequence[str], sorts: Sequence[Column], max_group_rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` with ``_slice``: 0 in groups of at most ``max_group_rows`` rows; larger ones are
-    range-sorted by the group and ``sorts`` together and cut into slices of about that many
-    rows, numbered in order. Rows equal in all of ``sorts`` share a slice.
+    range-sorted by the group and ``sorts`` together and cut into slices of at most that many
+    rows, numbered in order (from 1, with gaps). Rows equal in all of ``sorts`` may be cut.
 
     The ranges are those of the data, so no key prefix or time unit has to be guessed. Only
     the rows of large groups take part in the range sort, and they are written, because cuts
-    depend on a sample and must be drawn once. Pass a written ``df``.
+    depend on a sample and must be drawn once. A task cuts all slices of its range, so neither
+    the tasks nor the sample that the driver sees grow with the number of slices. Pass a
+    written ``df``.
     """
     if df.count() <= max_group_rows:
-        return df.withColumn("_slice", F.lit(0))
+        return df.withColumn("_slice", F.lit(0).cast("long"))
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows)
     big = materialize(sizes.select(*[F.col(c).alias(f"_big_{c}") for c in by], "_n"))
     total = big.agg(F.sum("_n")).first()[0]
     if not total:
-        return df.withColumn("_slice", F.lit(0))
+        return df.withColumn("_slice", F.lit(0).cast("long"))
     cond = [df[c].eqNullSafe(big[f"_big_{c}"]) for c in by]
     large = df.join(big, cond, "left_semi")
     keys = [F.col(c).asc_nulls_first() for c in by]
-    slices = 1 + total // max_group_rows
-    cut = materialize(large.repartitionByRange(slices, *keys, *sorts).withColumn("_slice", F.spark_partition_id() + 1))
-    return df.join(big, cond, "left_anti").withColumn("_slice", F.lit(0)).unionByName(cut)
+    tasks = range_tasks(df.sparkSession, total, max_group_rows)
+    place = F.monotonically_increasing_id()                     # the range above 33 bits, the row in it below
+    cut = materialize(large.repartitionByRange(tasks, *keys, *sorts).sortWithinPartitions(*keys, *sorts).withColumn("_place", place)
+                      .withColumn("_slice", 1 + (F.shiftright("_place", 33) * F.lit(1 << 33))
+                                  + F.expr(f"(_place & {(1 << 33) - 1}L) div {max(1, max_group_rows)}")).drop("_place"))
+    return df.join(big, cond, "left_anti").withColumn("_slice", F.lit(0).cast("long")).unionByName(cut)
 
 
 def rank_by_range(df: DataFrame, by: Sequence[str], order: str, *, descending: bool = True, name: str = "rank",

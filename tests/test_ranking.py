@@ -126,3 +126,18 @@ def test_lag_by_range_equals_lag(spark):
     for rows in (100, 10_000):
         got = lag_by_range(df, ["g"], ["ts", "id"], "v", "p", max_group_rows=rows)
         assert got.columns == [*df.columns, "p"] and ranked_pairs(got, "p") == ranked_pairs(want, "p")
+
+
+def test_slices_do_not_need_a_task_each(spark):
+    """Hundreds of slices are cut by as many tasks as a shuffle has."""
+    df = materialize(spark.range(20_000).selectExpr("id", "if(id % 10 = 0, null, -1) as g", "id * 31 % 5003 as v"))
+    sliced = range_slices(df, ["g"], [F.col("v").asc(), F.col("id").asc()], 50)
+    sizes = sliced.filter("_slice > 0").groupBy("g", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 50 and sizes.count() >= 400
+    assert len(sliced.filter("_slice > 0").inputFiles()) - len(df.inputFiles()) <= 8
+    cuts = sliced.groupBy("g", "_slice").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    before = Window.partitionBy("g").orderBy("_slice")
+    assert cuts.withColumn("b", F.lag("high").over(before)).filter("b > low").count() == 0
+    got = lag_by_range(df, ["g"], ["v", "id"], "id", "p", max_group_rows=50)
+    want = df.withColumn("p", F.lag("id").over(Window.partitionBy("g").orderBy("v", "id")))
+    assert ranked_pairs(got, "p") == ranked_pairs(want, "p")
