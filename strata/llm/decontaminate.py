@@ -74,9 +74,13 @@ ROW_KEY = ["_null", "_key", "_text"]
 
 
 def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", every: bool = False) -> DataFrame:
     """One row per document with a hit, by ``ROW_KEY``: ``spans`` (disjoint runs of hit
-    words as start, end), ``n_hit`` words and the sorted ``items`` found."""
+    words as start, end), ``n_hit`` words and the sorted ``items`` found.
+
+    With ``every``, one row per ``ROW_KEY`` of all documents, hit or not, with the document's
+    key, its ``n_words`` and ``copies`` (rows that have this key and text) too: texts
+    are read and cut into words once for both."""
     windows = materialize(benchmark_windows(bench, n))
     sent_bytes = [F.octet_length(F.array_join(F.col(c).cast("array<string>"), " ")) for c in ("window", "items")]
     size = windows.agg(F.sum(sum(sent_bytes, F.lit(64))).alias("bytes"),
@@ -89,7 +93,8 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
     found = found.select(by_length.alias("_hash"), F.col("n").alias("_n"), "window", "items")
     sent = (size["bytes"] or 0) <= BROADCAST_BYTES
 
-    d = docs.select(*[c.alias(k) for k, c in _row_key(docs, key, text).items()],
+    id_ = [F.col(key).alias("_id")] if every else []
+    d = docs.select(*[c.alias(k) for k, c in _row_key(docs, key, text).items()], *id_,
                     normal_words(text).alias("_words"))
     d = d.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     lengths = lengths or [n]                                     # nothing to look for: joins with nothing
@@ -101,20 +106,31 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, key: st
         skipped = F.lit(0)
         for k in lengths:
             skipped = skipped + F.when(F.col("_n") < k, F.greatest(F.size("_words") - k + 1, F.lit(0))).otherwise(0)
-        hits = (d.select(*ROW_KEY, "_words", F.posexplode_outer(
-                    F.concat(*[window_hashes("_hashes", k) for k in lengths])).alias("_i", "hash"))
-                .join(F.broadcast(found), F.col("hash") == F.col("_hash"))
-                .withColumn("_at", F.col("_i") - skipped)
-                .filter(F.slice("_words", F.col("_at") + 1, F.col("_n")) == F.col("window")))
+        # With ``every`` a null stands before the hashes: it meets no window and is the row
+        # of the document itself.
+        own = [F.array(F.lit(None).cast("long"))] if every else []
+        hits = (d.select(*d.columns[:-1], F.posexplode_outer(
+                    F.concat(*own, *[window_hashes("_hashes", k) for k in lengths])).alias("_i", "hash"))
+                .join(F.broadcast(found), F.col("hash") == F.col("_hash"), "left" if every else "inner")
+                .withColumn("_at", F.col("_i") - skipped - len(own)))
+        same = F.slice("_words", F.col("_at") + 1, F.col("_n")) == F.col("window")
+        if every:
+            hits = (hits.filter((F.col("_i") == 0) | (F.col("_hash").isNotNull() & same))
+                    .withColumn("_size", F.when(F.col("_i") == 0, F.size("_words"))))
+        else:
+            hits = hits.filter(same)
     else:
         hits = (d.select(*ROW_KEY, F.explode_outer(
                     F.concat(*[windows_of("_words", "_hashes", k) for k in lengths])).alias("_w"))
                 .select(*ROW_KEY, "_w.*").join(found, F.col("hash") == F.col("_hash"))
                 .filter(F.col("words") == F.col("window")).withColumn("_at", F.col("at")))
+        if every:
+            hits = hits.unionByName(d.select(*ROW_KEY, "_id", F.size("_words").alias("_size")), allowMissingColumns=True)
+    of_row = [F.max("_id").alias(key), F.max("_size").cast("long").alias("n_words"), F.count("_size").alias("copies")] if every else []
+    span = F.when(F.col("_n").isNotNull(), F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("_n")).alias("end")))
     per_doc = hits.groupBy(*ROW_KEY).agg(
-        F.sort_array(F.collect_set(F.struct(F.col("_at").alias("start"),
-                                            (F.col("_at") + F.col("_n")).alias("end")))).alias("_spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        F.sort_array(F.collect_set(span)).alias("_spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), *of_row)
     empty = F.array().cast("array<struct<start:int,end:int>>")
 
     def merge(acc: Column, x: Column) -> Column:
@@ -155,14 +171,11 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = WINDOW, *, mode: s
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = contamination(docs, read(spark, sf_dir, "benchmark"))
-    counts = docs.select("doc_id", *[c.alias(k) for k, c in _row_key(docs, "doc_id", "text").items()],
-                         F.regexp_count(text_or_empty("text"), F.lit(WORD + "+")).cast("long").alias("n_words"))
-    n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
-    items = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    return counts.join(hits, ROW_KEY, "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    rows = contamination(docs, read(spark, sf_dir, "benchmark"), every=True)
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 _SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -42,3 +42,14 @@ def test_edges(spark, tmp_path):
     kept = decontaminate.decontaminate(docs, spark.createDataFrame([(1, "word")], BENCH))
     assert kept.columns == docs.columns and kept.count() == 13 and kept.filter(F.col("key") != "mine key").count() == 0
     assert decontaminate.decontaminate(empty_docs(spark), bench).collect() == []
+
+
+def test_the_query_reads_each_text_once(spark, tmp_path):
+    """One scan gives words and hits; rows that come twice stay two, hit or not."""
+    docs = [(1, "a b"), (1, "a b"), (None, "c"), (None, "c"), (2, "A"), (3, None), (3, "x a")]
+    folder = write_tables(spark, tmp_path, documents=spark.createDataFrame(docs, "doc_id long, text string"),
+                          benchmark=spark.createDataFrame([(7, "a"), (8, "a b")], BENCH))
+    df = decontaminate.op6_decontaminate(spark, folder)
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+    got = sorted(((r["doc_id"] or 0), r["n_words"], r["n_hit"], r["n_items"]) for r in df.collect())
+    assert got == [(0, 1, 0, 0), (0, 1, 0, 0), (1, 2, 2, 2), (1, 2, 2, 2), (2, 1, 1, 1), (3, 0, 0, 0), (3, 2, 1, 1)]
