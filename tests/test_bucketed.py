@@ -8,6 +8,7 @@ from strata.plans import silver
 from strata.plans.jobs import JobConfig, build_silver, land_raw
 from strata.schemas import AUDIO, AUDIO_COLS, CATALOGUE, KEY
 from strata.session import scratch_database, scratch_path
+from strata.sinks import bucketed
 from strata.sinks.bucketed import bucket_count, largest_bucket, write_bucketed
 from strata.sources.fixtures import wide_source
 from tests.conftest import SF_SMALL, rows
@@ -80,3 +81,34 @@ def test_buckets_grow_with_the_rows_and_hold_all_rows_of_a_value(spark):
     assert largest_bucket(df, "v", 4) == max(r["count"] for r in sizes)
     counted = b.table.groupBy("v").count()
     assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString() and counted.count() == 33
+
+
+def test_a_task_sorts_bounded_rows_when_sources_and_unified_rows_are_dealt(spark, monkeypatch):
+    cat, aud = odd_sources(spark)
+    apart = silver.check_sources(cat, aud)
+    dealt = []
+
+    def noted(df, by, buckets, *rest):
+        dealt.append((by, buckets, *rest[1:]))
+        return write_bucketed(df, by, buckets, *rest)
+    monkeypatch.setattr(silver, "write_bucketed", noted)
+    cores = spark.sparkContext.defaultParallelism
+    assert bucket_count(spark, 216_000_000, silver.BUCKET_ROWS) == max(432, cores)
+    assert bucket_count(spark, 216_000_000, silver.ARTIST_BUCKET_ROWS) == max(216, cores)
+    monkeypatch.setattr(silver, "BUCKET_ROWS", 3000 / (2 * cores))
+    monkeypatch.setattr(silver, "ARTIST_BUCKET_ROWS", 3000 / cores)
+    monkeypatch.setattr(silver, "largest_bucket", lambda *_: 0)
+    monkeypatch.setattr(bucketed, "DEAL_ROWS", 1000 / cores)
+    unified, report = silver.write_unified(silver.check_landed(cat, aud))
+    assert dealt == [(KEY, 2 * cores, 3), (KEY, 2 * cores, 3), ("artist_name", cores)]
+    assert rows(unified.table) == rows(unified.files) == rows(silver.unify(apart))
+    assert report.collect() == silver.dq_report(apart).collect()
+
+
+@pytest.mark.parametrize("passes", [1, 3, 7])
+def test_passes_write_each_row_once_and_no_more_files(spark, passes):
+    df = spark.range(1000, numPartitions=2).selectExpr("if(id % 5 = 0, null, concat('v', id % 40)) as v", "id")
+    b = write_bucketed(df, "v", 5, ["v", "id"], passes)
+    assert rows(b.table) == rows(b.files) == rows(df)
+    assert len(b.files.inputFiles()) == len(write_bucketed(df, "v", 5, ["v", "id"]).files.inputFiles())
+    assert "Exchange" not in b.table.groupBy("v").count()._jdf.queryExecution().executedPlan().toString()
