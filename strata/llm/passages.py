@@ -4,12 +4,13 @@ A word goes if a window of ``WINDOW`` words that covers it also starts in a docu
 smaller key. Windows are judged on the input.
 
 1. Candidates. Every window has a minimiser, the smallest hash of its ``GRAM``-word runs,
-   so equal windows have equal ones, and neighbouring windows mostly share theirs.
-   Minimisers of two documents or more are counted out with combined minima and maxima, and
-   only stretches of text whose windows have such a minimiser go on.
-2. Window hashes inside the stretches that occur under two keys get an owner, the smallest
-   key that holds them. A run of neighbouring windows of one owner is a passage of the
-   document that follows it.
+   so equal windows have equal ones, and neighbouring windows mostly share theirs: they are a
+   group. Minimisers of two documents or more are counted out with combined minima and maxima,
+   and only stretches of text whose windows have such a minimiser go on.
+2. Windows that occur under two keys get an owner, the smallest key that holds them. Where all
+   groups of a minimiser are made of the same words, that is the minimiser's smallest key.
+   Only the windows of the other minimisers are compared one by one, by their hashes. A run of
+   neighbouring windows of one owner is a passage of the document that follows it.
 3. Passages are confirmed and located by automata over word numbers. Distinct passages are
    the patterns; they are dealt by owner to shards of about ``SHARD_WORDS`` words, an owner
    with more of them to several. A shard compiles its automaton, then streams the owners'
@@ -76,7 +77,7 @@ class Text:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, values: np.ndarray, powers: Powers) -> None:
         self.words, self.starts, self.ends, self.first = words_of(raw, offsets, values, powers)
-        self.raw, n = raw, len(self.words) - WINDOW + 1
+        self.raw, self.powers, n = raw, powers, len(self.words) - WINDOW + 1
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
         self.text = text[:max(n, 0)]
         #: Windows do not cross texts.
@@ -88,6 +89,21 @@ class Text:
     def windows(self) -> np.ndarray:
         return _chained(self.words, WINDOW) if len(self.whole) else np.zeros(0, np.uint64)
 
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """Minimisers, and which windows begin a group: neighbours of a text that share theirs."""
+        h, new = self.minimisers(), self.whole.copy()
+        new[1:] &= (h[1:] != h[:-1]) | (self.text[1:] != self.text[:-1]) | ~self.whole[:-1]
+        return h, new
+
+    def group_hashes(self, new: np.ndarray) -> np.ndarray:
+        """Hash of all words of every group."""
+        heads = np.flatnonzero(new)
+        tails = np.searchsorted(ends := np.flatnonzero(self.whole), np.append(heads[1:], len(new))) - 1
+        n = len(self.words)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(self.words) * self.powers.need(n + 1).up[:n], out=total[1:])
+        return mix((total[ends[tails] + WINDOW] - total[heads]) * self.powers.down[heads]) if len(heads) else total[:0]
+
     def stretches(self, chosen: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """First and last windows of the runs of chosen ones, cut where ``apart`` changes too."""
         at = np.flatnonzero(chosen & self.whole)
@@ -109,20 +125,40 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield b, i, Text(raw[off[i]:off[j]], off[i:j + 1] - off[i], values, powers)
 
 
-def _hash_rows(kind: str, *columns: str):
-    """Hashes of every text, without repeats of neighbours, with the text's ``columns``."""
+def _group_rows(column: str, *, words: bool = False):
+    """The minimiser of every group, and with ``words`` the hash of its words, with the text's ``column``."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, i, t in _texts(batches):
+            h, new = t.groups()
+            of = [h[new], t.group_hashes(new)] if words else [h[new]]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in of], b.column(column).take(pa.array(t.text[new] + i))],
+                                             [*["hash", "words"][:len(of)], column])
+
+    return run
+
+
+def _window_rows(column: str):
+    """Hashes of the windows whose group has no owner yet, without repeats of neighbours, with the
+    stretch's ``column``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, i, t in _texts(batches):
-            h, whole = getattr(t, kind)(), t.whole
-            new = whole.copy()
-            new[1:] &= (h[1:] != h[:-1]) | (t.text[1:] != t.text[:-1]) | ~whole[:-1]
-            at = pa.array(t.text[new] + i)
-            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), *[b.column(c).take(at) for c in columns]],
-                                             ["hash", *columns])
+            h, new = t.windows(), t.whole & ~_known(t, i, b.column("owners"))[0]
+            new[1:] &= (h[1:] != h[:-1]) | (t.text[1:] != t.text[:-1]) | ~new[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), b.column(column).take(pa.array(t.text[new] + i))],
+                                             ["hash", column])
 
     return run
 
 
+def _known(t: Text, i: int, owners: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the windows' groups have an owner, and which, from the ``owners`` of a stretch's groups."""
+    flat = owners.slice(i, len(t.first) - 1).flatten()
+    if not len(flat):
+        return np.zeros(len(t.whole), bool), np.zeros(len(t.whole), np.int64)
+    group = np.maximum(np.cumsum(t.groups()[1]) - 1, 0)
+    return flat.is_valid().to_numpy(zero_copy_only=False)[group], flat.fill_null(0).to_numpy()[group]
+
+
 def _by_text(t: Text, i: int, wanted: pa.ListArray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which of ``hashes`` (of the windows) are in their own text's list, and where in the
     flattened lists. Text numbers are mixed into the hashes, so one search serves all."""
@@ -140,18 +176,23 @@ def _by_text(t: Text, i: int, wanted: pa.ListArray, hashes: np.ndarray) -> tuple
     return listed[order[at]] == asked, order[at]
 
 
-STRETCHES = "key long, text_id long, start int, text binary"
+STRETCHES = "key long, text_id long, start int, owners array<long>, text binary"
 
 
 def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of a document whose windows have one of its ``wanted`` minimisers."""
+    """Stretches of a document whose windows have one of its ``wanted`` minimisers, with the owner
+    of every group, null where its windows are to be compared."""
     for b, i, t in _texts(batches):
-        heads, tails = t.stretches(_by_text(t, i, b.column("wanted"), t.minimisers())[0])
-        text = t.text[heads]
+        wanted, (h, new) = b.column("wanted"), t.groups()
+        found, at = _by_text(t, i, wanted, h)
+        heads, tails = t.stretches(found)
+        text, groups = t.text[heads], np.flatnonzero(new & found)
+        owners = wanted.slice(i, len(t.first) - 1).flatten().field("owner").take(pa.array(at[groups]))
+        owners = pa.ListArray.from_arrays(pa.array(np.searchsorted(groups, np.append(heads, len(new))).astype(np.int32)), owners)
         at = pa.array(text + i)
         yield pa.RecordBatch.from_arrays(
             [b.column("key").take(at), b.column("text_id").take(at), pa.array((heads - t.first[text]).astype(np.int32)),
-             t.bytes_of(heads, tails)], ["key", "text_id", "start", "text"])
+             owners, t.bytes_of(heads, tails)], ["key", "text_id", "start", "owners", "text"])
 
 
 PASSAGES = "owner long, key long, text_id long, start int, n int, text binary"
@@ -159,13 +200,18 @@ P_NAMES = [p.split()[0] for p in PASSAGES.split(", ")]
 
 
 def _passages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows of one owner, by the ``wanted`` (hash, owner) of a stretch."""
+    """Runs of windows of one owner, by the ``owners`` of a stretch's groups and, where they are
+    null, the ``wanted`` (hash, owner) of its windows."""
     for b, i, t in _texts(batches):
         wanted = b.column("wanted")
+        known, owner = _known(t, i, b.column("owners"))
         found, at = _by_text(t, i, wanted, t.windows())
+        listed = wanted.slice(i, len(t.first) - 1).flatten()
+        if len(listed):
+            owner = np.where(known, owner, listed.field("owner").to_numpy()[at])
+        found |= known
         if not found.any():
             continue
-        owner = wanted.slice(i, len(t.first) - 1).flatten().field("owner").to_numpy()[at]
         heads, tails = t.stretches(found, owner)
         text = t.text[heads]
         rows = pa.array(text + i)
@@ -279,21 +325,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
     document = ["key", "text_id"]
     # Two documents of one number would only lend each other candidates.
     docs = docs.withColumn("doc", F.xxhash64(*document))
-    shared = materialize(docs.select("key", "text").mapInArrow(_hash_rows("minimisers", "key"), "hash long, key long")
-                         .groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-                         .filter("low < high").select("hash"))
-    wanted = (docs.select("doc", "text").mapInArrow(_hash_rows("minimisers", "doc"), "hash long, doc long")
-              .join(_bounded(shared), "hash").groupBy("doc").agg(F.collect_set("hash").alias("wanted")))
+    groups = (docs.select("key", "text").mapInArrow(_group_rows("key", words=True), "hash long, words long, key long")
+              .groupBy("hash", "words").agg(F.min("key").alias("low"), F.max("key").alias("high")))
+    # A minimiser whose groups are all of the same words gives their windows its smallest key.
+    shared = materialize(groups.groupBy("hash").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("words").alias("n"))
+                         .filter("low < high").select("hash", F.when(F.col("n") == 1, F.col("low")).alias("owner")))
+    wanted = (docs.select("doc", "text").mapInArrow(_group_rows("doc"), "hash long, doc long")
+              .join(_bounded(shared), "hash").groupBy("doc").agg(F.collect_set(F.struct("hash", "owner")).alias("wanted")))
     stretches = materialize(docs.join(wanted, "doc").select(*document, "text", "wanted").mapInArrow(_candidates, STRETCHES)
                             .withColumn("stretch", F.monotonically_increasing_id()))
     texts = stretches.withColumn("text", F.col("text").cast("string"))
 
-    owned = materialize(texts.select("key", "text").mapInArrow(_hash_rows("windows", "key"), "hash long, key long")
+    owned = materialize(texts.select("key", "text", "owners").mapInArrow(_window_rows("key"), "hash long, key long")
                         .groupBy("hash").agg(F.min("key").alias("owner"), F.max("key").alias("last"))
                         .filter("owner < last").select("hash", "owner"))
-    wanted = (texts.select("stretch", "text").mapInArrow(_hash_rows("windows", "stretch"), "hash long, stretch long")
+    wanted = (texts.select("stretch", "text", "owners").mapInArrow(_window_rows("stretch"), "hash long, stretch long")
               .join(owned, "hash").groupBy("stretch").agg(F.collect_list(F.struct("hash", "owner")).alias("wanted")))
-    cut = materialize(texts.join(wanted, "stretch").select(*document, "start", "text", "wanted").mapInArrow(_passages, PASSAGES))
+    cut = materialize(texts.join(wanted, "stretch", "left").select(*document, "start", "text", "owners", "wanted").mapInArrow(_passages, PASSAGES))
     # Texts of an owner's key, each once.
     owners = materialize(cut.filter("key = owner").groupBy("owner", "text").agg(F.max("n").alias("n")))
     found = cut.filter("key > owner")

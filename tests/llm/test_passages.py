@@ -66,6 +66,19 @@ def test_rows_of_one_key(spark):
     assert result(passages.remove_passages(df)) == brute(rows)
 
 
+def test_windows_are_compared_one_by_one_only_where_texts_part(spark, monkeypatch):
+    """Copies and copies with a changed word: the groups that all documents share have their owner
+    from the minimiser."""
+    made, keep = [], passages.materialize
+    monkeypatch.setattr(passages, "materialize", lambda df: made.append(keep(df)) or made[-1])
+    texts = [prose(300 + k, 200, 5_000) for k in range(12)]
+    rows = [(k + 100 * c, " ".join(t[:90] + [f"new{k}-{c}"] + t[91:] if c == 3 and k % 2 else t)) for k, t in enumerate(texts) for c in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(passages.remove_passages(df)) == brute(rows)
+    owned = [m for m in made if m.columns == ["hash", "owner"]][-1]
+    assert 0 < owned.count() < 6 * 60 < 12 * 188                # of 188 windows a text
+
+
 def test_one_hash_for_all_windows(spark, monkeypatch):
     """Where hashes do not tell windows apart, the words still do."""
     monkeypatch.setattr(passages, "_chained", lambda h, k: np.full(len(h) - k + 1, 7, np.uint64))
