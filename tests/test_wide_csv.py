@@ -87,3 +87,29 @@ def test_texts_are_gathered_once_in_small_blocks(spark, tmp_path, small_splits,
         df = read_csv_wide_parallel(spark, str(tmp_path))
         assert "_line" not in df._jdf.queryExecution().optimizedPlan().toString()
         assert rows(df) == want and len(want) == 600
+
+
+def test_no_text_is_shuffled_and_the_lines_are_released(spark, tmp_path, small_splits, monkeypatch):
+    """Lines are dealt in scratch buckets, one write; what stays are the records' texts."""
+    from pyspark.sql import DataFrameWriter
+
+    from strata import session
+    body = "".join(f'{i},"' + f"part {i}\n" * (i % 5) + 'end"\n' for i in range(2000))
+    for f in "ab":
+        (tmp_path / f"{f}.csv").write_text("n,text\n" + body)
+    want = rows(read_csv_wide(spark, str(tmp_path)))
+    small_splits(9_000)
+    plans = []
+    for name in ("parquet", "saveAsTable"):
+        def noted(self, *args, _write=getattr(DataFrameWriter, name), **kw):
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+            return _write(self, *args, **kw)
+        monkeypatch.setattr(DataFrameWriter, name, noted)
+    session.scratch_path(spark, "before")
+    before = len(session._SCRATCH[spark.sparkContext.applicationId])
+    df = read_csv_wide_parallel(spark, str(tmp_path))
+    texts = [p for p in plans if "_line" in p]
+    assert texts and not [p for p in texts if "hashpartitioning" in p and "record" in p]
+    kept = session._SCRATCH[spark.sparkContext.applicationId][before:]
+    assert not [p for p in kept if "/bucketed-" in p] and [p for p in kept if "/pieces-" in p]
+    assert rows(df) == want and len(want) == 4000
