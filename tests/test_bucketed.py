@@ -105,6 +105,24 @@ def test_a_task_sorts_bounded_rows_when_sources_and_unified_rows_are_dealt(spark
     assert report.collect() == silver.dq_report(apart).collect()
 
 
+def test_files_grow_with_the_rows_that_a_task_deals_and_not_with_splits(spark, monkeypatch):
+    """Sources of many splits, and unified rows of many buckets, are dealt out by few tasks."""
+    cat, aud = (df.repartition(40) for df in odd_sources(spark))
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(silver, "BUCKET_ROWS", 3000 / (3 * cores))
+    monkeypatch.setattr(silver, "ARTIST_BUCKET_ROWS", 3000 / cores)
+    monkeypatch.setattr(silver, "largest_bucket", lambda *_: 0)
+    dealt = []
+    monkeypatch.setattr(silver, "write_bucketed", lambda *a: dealt.append(write_bucketed(*a)) or dealt[-1])
+    unified, report = silver.write_unified(silver.check_landed(cat, aud))
+    tasks = [len({f.split("part-")[1][:5] for f in b.files.inputFiles()}) for b in dealt]
+    assert len(dealt) == 3 and max(tasks) <= cores < 40
+    apart = silver.check_sources(cat, aud)
+    assert rows(unified.table) == rows(unified.files) == rows(silver.unify(apart))
+    assert unified.rows == unified.files.count() > 300
+    assert report.collect() == silver.dq_report(apart).collect()
+
+
 @pytest.mark.parametrize("passes", [1, 3, 7])
 def test_passes_write_each_row_once_and_no_more_files(spark, passes):
     df = spark.range(1000, numPartitions=2).selectExpr("if(id % 5 = 0, null, concat('v', id % 40)) as v", "id")
